@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
@@ -25,7 +26,7 @@ RESTARTS = 10
 
 def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES, k: int = K, seed: int = SEED,
                       restarts: int = RESTARTS, labels: Sequence[str] = SEGMENT_LABELS,
-                      checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
+                      checkpoint: bool = True, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
     """Assign each customer a segment and a label. Returns (frame with segment/label, segment stats).
 
     The feature frame is checkpointed once into the shared checkpoint folder
@@ -41,12 +42,16 @@ def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES,
     scaler = StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=True)
     prep = Pipeline(stages=[assembler, scaler]).fit(base)
     scaled = prep.transform(base).persist(StorageLevel.MEMORY_AND_DISK)
-    best, best_cost = None, None
-    for i in range(restarts):
+
+    def fit(i):
         model = KMeans(k=k, seed=seed + i, featuresCol="_z", predictionCol="segment").fit(scaled)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
+        return model.summary.trainingCost, i, model
+
+    # restarts are independent Spark jobs: submit them concurrently (the
+    # scheduler interleaves their tasks); lowest cost wins, lowest seed on ties
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
+        fits = list(pool.map(fit, range(restarts)))
+    best = min(fits, key=lambda f: (f[0], f[1]))[2]
     assigned = best.transform(scaled).drop("_x", "_z")
     stats = assigned.groupBy("segment").agg(
         F.count(F.lit(1)).alias("count"),
