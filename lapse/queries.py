@@ -12,6 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.casting import safe_bigint
+from .functions.timeparse import iso_week_key, parse_mixed_timestamp
+from .operators.interval_join import interval_join
+from .operators.pairs import band_self_pairs
+from .operators.quantiles import floor_index_quantiles
+from .operators.rank import rank_desc
 from .plans import analysis as A
 from .plans import events as E
 from .plans import relational as R
@@ -189,6 +195,118 @@ def p10_rate_by_tier(spark, base):
     return A.rate_by(A.fill_defaults(_base(_dom(spark, base))), "plan_tier")
 
 
+# ----------------------------------------------------------------- operator-level checks
+def op_latest_per_group(spark, base):
+    return _dom(spark, base).latest_subscription.select("customer_id", "subscription_id", "plan_id", "status",
+                                                        "start_date")
+
+
+def op_plan_transitions(spark, base):
+    return R.plan_transitions(_dom(spark, base).subscriptions)
+
+
+def op_interval_join_tickets(spark, base):
+    """Tickets in the 30 days before each subscription start (half-open interval join)."""
+    d = _dom(spark, base)
+    subs = d.subscriptions.select("subscription_id", "customer_id", "start_date")
+    day0 = F.col("w.start_date").cast("timestamp_ntz")
+    hits = interval_join(subs, d.support_tickets.select("customer_id", "ticket_id", "created_at"), ["customer_id"],
+                         "created_at", lower=day0 - F.make_dt_interval(F.lit(30)), upper=day0)
+    return hits.groupBy("subscription_id", "customer_id", "start_date").agg(
+        F.count("ticket_id").alias("tickets_prior_30d"))
+
+
+def op_band_pairs_domain_signup(spark, base):
+    """Accounts sharing an e-mail domain that signed up within 7 days of each other."""
+    acc = R.clean_accounts(_dom(spark, base).duplicate_entities)
+    p = band_self_pairs(acc, "customer_id", ["domain"], "signup_day", 7, [])
+    return p.select(F.col("customer_id_a").alias("cust_a_id"), F.col("customer_id_b").alias("cust_b_id"))
+
+
+def op_anti_join_orphans(spark, base):
+    d = _dom(spark, base)
+    return _clean_raw(d).join(d.customers.select("customer_id"), "customer_id", "left_anti") \
+        .select("member_id", "customer_id", "ts", "event_type", "feature", "session_duration_sec")
+
+
+def op_rank_ties(spark, base):
+    """Distributed RANK of customers by account balance inside each market segment."""
+    c = _dom(spark, base).table("customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return rank_desc(c, ["c_mktsegment"], "c_acctbal", "acctbal_rank")
+
+
+def op_conditional_sum(spark, base):
+    inv = _dom(spark, base).billing_invoices
+    amt = F.col("amount_usd")
+    return inv.groupBy("customer_id").agg(*[
+        F.sum(F.when(F.col("status") == s, amt).otherwise(F.lit(0))).cast("double").alias(f"{s}_usd")
+        for s in ("paid", "refunded", "void")])
+
+
+def op_count_distinct(spark, base):
+    d = _dom(spark, base)
+    s = d.subscriptions.join(F.broadcast(d.plans.select("plan_id", "plan_tier")), "plan_id")
+    return s.groupBy("plan_tier").agg(F.count_distinct("customer_id").alias("customers"),
+                                      F.count(F.lit(1)).alias("subscriptions"))
+
+
+def op_null_profile(spark, base):
+    return A.null_profile(_base(_dom(spark, base)))
+
+
+def op_quantile_p99(spark, base):
+    b = A.fill_defaults(_base(_dom(spark, base)))
+    _, _, audit = A.winsorize_upper(b, "mrr_usd", 0.99)
+    return audit.select("cap", "outliers")
+
+
+def op_floor_index_quartiles(spark, base):
+    logs = _dom(spark, base).activity_logs
+    return floor_index_quantiles(logs, ["customer_id", "member_id"], "session_duration_sec",
+                                 {"p25": 0.25, "p50": 0.5, "p75": 0.75}, count_col="n")
+
+
+def op_monthly_buckets(spark, base):
+    d = _dom(spark, base)
+    s = d.subscriptions.join(F.broadcast(d.plans.select("plan_id", "plan_tier")), "plan_id")
+    return s.where(F.col("start_date").isNotNull()).groupBy(
+        "plan_tier", F.trunc("start_date", "month").alias("month")).agg(F.count(F.lit(1)).alias("new_subs"))
+
+
+def op_iso_week_buckets(spark, base):
+    logs = _dom(spark, base).activity_logs
+    return logs.groupBy(iso_week_key("ts").alias("week")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("member_id").alias("users"))
+
+
+def op_contingency_2x2(spark, base):
+    return A.contingency_2x2(_merged(_dom(spark, base), winsorize=False), "used_ai_suggest", "is_churned")
+
+
+def op_text_normalize(spark, base):
+    acc = R.clean_accounts(_dom(spark, base).duplicate_entities)
+    return acc.select("customer_id", "name", "domain", "token", "name_len", "signup_day")
+
+
+def op_safe_cast_id(spark, base):
+    raw = _dom(spark, base).raw_activity_logs
+    cid = safe_bigint(F.coalesce("customer_id", "customerId", "customerID_"))
+    return raw.select("event_id", "copy", cid.alias("customer_id"))
+
+
+def op_mixed_timestamps(spark, base):
+    raw = _dom(spark, base).raw_activity_logs
+    return raw.select("event_id", "copy", parse_mixed_timestamp("timestamp").alias("ts"))
+
+
+def op_case_bands(spark, base):
+    return E.weekly_engagement_bands(_dom(spark, base).activity_logs)
+
+
+def p10_rate_by_ai_adoption(spark, base):
+    return A.rate_by(_merged(_dom(spark, base), winsorize=False), "used_ai_suggest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         s1_plan_health, s2_ltv_rank, s3_friction_downgrades, s3_friction_downgrades_default, s4_churn_trend,
@@ -198,6 +316,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         m4_upsell_candidates_free,
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
-        p9_export_dashboard, p10_rate_by_tier,
+        p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
+        op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
+        op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,
+        op_quantile_p99, op_floor_index_quartiles, op_monthly_buckets, op_iso_week_buckets, op_contingency_2x2,
+        op_text_normalize, op_safe_cast_id, op_mixed_timestamps, op_case_bands,
     )
 }
