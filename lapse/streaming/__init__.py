@@ -1 +1,5 @@
 """Incremental (Structured Streaming) form of the event cleaning."""
+
+from .clean_events import clean_event_stream, read_raw_event_stream, start_clean_events
+
+__all__ = ["clean_event_stream", "read_raw_event_stream", "start_clean_events"]

@@ -1,0 +1,27 @@
+import json
+
+from lapse.streaming import start_clean_events
+
+
+def test_clean_event_stream_matches_batch_rules(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    docs = [
+        {"member_id": "1", "customer_id": "10", "timestamp": "2024-01-05T10:00:00Z", "feature": "a"},
+        {"member_id": "1", "customer_id": "10", "timestamp": "2024-01-05 10:00:00", "feature": "a"},  # duplicate
+        {"userId": "2", "customerId": "11", "timestamp": "01/05/2024 11:00:00", "feature": "b"},
+        {"member_id": "3", "customer_id": "99", "timestamp": "2024-01-05 12:00:00", "feature": "c"},  # orphan
+        {"member_id": "4", "customer_id": "10", "timestamp": "junk", "feature": "d"},                  # bad time
+    ]
+    (src / "part-0.json").write_text("\n".join(json.dumps(d) for d in docs))
+    customers = spark.createDataFrame([(10,), (11,)], "customer_id long")
+    spark.conf.set("spark.sql.caseSensitive", "true")  # userId / userID are distinct fields
+    try:
+        q = start_clean_events(spark, str(src), customers, str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                               available_now=True)
+        q.awaitTermination(120)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+    got = sorted((r["member_id"], r["customer_id"], r["feature"]) for r in
+                 spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 10, "a"), (2, 11, "b")]
