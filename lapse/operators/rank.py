@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _bucket_bounds(vc: DataFrame, value: str, buckets: int) -> list[float]:
     if buckets <= 1:
@@ -39,7 +41,9 @@ def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, bucket
     """``df`` plus ``out`` = RANK() within ``groups`` by ``value`` descending (NULLs rank first)."""
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vc = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
+    # the collapsed (group, value, count) table feeds a sketch and two branches:
+    # materialise it once (shared checkpoint folder) rather than recompute it
+    vc = cut_lineage(df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c")))
     bounds = _bucket_bounds(vc, value, n)
     v = F.col(value)
     if bounds:

@@ -19,6 +19,7 @@ from ..operators.interval_join import interval_join
 from ..operators.latest import latest_per
 from ..operators.pairs import band_self_pairs
 from ..operators.rank import rank_desc
+from ..session import cut_lineage
 
 # Labels printed by the reports.
 CHURN_SPIKE_FLAG = "🚨 CHURN SPIKE (>2× rolling avg)"
@@ -49,15 +50,15 @@ def plan_health(plans: DataFrame, subscriptions: DataFrame, tickets: DataFrame,
     """
     start = month_floor_minus(as_of, months)
     active = active_subscriptions(subscriptions).select("customer_id", "plan_id", "mrr_usd")
-    per_plan = active.groupBy("plan_id").agg(
-        F.count("customer_id").alias("active_customers"),  # one row per customer after latest_per
-        F.round(F.avg("mrr_usd"), 2).alias("avg_mrr_usd"),
-        F.sum("mrr_usd").alias("total_mrr_usd"))
     per_customer = (tickets.where(F.col("created_at") >= ntz_literal(start))
                     .groupBy("customer_id").agg(F.count("ticket_id").alias("n")))
-    per_plan_tickets = per_customer.join(active, "customer_id").groupBy("plan_id").agg(
+    # one pass over the active subscriptions: members, MRR and their tickets per plan
+    per_plan = active.join(per_customer, "customer_id", "left").groupBy("plan_id").agg(
+        F.count("customer_id").alias("active_customers"),  # one row per customer after latest_per
+        F.round(F.avg("mrr_usd"), 2).alias("avg_mrr_usd"),
+        F.sum("mrr_usd").alias("total_mrr_usd"),
         F.sum("n").alias("total_tickets"))
-    pc = plans.join(per_plan, "plan_id", "left").join(per_plan_tickets, "plan_id", "left")
+    pc = plans.join(per_plan, "plan_id", "left")
     active_n = F.coalesce(F.col("active_customers"), F.lit(0))
     rate = F.when(active_n == 0, F.lit(0).cast("decimal(38,4)")).otherwise(
         F.round(F.coalesce(F.col("total_tickets"), F.lit(0)).cast("decimal(20,0)")
@@ -98,7 +99,10 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
     :mod:`lapse.operators.rank`) rather than one window task per tier, and the
     tier mean is a grouped aggregate joined back (one row per tier).
     """
-    ltv = customer_ltv(customers, latest_subscription, plans, invoices)
+    # one row per customer, read by the rank (several passes) and the tier mean:
+    # materialise it once in the shared checkpoint folder instead of re-running
+    # the invoice join for every consumer
+    ltv = cut_lineage(customer_ltv(customers, latest_subscription, plans, invoices))
     ranked = rank_desc(ltv, ["plan_tier"], "ltv_usd", "tier_rank")
     # mean as exact decimal sum / count in double: a DECIMAL quotient would be cut to
     # 6 decimals and the percentage below rounded from a truncated value
