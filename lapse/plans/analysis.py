@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import chi2_sf_df1, norm_cdf
@@ -154,9 +154,10 @@ def rate_by(df: DataFrame, dim: str, outcome: str = "is_churned") -> DataFrame:
     """Size, churned count, churn rate (%) and share of all churn per value of ``dim``."""
     g = df.groupBy(dim).agg(F.count(F.lit(1)).alias("customers"),
                             F.count_if(F.col(outcome)).alias("churned"))
-    # one-row totals, attached with a broadcast equi-join on a constant key
-    total = g.agg(F.sum("churned").alias("_all"), F.sum("customers").alias("_n")).withColumn("_k", F.lit(1))
-    j = g.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
+    # grand totals over the aggregated rows (one per category of ``dim``, which is
+    # categorical): a window over that small result, one pass over the input
+    whole = Window.partitionBy()
+    j = g.withColumns({"_all": F.sum("churned").over(whole), "_n": F.sum("customers").over(whole)})
     return j.select(dim, "customers", "churned",
                     F.round(F.col("churned").cast("decimal(20,0)") * 100 / F.col("customers"), 1)
                     .cast("double").alias("churn_rate_pct"),

@@ -60,16 +60,23 @@ class Domain:
     # ---------------------------------------------------------------- relational
     @cached_property
     def plans(self) -> DataFrame:
-        """<= 5 rows (plan ids 1..5): size bounded by construction, safe to broadcast."""
+        """The plan dimension: at most 5 rows (plan ids 1..5) by construction.
+
+        Derived once with a partial aggregate over one column of ``orders`` and
+        then held as a local relation, so every report that joins plans gets a
+        5-row broadcast side instead of re-scanning orders.
+        """
         o = self.table("orders")
         pid = plan_id_of(F.col("o_orderpriority"))
         p = (o.select(pid.alias("plan_id"), "o_orderpriority")
              .where(F.col("plan_id").between(1, 5))
              .groupBy("plan_id").agg(F.min("o_orderpriority").alias("plan_name")))
-        return p.select(
+        p = p.select(
             "plan_id", "plan_name",
             mapping(F.col("plan_id"), PLAN_TIERS).alias("plan_tier"),
             ((F.lit(6) - F.col("plan_id")) * 20).cast("decimal(12,2)").alias("monthly_price_usd"))
+        rows = p.orderBy("plan_id").limit(len(PLAN_TIERS)).collect()  # bounded: plan ids 1..5
+        return self.spark.createDataFrame(rows, p.schema)
 
     @cached_property
     def subscriptions(self) -> DataFrame:
@@ -89,13 +96,25 @@ class Domain:
         """Latest subscription of any status per customer (start_date DESC NULLS FIRST, id DESC)."""
         return latest_per(self.subscriptions, ["customer_id"], ["start_date", "subscription_id"])
 
+    @cached_property
+    def customer_subscription_summary(self) -> DataFrame:
+        """Per customer, in ONE combinable aggregate: first start date and the latest
+        subscription's status / end date (DESC NULLS FIRST on start_date, then id)."""
+        s = self.subscriptions
+        latest = F.max(F.struct(F.col("start_date").isNull().alias("n"), F.col("start_date").alias("d"),
+                                F.col("subscription_id").alias("i"), F.col("status").alias("status"),
+                                F.col("end_date").alias("end_date")))
+        return s.groupBy("customer_id").agg(F.min("start_date").alias("signup_date"), latest.alias("_l")) \
+            .select("customer_id", "signup_date", F.col("_l.status").alias("latest_status"),
+                    F.col("_l.end_date").alias("latest_end"))
+
     @cached_property
     def customers(self) -> DataFrame:
         c = self.table("customer")
         n = self.table("nation").select(F.col("n_nationkey"), F.col("n_name"))
-        firsts = self.subscriptions.groupBy("customer_id").agg(F.min("start_date").alias("signup_date"))
-        latest = self.latest_subscription.select(
-            "customer_id", F.when(F.col("status") == "cancelled", F.col("end_date")).alias("churn_date"))
+        summary = self.customer_subscription_summary.select(
+            "customer_id", "signup_date",
+            F.when(F.col("latest_status") == "cancelled", F.col("latest_end")).alias("churn_date"))
         base = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("company_name"),
@@ -104,7 +123,7 @@ class Domain:
              .when(F.col("c_acctbal") < 7500, "large").otherwise("enterprise").alias("company_size"),
             F.col("n_name").alias("country_code"))
         churned_at = F.col("churn_date").cast("timestamp_ntz")
-        return (base.join(firsts, "customer_id", "left").join(latest, "customer_id", "left")
+        return (base.join(summary, "customer_id", "left")
                 .select("customer_id", "company_name", "industry", "company_size", "country_code", "signup_date",
                         churned_at.isNull().alias("is_active"),
                         churned_at.alias("churned_at"),
