@@ -1,12 +1,14 @@
 """Distributed building blocks: latest-per-group, interval join, band self-join,
-floor-index quantiles, bucketed rank, exact order statistics."""
+bucketed prefix counts (rank, floor-index quantiles), chunked lag, exact order statistics."""
 
 from .interval_join import interval_join
+from .lag import chunked_lag
 from .latest import earliest_per, latest_per
 from .order_stats import exact_quantile
 from .pairs import band_self_pairs
+from .prefix import prefix_counts
 from .quantiles import floor_index_quantiles
 from .rank import rank_desc
 
-__all__ = ["interval_join", "earliest_per", "latest_per", "exact_quantile", "band_self_pairs",
+__all__ = ["chunked_lag", "prefix_counts", "interval_join", "earliest_per", "latest_per", "exact_quantile", "band_self_pairs",
            "floor_index_quantiles", "rank_desc"]

@@ -2,73 +2,35 @@
 
 A window partitioned by a low-cardinality key (a plan tier) sends each group
 to a single task; a tier holding a third of all customers becomes one task
-sorting a third of the table. Here:
-
-1. ties are collapsed first: (g, v) -> count, a combinable aggregate, so a
-   value shared by millions of rows is one row;
-2. the distinct values are cut into ``buckets`` value ranges (boundaries from
-   one ``approx_percentile`` sketch; any monotone cut gives exact ranks, the
-   sketch only balances the work);
-3. rank(v) = 1 + (rows of g in higher buckets) + (rows of g in v's bucket with
-   a greater value). The first term is an exclusive prefix sum over a table
-   of at most ``#groups x buckets`` rows; the second a window over one
-   (g, bucket) slice, whose size is bounded by the bucket width.
-
-Ranks are then joined back on (g, v) (null-safe on g); a hot (g, v) key is a
-one-row build side that AQE's skew-join handling splits on the probe side.
+sorting a third of the table. Here ties are collapsed first -- (g, v) -> count,
+a combinable aggregate, so a value shared by millions of rows is one row --
+and ranks come from :func:`lapse.operators.prefix.prefix_counts`
+(rank = 1 + rows of the group with a greater value). Ranks are joined back on
+(g, v), null-safe; a hot (g, v) key is a one-row build side that AQE's
+skew-join handling splits on the probe side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-
-
-def _bucket_bounds(vc: DataFrame, value: str, buckets: int) -> list[float]:
-    if buckets <= 1:
-        return []
-    qs = [i / buckets for i in range(1, buckets)]
-    row = vc.agg(F.approx_percentile(F.col(value).cast("double"), qs, 10_000).alias("b")).first()
-    bounds = row["b"] if row is not None else None
-    return sorted(set(b for b in (bounds or []) if b is not None))
+from .prefix import prefix_counts
 
 
 def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, buckets: int | None = None) -> DataFrame:
     """``df`` plus ``out`` = RANK() within ``groups`` by ``value`` descending (NULLs rank first)."""
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the collapsed (group, value, count) table feeds a sketch and two branches:
-    # materialise it once (shared checkpoint folder) rather than recompute it
+    groups = list(groups)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the collapsed table feeds a sketch and two branches: materialise it once
+    # (shared checkpoint folder) rather than recompute it
     vc = cut_lineage(df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c")))
-    bounds = _bucket_bounds(vc, value, n)
-    v = F.col(value)
-    if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda x: x < v.cast("double")))
-    else:
-        bucket = F.lit(0)
-    top = len(bounds) + 1
-    vcb = vc.withColumn("_b", F.when(v.isNull(), F.lit(top)).otherwise(bucket))
-    # rows of the group in strictly higher buckets
-    per_bucket = vcb.groupBy(*groups, "_b").agg(F.sum("_c").alias("_t"))
-    hi_first = Window.partitionBy(*groups).orderBy(F.col("_b").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    offsets = per_bucket.select(*groups, "_b", (F.sum("_t").over(hi_first) - F.col("_t")).alias("_off"))
-    # rows of the group, same bucket, strictly greater value (ties are one row already)
-    local = Window.partitionBy(*groups, "_b").orderBy(v.desc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    within = vcb.select(*groups, value, "_b", F.coalesce(F.sum("_c").over(local), F.lit(0)).alias("_before"))
-    o = offsets.alias("o")
-    w = within.alias("w")
-    cond = [F.col(f"w.{g}").eqNullSafe(F.col(f"o.{g}")) for g in groups] + [F.col("w._b") == F.col("o._b")]
-    ranks = w.join(o, cond).select(*[F.col(f"w.{g}").alias(g) for g in groups], F.col(f"w.{value}").alias(value),
-                                   (F.lit(1) + F.col("o._off") + F.col("w._before")).alias(out))
-    base = df.alias("d")
-    r = ranks.alias("r")
+    ranks = prefix_counts(vc, groups, value, descending=True, buckets=n) \
+        .select(*groups, value, (F.lit(1) + F.col("_before")).alias(out))
+    base, r = df.alias("d"), ranks.alias("r")
     cond = [F.col(f"d.{g}").eqNullSafe(F.col(f"r.{g}")) for g in groups] + \
            [F.col(f"d.{value}").eqNullSafe(F.col(f"r.{value}"))]
     return base.join(r, cond).select("d.*", F.col(f"r.{out}").cast("bigint").alias(out))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import first_token, normalize_name, email_domain
 from ..functions.timeparse import as_datetime, month_floor_minus, ntz_literal
 from ..operators.interval_join import interval_join
+from ..operators.lag import chunked_lag
 from ..operators.latest import latest_per
 from ..operators.pairs import band_self_pairs
 from ..operators.rank import rank_desc
@@ -126,14 +127,17 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
 
 
 # --------------------------------------------------------------------------- S3
-def plan_transitions(subscriptions: DataFrame) -> DataFrame:
-    """Each subscription with the plan of the customer's previous subscription."""
-    w = Window.partitionBy("customer_id").orderBy("start_date", "subscription_id")
-    return subscriptions.select(
-        "customer_id", "subscription_id",
-        F.col("plan_id").alias("new_plan_id"),
-        F.col("start_date").alias("transition_date"),
-        F.lag("plan_id").over(w).alias("prev_plan_id"))
+def plan_transitions(subscriptions: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Each subscription with the plan of the customer's previous subscription
+    (ordered by start_date ASC NULLS LAST, then subscription_id).
+
+    A customer with a huge subscription history is split into start-date
+    chunks (:func:`lapse.operators.lag.chunked_lag`) instead of one window task.
+    """
+    s = subscriptions.select("customer_id", "subscription_id", "plan_id", "start_date")
+    t = chunked_lag(s, ["customer_id"], ["start_date", "subscription_id"], ["plan_id"], buckets=buckets)
+    return t.select("customer_id", "subscription_id", F.col("plan_id").alias("new_plan_id"),
+                    F.col("start_date").alias("transition_date"), F.col("prev_plan_id"))
 
 
 def downgrades(subscriptions: DataFrame, plans: DataFrame, as_of=_dt.datetime(2001, 8, 1),

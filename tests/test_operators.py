@@ -61,3 +61,28 @@ def test_exact_quantile_matches_numpy(spark, monkeypatch):
     monkeypatch.setattr(order_stats, "MAX_SLICE", 50)  # force the sketch-bracketing path
     for q in (0.25, 0.99):
         assert abs(exact_quantile(df, "x", q) - np.quantile(vals, q)) < 1e-9
+
+
+def test_chunked_lag_matches_window_lag(spark):
+    from lapse.operators import chunked_lag
+    import datetime as dt
+    rnd = random.Random(11)
+    base = dt.date(2020, 1, 1)
+    rows = [(rnd.choice([1, 1, 1, 2, 3]), i, rnd.choice([None] + [base + dt.timedelta(days=rnd.randint(0, 90))] * 9),
+             rnd.randint(1, 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, sid int, d date, p int")
+    w = Window.partitionBy("k").orderBy(F.col("d").asc_nulls_last(), F.col("sid").asc_nulls_last())
+    want = sorted(df.select("sid", F.lag("p").over(w).alias("prev_p")).collect())
+    for buckets in (1, 4, 16):
+        got = sorted(chunked_lag(df, ["k"], ["d", "sid"], ["p"], buckets=buckets).select("sid", "prev_p").collect())
+        assert got == want
+
+
+def test_prefix_counts_positions(spark):
+    from lapse.operators import prefix_counts
+    rows = [("g", v, c) for v, c in ((5, 2), (1, 1), (3, 4), (None, 2))]
+    vc = spark.createDataFrame(rows, "g string, v int, _c long")
+    asc = {r["v"]: (r["_before"], r["_n"]) for r in prefix_counts(vc, ["g"], "v", buckets=3).collect()}
+    assert asc == {1: (0, 9), 3: (1, 9), 5: (5, 9), None: (7, 9)}
+    desc = {r["v"]: r["_before"] for r in prefix_counts(vc, ["g"], "v", descending=True, buckets=3).collect()}
+    assert desc == {None: 0, 5: 2, 3: 4, 1: 8}
