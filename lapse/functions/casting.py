@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 _INTEGRAL = r"^\s*-?\d+(\.0+)?\s*$"
 
 
-def safe_bigint(c: Column | str) -> Column:
+def safe_bigint(c: Column | str, pretrimmed: bool = False) -> Column:
     """Integer id from a string/number column; NULL on NULL or on anything non-integral.
 
     "12" -> 12, "12.0" -> 12, "12.5" -> NULL, "x" -> NULL.
     """
     col = F.col(c) if isinstance(c, str) else c
-    s = F.trim(col.cast("string"))
+    s = col if pretrimmed else F.trim(col.cast("string"))
     return F.when(s.rlike(_INTEGRAL), F.regexp_replace(s, r"\.0+$", "").try_cast("bigint"))
 
 

@@ -34,27 +34,46 @@ def instant_to_utc_ntz(ltz: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ltz), epoch)
 
 
-def parse_mixed_timestamp(c: Column | str, formats=TIMESTAMP_FORMATS) -> Column:
+# Shape of each layout in TIMESTAMP_FORMATS (same order), used to pick the one parse to run.
+_SHAPES = (
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$",
+    r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$",
+    r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}[+-]\d{2}:?\d{2}$",
+)
+
+
+def _parse_one(s: Column, fmt: str) -> Column:
+    if "X" in fmt or "'Z'" in fmt:
+        zoned = fmt.replace("'Z'", "X")
+        first = instant_to_utc_ntz(F.try_to_timestamp(s, F.lit(zoned)))
+        if zoned.endswith("XXX"):  # also accept +hhmm offsets
+            return F.coalesce(first, instant_to_utc_ntz(F.try_to_timestamp(s, F.lit(zoned[:-1]))))
+        return first
+    # zone-less: parse and cast back gives the same wall clock in any session zone
+    return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
+
+
+def parse_mixed_timestamp(c: Column | str, formats=TIMESTAMP_FORMATS, pretrimmed: bool = False) -> Column:
     """Parse a string timestamp in any of ``formats``, then a lenient ISO parse.
 
     Unparsable values give NULL (never an error); the result is UTC wall clock
     (TIMESTAMP_NTZ). Strings that carry a zone are converted to UTC, strings
-    without one are taken as UTC already.
+    without one are taken as UTC already. A cheap shape test picks the one
+    layout to try, so a row costs one parse, not a chain of failed attempts.
+    ``pretrimmed``: ``c`` is already a trimmed string column (project it once
+    upstream so the branches share it).
     """
-    s = F.trim(_c(c).cast("string"))
-    attempts = []
-    for fmt in formats:
-        if "X" in fmt or "'Z'" in fmt:
-            zoned = fmt.replace("'Z'", "X")
-            attempts.append(instant_to_utc_ntz(F.try_to_timestamp(s, F.lit(zoned))))
-            if zoned.endswith("XXX"):  # also accept +hhmm offsets
-                attempts.append(instant_to_utc_ntz(F.try_to_timestamp(s, F.lit(zoned[:-1]))))
-        else:
-            # zone-less: parse and cast back gives the same wall clock in any session zone
-            attempts.append(F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz"))
+    s = _c(c) if pretrimmed else F.trim(_c(c).cast("string"))
     lenient = F.when(s.rlike(_HAS_ZONE), instant_to_utc_ntz(F.try_to_timestamp(s))) \
         .otherwise(s.try_cast("timestamp_ntz"))
-    return F.coalesce(*attempts, lenient)
+    if tuple(formats) != TIMESTAMP_FORMATS:  # custom layouts: try them in order
+        return F.coalesce(*[_parse_one(s, f) for f in formats], lenient)
+    expr = None
+    for shape, fmt in zip(_SHAPES, formats):
+        cond = s.rlike(shape)
+        expr = F.when(cond, _parse_one(s, fmt)) if expr is None else expr.when(cond, _parse_one(s, fmt))
+    return expr.otherwise(lenient)
 
 
 def iso_week_key(c: Column | str) -> Column:
