@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import safe_bigint
 from ..functions.timeparse import iso_week_key, parse_mixed_timestamp
+from ..session import cut_lineage
 from ..operators.latest import earliest_per
+from ..operators.order_stats import exact_quantile
 from ..operators.quantiles import floor_index_quantiles
 
 # Id variant names, funnel steps, score weights and bands.
@@ -169,8 +171,20 @@ def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS)
         gap = F.timestamp_diff("MICROSECOND", F.col(a), F.col(b)) / F.lit(1e6)
         gaps.append(F.struct(F.lit(a).alias("from_step"), F.lit(b).alias("to_step"), gap.alias("gap_sec")))
     long = firsts.select(F.explode(F.array(*gaps)).alias("g")).select("g.*").where(F.col("gap_sec").isNotNull())
-    return long.groupBy("from_step", "to_step").agg(
-        F.count(F.lit(1)).alias("users_with_both"), F.median("gap_sec").alias("median_gap_sec"))
+    # one exact median per consecutive step pair (a fixed handful): each is a
+    # sketch-bracketed selection (exact_quantile), never one task holding every gap
+    long = cut_lineage(long)
+    counts = {(r["from_step"], r["to_step"]): r["n"] for r in
+              long.groupBy("from_step", "to_step").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = []
+    for i in range(1, len(steps)):
+        a, b = steps[i - 1], steps[i]
+        n = counts.get((a, b), 0)
+        if n:
+            med = exact_quantile(long.where((F.col("from_step") == a) & (F.col("to_step") == b)), "gap_sec", 0.5)
+            rows.append((a, b, int(n), float(med)))
+    return onboarding.sparkSession.createDataFrame(
+        rows, "from_step string, to_step string, users_with_both bigint, median_gap_sec double")
 
 
 # --------------------------------------------------------------------------- M4

@@ -86,3 +86,14 @@ def test_prefix_counts_positions(spark):
     assert asc == {1: (0, 9), 3: (1, 9), 5: (5, 9), None: (7, 9)}
     desc = {r["v"]: r["_before"] for r in prefix_counts(vc, ["g"], "v", descending=True, buckets=3).collect()}
     assert desc == {None: 0, 5: 2, 3: 4, 1: 8}
+
+
+def test_band_self_pairs_salted_hot_key(spark):
+    rnd = random.Random(5)
+    rows = [(i, "hot" if i % 3 else rnd.choice(["x", "y"]), rnd.randint(0, 30)) for i in range(150)]
+    df = spark.createDataFrame(rows, "id int, blk string, v int")
+    got = band_self_pairs(df, "id", ["blk"], "v", 7, ["v"], rows_per_task=5).collect()
+    pairs = [(r["id_a"], r["id_b"]) for r in got]
+    want = {(a[0], b[0]) for a, b in itertools.combinations(sorted(rows), 2)
+            if a[1] == b[1] and abs(a[2] - b[2]) <= 7}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == want
