@@ -51,8 +51,10 @@ def numeric_key(c: Column, dtype: str) -> Column:
     """A double that orders like ``c`` (dates and timestamps become day / second numbers)."""
     if dtype == "date":
         return F.unix_date(c).cast("double")
+    if dtype == "timestamp_ntz":  # microseconds since the epoch, no time-zone step (monotone)
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c).cast("double")
     if dtype.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        return F.unix_micros(c).cast("double")
     return c.cast("double")
 
 
