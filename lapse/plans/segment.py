@@ -26,8 +26,10 @@ RESTARTS = 10
 
 def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES, k: int = K, seed: int = SEED,
                       restarts: int = RESTARTS, labels: Sequence[str] = SEGMENT_LABELS,
-                      checkpoint: bool = True, parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Assign each customer a segment and a label. Returns (frame with segment/label, segment stats).
+                      checkpoint: bool = True, parallelism: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Assign each customer a segment and a label.
+
+    Returns (frame with segment/label, per-segment stats, centres in original units).
 
     The feature frame is checkpointed once into the shared checkpoint folder
     (the fits re-read it many times; a lost executor re-reads the checkpoint
@@ -53,6 +55,13 @@ def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES,
         fits = list(pool.map(fit, range(restarts)))
     best = min(fits, key=lambda f: (f[0], f[1]))[2]
     assigned = best.transform(scaled).drop("_x", "_z")
+    # centres in original units: z * std + mean (k rows x features; bounded by k)
+    scaler_model = prep.stages[-1]
+    mean, std = scaler_model.mean.toArray(), scaler_model.std.toArray()
+    centre_rows = [(int(i), *[float(c[j] * std[j] + mean[j]) for j in range(len(feats))])
+                   for i, c in enumerate(best.clusterCenters())]
+    centres = df.sparkSession.createDataFrame(
+        centre_rows, "segment int, " + ", ".join(f"{f} double" for f in feats))
     stats = assigned.groupBy("segment").agg(
         F.count(F.lit(1)).alias("count"),
         F.round(F.avg("mrr_usd"), 2).alias("avg_mrr"),
@@ -66,7 +75,8 @@ def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES,
                                                "segment int, segment_label string")
     out = assigned.join(F.broadcast(label_df), "segment", "left")
     stats = stats.join(F.broadcast(label_df), "segment", "left")
-    return out, stats
+    centres = centres.join(F.broadcast(label_df), "segment", "left")
+    return out, stats, centres
 
 
 def export_frame(df: DataFrame, columns: Sequence[str] = EXPORT_COLUMNS) -> DataFrame:

@@ -182,15 +182,20 @@ def p7_chi_square_2x2(spark, base):
 
 
 def p8_segment_customers(spark, base):
-    _, stats = S.segment_customers(_merged(_dom(spark, base)))
+    _, stats, _ = S.segment_customers(_merged(_dom(spark, base)))
     return stats.select("segment_label", "count", "avg_mrr", "avg_clicks", "avg_features", "churn_rate")
 
 
 def p9_export_dashboard(spark, base):
-    seg, _ = S.segment_customers(_merged(_dom(spark, base)))
+    seg, _, _ = S.segment_customers(_merged(_dom(spark, base)))
     return S.export_frame(seg)
 
 
+def p8_cluster_centres(spark, base):
+    _, _, centres = S.segment_customers(_merged(_dom(spark, base)))
+    return centres
+
+
 def p10_rate_by_tier(spark, base):
     return A.rate_by(A.fill_defaults(_base(_dom(spark, base))), "plan_tier")
 
@@ -316,7 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         m4_upsell_candidates_free,
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
-        p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
+        p8_cluster_centres, p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
         op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,
         op_quantile_p99, op_floor_index_quartiles, op_monthly_buckets, op_iso_week_buckets, op_contingency_2x2,

@@ -180,3 +180,41 @@ def test_orphans_and_dedupe_properties(spark):
     assert (audit["rows_before"], audit["rows_after"], audit["dropped"]) == (4, 3, 1)
     once = E.dedupe_events(kept)
     assert once.count() == 2 and E.dedupe_events(once).count() == 2
+
+
+def test_segmentation_labels_and_export(spark, tmp_path):
+    from lapse.plans import segment as S
+    rows = []
+    for i in range(60):
+        tier = i % 3  # three well separated groups
+        rows.append((i, float(10 + 100 * tier + i % 5), tier * 10, tier * 50, tier * 5, 1.0 * tier * 1000,
+                     float(tier * 20), tier == 0))
+    df = spark.createDataFrame(rows, "customer_id long, mrr_usd double, ticket_count long, "
+                                     "total_feature_clicks long, distinct_features_used long, "
+                                     "total_session_sec double, months_since_signup double, is_churned boolean")
+    seg, stats, centres = S.segment_customers(df, restarts=3, checkpoint=False)
+    by_label = {r["segment_label"]: r for r in stats.collect()}
+    assert set(by_label) == set(S.SEGMENT_LABELS)
+    assert sum(r["count"] for r in by_label.values()) == 60
+    mrr = [by_label[label]["avg_mrr"] for label in S.SEGMENT_LABELS]
+    assert mrr == sorted(mrr)                                  # labels follow ascending mean MRR
+    cen = {r["segment_label"]: r["mrr_usd"] for r in centres.collect()}
+    assert all(abs(cen[k] - by_label[k]["avg_mrr"]) < 0.01 for k in cen)   # centres back in original units
+    out = tmp_path / "dash"
+    S.export_dashboard(seg, str(out))
+    back = spark.read.option("header", True).csv(str(out))
+    assert back.count() == 60 and back.columns == [c for c in S.EXPORT_COLUMNS if c in seg.columns]
+
+
+def test_funnel_from_json_documents(spark, tmp_path):
+    from lapse.sources.tables import RAW_ONBOARDING_SCHEMA
+    docs = [{"member_id": "1", "step": "signup", "completed": True, "timestamp": "2024-01-01T00:00:00Z"},
+            {"memberId": "2", "step": "signup", "completed": True},
+            {"memberId": "2", "step": "first_login", "completed": True},
+            {"member_id": "3", "step": "first_login", "completed": False},
+            {"member_id": "4", "step": "unknown_step", "completed": True}]
+    p = tmp_path / "onb.json"
+    p.write_text("\n".join(json.dumps(d) for d in docs))
+    raw = read_json_documents(spark, str(p), RAW_ONBOARDING_SCHEMA)
+    got = [(r["step"], r["users"], r["dropoff_pct"]) for r in E.onboarding_funnel(raw).collect()]
+    assert got[:2] == [("signup", 2, 0.0), ("first_login", 1, 50.0)]
