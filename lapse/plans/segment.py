@@ -26,7 +26,7 @@ RESTARTS = 10
 
 def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES, k: int = K, seed: int = SEED,
                       restarts: int = RESTARTS, labels: Sequence[str] = SEGMENT_LABELS,
-                      checkpoint: bool = True, parallelism: int = 4) -> tuple[DataFrame, DataFrame, DataFrame]:
+                      checkpoint: bool = True, parallelism: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Assign each customer a segment and a label.
 
     Returns (frame with segment/label, per-segment stats, centres in original units).
@@ -51,7 +51,7 @@ def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES,
 
     # restarts are independent Spark jobs: submit them concurrently (the
     # scheduler interleaves their tasks); lowest cost wins, lowest seed on ties
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, restarts))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism or restarts, restarts))) as pool:
         fits = list(pool.map(fit, range(restarts)))
     best = min(fits, key=lambda f: (f[0], f[1]))[2]
     assigned = best.transform(scaled).drop("_x", "_z")
