@@ -54,6 +54,12 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
+def dataset_profile(df: DataFrame, flags: Sequence[str] = ()) -> DataFrame:
+    """One row: row count, column count and, per boolean flag, how many rows have it set."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).cast("bigint").alias("columns"),
+                  *[F.count_if(F.col(f)).alias(f"{f}_rows") for f in flags])
+
+
 def fill_defaults(df: DataFrame) -> DataFrame:
     """Categoricals -> 'unknown', mrr -> 0, ticket_count -> 0 (as integer)."""
     out = df

@@ -201,6 +201,16 @@ def p10_rate_by_tier(spark, base):
 
 
 # ----------------------------------------------------------------- operator-level checks
+def op_dataset_profile(spark, base):
+    m = _merged(_dom(spark, base), winsorize=False)
+    return A.dataset_profile(m.withColumn("is_active_customer", ~F.col("is_churned")),
+                             ["is_churned", "is_active_customer", "used_ai_suggest"])
+
+
+def op_months_since_signup(spark, base):
+    return A.months_since(_base(_dom(spark, base))).select("customer_id", "signup_date", "months_since_signup")
+
+
 def op_latest_per_group(spark, base):
     return _dom(spark, base).latest_subscription.select("customer_id", "subscription_id", "plan_id", "status",
                                                         "start_date")
@@ -322,7 +332,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
         p8_cluster_centres, p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
-        op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
+        op_dataset_profile, op_months_since_signup, op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,
         op_quantile_p99, op_floor_index_quartiles, op_monthly_buckets, op_iso_week_buckets, op_contingency_2x2,
         op_text_normalize, op_safe_cast_id, op_mixed_timestamps, op_case_bands,
