@@ -21,10 +21,10 @@ MAX_SLICE = 200_000
 
 
 def _positions(df: DataFrame, positions: list[int], lo_q: float, hi_q: float, total_before: int,
-               depth: int = 0) -> dict[int, float]:
+               depth: int = 0, known: int | None = None) -> dict[int, float]:
     """Exact values at 0-based ``positions`` of ``df.v`` sorted ascending (positions are
     relative to the full column; ``total_before`` rows lie below ``df``)."""
-    n = df.count()
+    n = df.count() if depth or known is None else known
     rel = [p - total_before for p in positions]
     if n <= MAX_SLICE or depth >= 4:
         first, last = min(rel), max(rel)
@@ -46,14 +46,17 @@ def _positions(df: DataFrame, positions: list[int], lo_q: float, hi_q: float, to
     return _positions(inner, positions, 0.0, 1.0, total_before + c["below"], depth + 1)
 
 
-def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    """Linearly interpolated quantile (``quantile_cont`` / pandas default) of a numeric column."""
+def exact_quantile(df: DataFrame, col: str, q: float, n: int | None = None) -> float | None:
+    """Linearly interpolated quantile (``quantile_cont`` / pandas default) of a numeric column.
+
+    ``n``: the number of non-null values, when the caller already knows it.
+    """
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = vals.count()
+    n = vals.count() if n is None else n
     if n == 0:
         return None
     h = (n - 1) * q
     lo_i, hi_i = math.floor(h), math.ceil(h)
-    got = _positions(vals, sorted({lo_i, hi_i}), 0.0, 1.0, 0)
+    got = _positions(vals, sorted({lo_i, hi_i}), 0.0, 1.0, 0, known=n)
     lo, hi = got[lo_i], got[hi_i]
     return lo + (hi - lo) * (h - lo_i)

@@ -21,13 +21,18 @@ from ..session import cut_lineage
 from .prefix import prefix_counts
 
 
-def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, buckets: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = RANK() within ``groups`` by ``value`` descending (NULLs rank first)."""
+def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, buckets: int | None = None,
+              materialize: bool = True) -> DataFrame:
+    """``df`` plus ``out`` = RANK() within ``groups`` by ``value`` descending (NULLs rank first).
+
+    ``materialize=False`` when ``df`` is already materialised (re-aggregating it is cheap).
+    """
     groups = list(groups)
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the collapsed table feeds a sketch and two branches: materialise it once
-    # (shared checkpoint folder) rather than recompute it
-    vc = cut_lineage(df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c")))
+    # (shared checkpoint folder) rather than recompute its whole lineage
+    vc = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
+    vc = cut_lineage(vc) if materialize else vc
     ranks = prefix_counts(vc, groups, value, descending=True, buckets=n) \
         .select(*groups, value, (F.lit(1) + F.col("_before")).alias(out))
     base, r = df.alias("d"), ranks.alias("r")

@@ -181,7 +181,8 @@ def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS)
         a, b = steps[i - 1], steps[i]
         n = counts.get((a, b), 0)
         if n:
-            med = exact_quantile(long.where((F.col("from_step") == a) & (F.col("to_step") == b)), "gap_sec", 0.5)
+            med = exact_quantile(long.where((F.col("from_step") == a) & (F.col("to_step") == b)), "gap_sec", 0.5,
+                                 n=int(n))
             rows.append((a, b, int(n), float(med)))
     return onboarding.sparkSession.createDataFrame(
         rows, "from_step string, to_step string, users_with_both bigint, median_gap_sec double")

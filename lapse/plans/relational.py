@@ -104,7 +104,7 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
     # materialise it once in the shared checkpoint folder instead of re-running
     # the invoice join for every consumer
     ltv = cut_lineage(customer_ltv(customers, latest_subscription, plans, invoices))
-    ranked = rank_desc(ltv, ["plan_tier"], "ltv_usd", "tier_rank")
+    ranked = rank_desc(ltv, ["plan_tier"], "ltv_usd", "tier_rank", materialize=False)
     # mean as exact decimal sum / count in double: a DECIMAL quotient would be cut to
     # 6 decimals and the percentage below rounded from a truncated value
     tier_avg = ltv.groupBy("plan_tier").agg(
