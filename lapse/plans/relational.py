@@ -307,12 +307,13 @@ def shared_member_domains(pairs: DataFrame, members: DataFrame) -> DataFrame:
     dom = F.lower(F.split_part("email", F.lit("@"), F.lit(2)))
     dsets = active.select("customer_id", dom.alias("dom")).distinct() \
         .groupBy("customer_id").agg(F.collect_set("dom").alias("doms"))
+    # one per-account summary, so the (large) pair list is joined twice, not three times
+    acct = per_account_emails.join(dsets, "customer_id", "full")
     p = pairs.select("cust_a_id", "cust_b_id")
-    da = dsets.select(F.col("customer_id").alias("cust_a_id"), F.col("doms").alias("doms_a"))
-    db = dsets.select(F.col("customer_id").alias("cust_b_id"), F.col("doms").alias("doms_b"))
-    pae = per_account_emails.withColumnRenamed("customer_id", "cust_a_id")
+    a = acct.select(F.col("customer_id").alias("cust_a_id"), "shared_member_emails", F.col("doms").alias("doms_a"))
+    b = acct.select(F.col("customer_id").alias("cust_b_id"), F.col("doms").alias("doms_b"))
     shared = F.coalesce(F.size(F.array_intersect("doms_a", "doms_b")), F.lit(0))
-    return (p.join(pae, "cust_a_id", "left").join(da, "cust_a_id", "left").join(db, "cust_b_id", "left")
+    return (p.join(a, "cust_a_id", "left").join(b, "cust_b_id", "left")
             .select("cust_a_id", "cust_b_id",
                     F.coalesce(F.col("shared_member_emails"), F.lit(0)).cast("bigint").alias("shared_member_emails"),
                     F.when(F.col("doms_a").isNull() | F.col("doms_b").isNull(), F.lit(0))
