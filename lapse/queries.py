@@ -211,6 +211,22 @@ def op_months_since_signup(spark, base):
     return A.months_since(_base(_dom(spark, base))).select("customer_id", "signup_date", "months_since_signup")
 
 
+def op_topk_score(spark, base):
+    """Top 20 customers by lifetime value (ties by customer id): a bounded top-k, not a sort."""
+    d = _dom(spark, base)
+    ltv = R.customer_ltv(d.customers, d.latest_subscription, d.plans, d.billing_invoices)
+    return ltv.orderBy(F.col("ltv_usd").desc(), "customer_id").limit(20) \
+        .select("customer_id", "plan_tier", F.col("ltv_usd").cast("double").alias("ltv_usd"))
+
+
+def op_array_filter_size(spark, base):
+    """Per member: sessions of at least 30 minutes (the size of a filtered list, as a count)."""
+    logs = _dom(spark, base).activity_logs
+    return logs.groupBy("member_id").agg(
+        F.count_if(F.col("session_duration_sec") >= E.LONG_SESSION_SEC).alias("long_sessions"),
+        F.count(F.lit(1)).alias("sessions"))
+
+
 def op_latest_per_group(spark, base):
     return _dom(spark, base).latest_subscription.select("customer_id", "subscription_id", "plan_id", "status",
                                                         "start_date")
@@ -332,7 +348,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
         p8_cluster_centres, p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
-        op_dataset_profile, op_months_since_signup, op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
+        op_dataset_profile, op_months_since_signup, op_topk_score, op_array_filter_size, op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,
         op_quantile_p99, op_floor_index_quartiles, op_monthly_buckets, op_iso_week_buckets, op_contingency_2x2,
         op_text_normalize, op_safe_cast_id, op_mixed_timestamps, op_case_bands,
