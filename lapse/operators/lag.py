@@ -22,14 +22,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import bucket_bounds, bucket_of, numeric_key
+from .prefix import bucket_bounds, bucket_of, default_buckets, numeric_key
 
 
 def chunked_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
                 prefix: str = "prev_", buckets: int | None = None) -> DataFrame:
     """``df`` plus ``prefix + c`` = the previous row's ``c`` within ``keys`` by ``order`` (ascending)."""
     keys, order, cols = list(keys), list(order), list(cols)
-    nb = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nb = buckets or default_buckets(df.sparkSession)
     key = numeric_key(F.col(order[0]), dict(df.dtypes)[order[0]])
     bounds = bucket_bounds(df.select(key.alias("_k")), F.col("_k"), nb)
     d = df.withColumn("_chunk", bucket_of(key, bounds))

@@ -23,9 +23,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Value ranges per group: enough to split a hot group many ways, few enough
+# that locating a value's range (a scan over the cut points) stays cheap.
+MAX_BUCKETS = 1024
+
+
+def default_buckets(spark: SparkSession) -> int:
+    return max(1, min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
 
 def bucket_bounds(df: DataFrame, value: Column, buckets: int) -> list[float]:
     """Up to ``buckets - 1`` ascending cut points of ``value`` (cast to double)."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .prefix import prefix_counts
+from .prefix import default_buckets, prefix_counts
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -29,7 +29,7 @@ def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     """One row per group with non-null values: ``keys``, one column per quantile
     (and the non-null count as ``count_col`` when given)."""
     keys = list(keys)
-    nb = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nb = buckets or default_buckets(df.sparkSession)
     counts = cut_lineage(value_counts(df, keys, value))
     ranked = prefix_counts(counts, keys, value, descending=False, buckets=nb)
     aggs = []

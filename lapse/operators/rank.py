@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .prefix import prefix_counts
+from .prefix import default_buckets, prefix_counts
 
 
 def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, buckets: int | None = None,
@@ -28,7 +28,7 @@ def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, bucket
     ``materialize=False`` when ``df`` is already materialised (re-aggregating it is cheap).
     """
     groups = list(groups)
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or default_buckets(df.sparkSession)
     # the collapsed table feeds a sketch and two branches: materialise it once
     # (shared checkpoint folder) rather than recompute its whole lineage
     vc = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))

@@ -73,8 +73,10 @@ def session_cadence(logs: DataFrame, tiers: DataFrame | None = None) -> DataFram
     ``tiers`` table the placeholder ``customer_id mod 4`` tier is used.
     """
     keys = ["customer_id", "member_id"]
-    ev = logs.select(*keys, iso_week_key("ts").alias("week"), "session_duration_sec")
-    per_user = (ev.groupBy(*keys, "week").agg(F.count(F.lit(1)).alias("n"))
+    # group on the ISO (week-year, week) integers; the display string is not needed here
+    ev = logs.select(*keys, F.extract(F.lit("YEAROFWEEK"), F.col("ts")).alias("wy"),
+                     F.weekofyear("ts").alias("wk"), "session_duration_sec")
+    per_user = (ev.groupBy(*keys, "wy", "wk").agg(F.count(F.lit(1)).alias("n"))
                 .groupBy(*keys).agg(F.avg("n").alias("avg_sessions")))
     q = floor_index_quantiles(ev, keys, "session_duration_sec", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     users = per_user.join(q, keys, "left")
