@@ -264,12 +264,13 @@ def duplicate_accounts(entities: DataFrame, ordered: bool = True) -> DataFrame:
         (F.col("token_a") == F.col("token_b")) & (F.abs(F.col("name_len_a") - F.col("name_len_b")) <= 5))
     similar_signup = F.coalesce(F.abs(F.col("signup_day_a") - F.col("signup_day_b")) <= 7, F.lit(False))
 
-    def pairs(block, band, width):
-        return band_self_pairs(acc, "customer_id", block, band, width, attrs).drop(*block)
+    def pairs(block, band, width, extra=()):
+        return band_self_pairs(acc, "customer_id", block, band, width, attrs, extra_bands=extra).drop(*block)
 
     dn = pairs(["domain", "token"], "name_len", 5)                               # domain & name
     ds = pairs(["domain"], "signup_day", 7).where(~similar_name)                 # domain & signup, not name
-    ns = pairs(["token"], "signup_day", 7).where(similar_name & ~same_domain)    # name & signup, not domain
+    ns = pairs(["token"], "signup_day", 7, [("name_len", 5)]) \
+        .where(similar_name & ~same_domain)                                      # name & signup, not domain
     cols = ["customer_id_a", "customer_id_b"] + [f"{a}_{s}" for a in attrs for s in "ab"]
     allp = dn.select(*cols).unionByName(ds.select(*cols)).unionByName(ns.select(*cols))
     sd, sn, ss = (x.cast("int") for x in (same_domain, similar_name, similar_signup))

@@ -97,3 +97,15 @@ def test_band_self_pairs_salted_hot_key(spark):
     want = {(a[0], b[0]) for a, b in itertools.combinations(sorted(rows), 2)
             if a[1] == b[1] and abs(a[2] - b[2]) <= 7}
     assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_band_self_pairs_extra_band(spark):
+    rnd = random.Random(9)
+    rows = [(i, rnd.choice(["x", "y"]), rnd.randint(0, 40), rnd.randint(3, 30)) for i in range(160)]
+    df = spark.createDataFrame(rows, "id int, blk string, v int, w int")
+    for rpt in (4096, 7):
+        got = band_self_pairs(df, "id", ["blk"], "v", 7, [], extra_bands=[("w", 5)], rows_per_task=rpt).collect()
+        pairs = [(r["id_a"], r["id_b"]) for r in got]
+        want = {(a[0], b[0]) for a, b in itertools.combinations(sorted(rows), 2)
+                if a[1] == b[1] and abs(a[2] - b[2]) <= 7 and abs(a[3] - b[3]) <= 5}
+        assert len(pairs) == len(set(pairs)) and set(pairs) == want
