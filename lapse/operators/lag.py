@@ -26,8 +26,11 @@ from .prefix import bucket_bounds, bucket_of, default_buckets, numeric_key
 
 
 def chunked_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                prefix: str = "prev_", buckets: int | None = None) -> DataFrame:
-    """``df`` plus ``prefix + c`` = the previous row's ``c`` within ``keys`` by ``order`` (ascending)."""
+                prefix: str = "prev_", buckets: int | None = None, first_flag: str | None = None) -> DataFrame:
+    """``df`` plus ``prefix + c`` = the previous row's ``c`` within ``keys`` by ``order`` (ascending).
+
+    ``first_flag``: also add a boolean column of that name, true where the row has no predecessor.
+    """
     keys, order, cols = list(keys), list(order), list(cols)
     nb = buckets or default_buckets(df.sparkSession)
     key = numeric_key(F.col(order[0]), dict(df.dtypes)[order[0]])
@@ -49,4 +52,6 @@ def chunked_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     out = [F.col(f"a.{c}") for c in df.columns]
     out += [F.when(F.col("a._pos") == 1, F.col(f"b._pv.{c}")).otherwise(F.col(f"a._lag_{c}")).alias(prefix + c)
             for c in cols]
+    if first_flag:
+        out.append(((F.col("a._pos") == 1) & F.col("b._pv").isNull()).alias(first_flag))
     return j.select(*out)

@@ -140,10 +140,31 @@ def plan_transitions(subscriptions: DataFrame, buckets: int | None = None) -> Da
                     F.col("start_date").alias("transition_date"), F.col("prev_plan_id"))
 
 
+def transitions_since(subscriptions: DataFrame, since: _dt.date, buckets: int | None = None) -> DataFrame:
+    """``plan_transitions`` restricted to transitions on or after ``since``, without
+    ordering the whole history: only the recent slice (a filter that reaches the
+    scan) is windowed; the predecessor of a customer's first recent subscription is
+    the latest older one, a combinable max(struct) aggregate over the older rows.
+    Rows without a start date sort last, so they are never a predecessor of a
+    dated row and never a recent transition."""
+    s = subscriptions.select("customer_id", "subscription_id", "plan_id", "start_date")
+    recent = s.where(F.col("start_date") >= F.lit(since))
+    older = latest_per(s.where(F.col("start_date") < F.lit(since)), ["customer_id"],
+                       ["start_date", "subscription_id"], columns=["customer_id", "plan_id"]) \
+        .withColumnRenamed("plan_id", "older_plan_id")
+    t = chunked_lag(recent, ["customer_id"], ["start_date", "subscription_id"], ["plan_id"], buckets=buckets,
+                    first_flag="_first")
+    t = t.join(older, "customer_id", "left")
+    return t.select("customer_id", "subscription_id", F.col("plan_id").alias("new_plan_id"),
+                    F.col("start_date").alias("transition_date"),
+                    F.when(F.col("_first"), F.col("older_plan_id")).otherwise(F.col("prev_plan_id"))
+                    .alias("prev_plan_id"))
+
+
 def downgrades(subscriptions: DataFrame, plans: DataFrame, as_of=_dt.datetime(2001, 8, 1),
                lookback_days: int = 90) -> DataFrame:
     since = (as_of_date(as_of) - _dt.timedelta(days=lookback_days))
-    t = plan_transitions(subscriptions).where(F.col("transition_date") >= F.lit(since))
+    t = transitions_since(subscriptions, since)
     pp = F.broadcast(plans.select(F.col("plan_id").alias("prev_plan_id"), F.col("plan_name").alias("prev_plan_name"),
                                   F.col("plan_tier").alias("prev_plan_tier"),
                                   F.col("monthly_price_usd").alias("prev_plan_price")))

@@ -218,3 +218,16 @@ def test_funnel_from_json_documents(spark, tmp_path):
     raw = read_json_documents(spark, str(p), RAW_ONBOARDING_SCHEMA)
     got = [(r["step"], r["users"], r["dropoff_pct"]) for r in E.onboarding_funnel(raw).collect()]
     assert got[:2] == [("signup", 2, 0.0), ("first_login", 1, 50.0)]
+
+
+def test_transitions_since_matches_full_history(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice([1, 1, 2, 3]), rnd.randint(1, 5),
+             rnd.choice([None] + [D(2001, 1, 1) + dt.timedelta(days=rnd.randint(0, 200))] * 8)) for i in range(200)]
+    subs = spark.createDataFrame(rows, "subscription_id long, customer_id long, plan_id int, start_date date")
+    since = D(2001, 5, 1)
+    full = R.plan_transitions(subs).where(F.col("transition_date") >= F.lit(since))
+    part = R.transitions_since(subs, since)
+    key = lambda r: (r["subscription_id"], r["prev_plan_id"])
+    assert sorted(map(key, part.collect())) == sorted(map(key, full.collect()))
