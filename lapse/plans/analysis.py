@@ -89,16 +89,16 @@ def winsorize_upper(df: DataFrame, col: str, q: float = 0.99) -> tuple[DataFrame
 def engagement_features(base: DataFrame, logs: DataFrame, flag_feature: str) -> DataFrame:
     """Per customer: flag-feature clicks and use, total non-null feature events,
     distinct features, session seconds; customers without events get False / 0."""
-    flag = (logs.where(F.col("feature") == flag_feature).groupBy("customer_id")
-            .agg(F.count(F.lit(1)).alias("ai_suggest_clicks")).withColumn("used_ai_suggest", F.lit(True)))
+    # one pass over the events: flag-feature clicks and the usage totals together
     usage = logs.groupBy("customer_id").agg(
+        F.count_if(F.col("feature") == flag_feature).alias("ai_suggest_clicks"),
         F.count("feature").alias("total_feature_clicks"),
         F.count_distinct("feature").alias("distinct_features_used"),
         F.sum("session_duration_sec").alias("total_session_sec"))
-    m = base.join(flag, "customer_id", "left").join(usage, "customer_id", "left")
+    m = base.join(usage, "customer_id", "left")
     return m.select(
         *[c for c in base.columns],
-        F.coalesce(F.col("used_ai_suggest"), F.lit(False)).alias("used_ai_suggest"),
+        F.coalesce(F.col("ai_suggest_clicks") > 0, F.lit(False)).alias("used_ai_suggest"),
         F.coalesce(F.col("ai_suggest_clicks"), F.lit(0)).cast("bigint").alias("ai_suggest_clicks"),
         F.coalesce(F.col("total_feature_clicks"), F.lit(0)).cast("bigint").alias("total_feature_clicks"),
         F.coalesce(F.col("distinct_features_used"), F.lit(0)).cast("bigint").alias("distinct_features_used"),
