@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import chi2_sf_df1, norm_cdf
 from ..operators.order_stats import exact_quantile
+from ..session import cut_lineage
 
 # Default fills and the exported column list.
 CATEGORICAL_DEFAULTS = ("plan_tier", "industry", "company_size", "country_code")
@@ -160,10 +161,11 @@ def rate_by(df: DataFrame, dim: str, outcome: str = "is_churned") -> DataFrame:
     """Size, churned count, churn rate (%) and share of all churn per value of ``dim``."""
     g = df.groupBy(dim).agg(F.count(F.lit(1)).alias("customers"),
                             F.count_if(F.col(outcome)).alias("churned"))
-    # grand totals over the aggregated rows (one per category of ``dim``, which is
-    # categorical): a window over that small result, one pass over the input
-    whole = Window.partitionBy()
-    j = g.withColumns({"_all": F.sum("churned").over(whole), "_n": F.sum("customers").over(whole)})
+    # the grouped rows are materialised once (shared checkpoint folder); grand totals
+    # are scalar subqueries over them: no join, no single-partition window, and the
+    # input is aggregated only once
+    g = cut_lineage(g)
+    j = g.withColumns({"_all": g.agg(F.sum("churned")).scalar(), "_n": g.agg(F.sum("customers")).scalar()})
     return j.select(dim, "customers", "churned",
                     F.round(F.col("churned").cast("decimal(20,0)") * 100 / F.col("customers"), 1)
                     .cast("double").alias("churn_rate_pct"),
