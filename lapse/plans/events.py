@@ -176,7 +176,7 @@ def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS)
     # one exact median per consecutive step pair (a fixed handful): each is a
     # sketch-bracketed selection (exact_quantile), never one task holding every gap
     long = cut_lineage(long)
-    counts = {(r["from_step"], r["to_step"]): r["n"] for r in
+    counts = {(r["from_step"], r["to_step"]): r["n"] for r in  # one row per step pair: len(steps) - 1
               long.groupBy("from_step", "to_step").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = []
     for i in range(1, len(steps)):
