@@ -187,7 +187,9 @@ def friction_downgrades(customers: DataFrame, subscriptions: DataFrame, plans: D
                         min_tickets: int = 3, ordered: bool = True) -> DataFrame:
     """Downgrades in the last ``lookback_days`` preceded by more than ``min_tickets``
     tickets in the ``ticket_window_days`` before the downgrade (half-open window)."""
-    d = downgrades(subscriptions, plans, as_of, lookback_days)
+    # the downgrade set (one lookback window) feeds the ticket count and the final
+    # join: materialise it once instead of re-running the transition window twice
+    d = cut_lineage(downgrades(subscriptions, plans, as_of, lookback_days))
     # no downgrade window can start before this: prune tickets at the scan
     earliest = _dt.datetime.combine(as_of_date(as_of) - _dt.timedelta(days=lookback_days + ticket_window_days),
                                     _dt.time())
