@@ -45,7 +45,8 @@ def plan_health(plans: DataFrame, subscriptions: DataFrame, tickets: DataFrame,
     """Active customers, MRR and support-ticket rate per plan.
 
     The ticket window starts at the first day of the month ``months`` before
-    ``as_of`` and is open-ended above; the rate divides by ``months`` anyway.
+    ``as_of`` and is open-ended above (so it also holds the current partial
+    month); the rate still divides by ``months``.
     Tickets are counted per customer before meeting the subscriptions, so the
     join sees one row per customer instead of one per ticket.
     """
@@ -63,7 +64,7 @@ def plan_health(plans: DataFrame, subscriptions: DataFrame, tickets: DataFrame,
     active_n = F.coalesce(F.col("active_customers"), F.lit(0))
     rate = F.when(active_n == 0, F.lit(0).cast("decimal(38,4)")).otherwise(
         F.round(F.coalesce(F.col("total_tickets"), F.lit(0)).cast("decimal(20,0)")
-                / (active_n * F.lit(6)).cast("decimal(20,1)"), 4))
+                / (active_n * F.lit(months)).cast("decimal(20,1)"), 4))
     out = pc.select(
         "plan_name", "plan_tier",
         active_n.cast("bigint").alias("active_customers"),
