@@ -272,7 +272,7 @@ def clean_accounts(entities: DataFrame) -> DataFrame:
              F.datediff(F.col("signup_date"), F.lit("1970-01-01").cast("date")).alias("signup_day"))
 
 
-def duplicate_accounts(entities: DataFrame, ordered: bool = True) -> DataFrame:
+def duplicate_accounts(entities: DataFrame, ordered: bool = True, account_attrs: DataFrame | None = None) -> DataFrame:
     """Pairs of accounts with at least two of: same e-mail domain, similar name
     (same first token and length within 5), sign-ups within 7 days.
 
@@ -283,6 +283,11 @@ def duplicate_accounts(entities: DataFrame, ordered: bool = True) -> DataFrame:
     """
     acc = clean_accounts(entities)
     attrs = ["name", "domain", "signup_date", "token", "name_len", "signup_day"]
+    extra = []
+    if account_attrs is not None:  # per-account columns carried into the pairs as <col>_a / <col>_b
+        extra = [c for c in account_attrs.columns if c != "customer_id"]
+        acc = acc.join(account_attrs, "customer_id", "left")
+        attrs += extra
     same_domain = F.coalesce(F.col("domain_a") == F.col("domain_b"), F.lit(False))
     similar_name = (F.col("name_a") == F.col("name_b")) | (
         (F.col("token_a") == F.col("token_b")) & (F.abs(F.col("name_len_a") - F.col("name_len_b")) <= 5))
@@ -303,7 +308,8 @@ def duplicate_accounts(entities: DataFrame, ordered: bool = True) -> DataFrame:
         F.col("customer_id_a").alias("cust_a_id"), F.col("customer_id_b").alias("cust_b_id"),
         F.col("name_a"), F.col("name_b"), F.col("domain_a"), F.col("domain_b"),
         F.col("signup_date_a").alias("signup_a"), F.col("signup_date_b").alias("signup_b"),
-        sd.alias("same_domain"), sn.alias("similar_name"), ss.alias("similar_signup"), score.alias("match_score"))
+        sd.alias("same_domain"), sn.alias("similar_name"), ss.alias("similar_signup"), score.alias("match_score"),
+        *[F.col(f"{c}_{side}") for c in extra for side in "ab"])
     out = out.where(F.col("match_score") >= 2).withColumn(
         "duplicate_confidence",
         F.when(F.col("match_score") >= 3, DUPLICATE_LABELS[0]).when(F.col("match_score") == 2, DUPLICATE_LABELS[1])
@@ -313,17 +319,9 @@ def duplicate_accounts(entities: DataFrame, ordered: bool = True) -> DataFrame:
     return out
 
 
-def shared_member_domains(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Team-member evidence per candidate pair.
-
-    ``shared_member_emails``: distinct e-mails of the members of account A
-    (what the original scoring step counts; B's members do not change it).
-    ``shared_member_domains``: distinct e-mail domains that active members of
-    both A and B use (the evidently intended signal).
-    Both come from per-account summaries joined 1:1 onto the pairs; the
-    domain summary is each account's set of *distinct* member domains, so a
-    pair costs one set intersection instead of members x members rows.
-    """
+def member_summary(members: DataFrame) -> DataFrame:
+    """Per account: distinct e-mails of its active members' member ids
+    (``shared_member_emails``) and its set of distinct active member domains (``doms``)."""
     active = members.where(F.col("is_active"))
     a_members = active.select("customer_id", "member_id").distinct()
     emails = members.select("member_id", "email").distinct()
@@ -332,14 +330,38 @@ def shared_member_domains(pairs: DataFrame, members: DataFrame) -> DataFrame:
     dom = F.lower(F.split_part("email", F.lit("@"), F.lit(2)))
     dsets = active.select("customer_id", dom.alias("dom")).distinct() \
         .groupBy("customer_id").agg(F.collect_set("dom").alias("doms"))
-    # one per-account summary, so the (large) pair list is joined twice, not three times
-    acct = per_account_emails.join(dsets, "customer_id", "full")
-    p = pairs.select("cust_a_id", "cust_b_id")
-    a = acct.select(F.col("customer_id").alias("cust_a_id"), "shared_member_emails", F.col("doms").alias("doms_a"))
-    b = acct.select(F.col("customer_id").alias("cust_b_id"), F.col("doms").alias("doms_b"))
+    return per_account_emails.join(dsets, "customer_id", "full")
+
+
+def _member_evidence(p: DataFrame) -> DataFrame:
     shared = F.coalesce(F.size(F.array_intersect("doms_a", "doms_b")), F.lit(0))
-    return (p.join(a, "cust_a_id", "left").join(b, "cust_b_id", "left")
-            .select("cust_a_id", "cust_b_id",
-                    F.coalesce(F.col("shared_member_emails"), F.lit(0)).cast("bigint").alias("shared_member_emails"),
+    return p.select("cust_a_id", "cust_b_id",
+                    F.coalesce(F.col("shared_member_emails_a"), F.lit(0)).cast("bigint").alias("shared_member_emails"),
                     F.when(F.col("doms_a").isNull() | F.col("doms_b").isNull(), F.lit(0))
-                    .otherwise(shared).cast("bigint").alias("shared_member_domains")))
+                    .otherwise(shared).cast("bigint").alias("shared_member_domains"))
+
+
+def shared_member_domains(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Team-member evidence for any list of account pairs (``cust_a_id``, ``cust_b_id``).
+
+    ``shared_member_emails``: distinct e-mails of the members of account A
+    (what the original scoring step counts; B's members do not change it).
+    ``shared_member_domains``: distinct e-mail domains that active members of
+    both A and B use (the evidently intended signal).
+    Both come from one per-account summary joined 1:1 onto each side of the pairs;
+    a pair costs one set intersection instead of members x members rows.
+    """
+    acct = member_summary(members)
+    a = acct.select(F.col("customer_id").alias("cust_a_id"), F.col("shared_member_emails").alias(
+        "shared_member_emails_a"), F.col("doms").alias("doms_a"))
+    b = acct.select(F.col("customer_id").alias("cust_b_id"), F.col("doms").alias("doms_b"))
+    p = pairs.select("cust_a_id", "cust_b_id").join(a, "cust_a_id", "left").join(b, "cust_b_id", "left")
+    return _member_evidence(p)
+
+
+def duplicate_member_evidence(entities: DataFrame, members: DataFrame) -> DataFrame:
+    """``shared_member_domains`` for the duplicate-account pairs, without joining the pair list:
+    the per-account member summary is attached to the accounts before the pairs are
+    generated, so each pair is born with both summaries (the pair list is the large side)."""
+    pairs = duplicate_accounts(entities, ordered=False, account_attrs=member_summary(members))
+    return _member_evidence(pairs)

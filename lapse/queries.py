@@ -71,8 +71,7 @@ def s5_duplicate_accounts(spark, base):
 
 def s5b_shared_member_domains(spark, base):
     d = _dom(spark, base)
-    pairs = R.duplicate_accounts(d.duplicate_entities, ordered=False)
-    return R.shared_member_domains(pairs, d.team_members)
+    return R.duplicate_member_evidence(d.duplicate_entities, d.team_members)
 
 
 # ----------------------------------------------------------------- events
