@@ -197,7 +197,8 @@ def friction_downgrades(customers: DataFrame, subscriptions: DataFrame, plans: D
     t = tickets.where(F.col("created_at") >= ntz_literal(earliest)).select("customer_id", "ticket_id", "created_at")
     day0 = F.col("w.downgrade_date").cast("timestamp_ntz")
     hits = interval_join(d.select("customer_id", "downgrade_date"), t, ["customer_id"], "created_at",
-                         lower=day0 - F.make_dt_interval(F.lit(ticket_window_days)), upper=day0)
+                         lower=day0 - F.make_dt_interval(F.lit(ticket_window_days)), upper=day0,
+                         bucket_days=ticket_window_days)
     tb = (hits.groupBy("customer_id", "downgrade_date").agg(F.count("ticket_id").alias("tickets_prior_30d"))
           .where(F.col("tickets_prior_30d") > min_tickets))
     c = customers.select("customer_id", "company_name", "industry", "company_size", "is_active", "churn_reason")

@@ -241,7 +241,7 @@ def op_interval_join_tickets(spark, base):
     subs = d.subscriptions.select("subscription_id", "customer_id", "start_date")
     day0 = F.col("w.start_date").cast("timestamp_ntz")
     hits = interval_join(subs, d.support_tickets.select("customer_id", "ticket_id", "created_at"), ["customer_id"],
-                         "created_at", lower=day0 - F.make_dt_interval(F.lit(30)), upper=day0)
+                         "created_at", lower=day0 - F.make_dt_interval(F.lit(30)), upper=day0, bucket_days=30)
     return hits.groupBy("subscription_id", "customer_id", "start_date").agg(
         F.count("ticket_id").alias("tickets_prior_30d"))
 

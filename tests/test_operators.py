@@ -109,3 +109,21 @@ def test_band_self_pairs_extra_band(spark):
         want = {(a[0], b[0]) for a, b in itertools.combinations(sorted(rows), 2)
                 if a[1] == b[1] and abs(a[2] - b[2]) <= 7 and abs(a[3] - b[3]) <= 5}
         assert len(pairs) == len(set(pairs)) and set(pairs) == want
+
+
+def test_interval_join_time_buckets_match_plain(spark):
+    import datetime as dt
+    from lapse.operators import interval_join
+    rnd = random.Random(21)
+    base = dt.datetime(2020, 1, 1)
+    wins = spark.createDataFrame([(i, rnd.randint(1, 3), (base + dt.timedelta(days=rnd.randint(0, 120))).date())
+                                  for i in range(60)], "wid int, k int, d date")
+    evs = spark.createDataFrame([(j, rnd.randint(1, 3), base + dt.timedelta(hours=rnd.randint(0, 24 * 130)))
+                                 for j in range(400)], "eid int, k int, t timestamp_ntz")
+    day0 = F.col("w.d").cast("timestamp_ntz")
+    lo, hi = day0 - F.make_dt_interval(F.lit(30)), day0
+    plain = interval_join(wins, evs, ["k"], "t", lower=lo, upper=hi)
+    bucketed = interval_join(wins, evs, ["k"], "t", lower=lo, upper=hi, bucket_days=30)
+    a = sorted(map(tuple, plain.select("wid", "eid").collect()))
+    b = sorted(map(tuple, bucketed.select("wid", "eid").collect()))
+    assert a == b and len(a) > 0
