@@ -100,9 +100,19 @@ def feature_first_use(logs: DataFrame) -> DataFrame:
                     & F.col("member_id").isNotNull() & F.col("ts").isNotNull()) \
         .select("member_id", "feature", "ts")
     firsts = fc.groupBy("member_id", "feature").agg(F.min("ts").alias("first_use"))
-    back = (F.col("ts") > F.col("first_use")) & \
-        (F.col("ts") <= F.col("first_use") + F.make_dt_interval(F.lit(RETURN_WINDOW_DAYS)))
-    return fc.join(firsts, ["member_id", "feature"]).groupBy("member_id", "feature").agg(
+    horizon = F.make_dt_interval(F.lit(RETURN_WINDOW_DAYS))
+    # only uses within [first, first + 7 days] matter: join on a 7-day bucket as well,
+    # each first use repeated for the (at most 2) buckets its window touches, so the
+    # join meets that neighbourhood only and a long history is split by time
+    day = lambda c: F.unix_date(F.to_date(c))
+    b = RETURN_WINDOW_DAYS
+    firsts_b = firsts.select("*", F.explode(F.sequence(F.floor(day(F.col("first_use")) / b),
+                                                       F.floor(day(F.col("first_use") + horizon) / b))).alias("_tb"))
+    fc_b = fc.select("*", F.floor(day(F.col("ts")) / b).alias("_tb"))
+    near = fc_b.join(firsts_b, ["member_id", "feature", "_tb"]) \
+        .where((F.col("ts") >= F.col("first_use")) & (F.col("ts") <= F.col("first_use") + horizon))
+    back = F.col("ts") > F.col("first_use")  # the first use itself keeps every key present
+    return near.groupBy("member_id", "feature").agg(
         F.min("first_use").alias("first_use"), F.max(back.cast("int")).alias("returned"))
 
 

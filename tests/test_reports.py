@@ -231,3 +231,19 @@ def test_transitions_since_matches_full_history(spark):
     part = R.transitions_since(subs, since)
     key = lambda r: (r["subscription_id"], r["prev_plan_id"])
     assert sorted(map(key, part.collect())) == sorted(map(key, full.collect()))
+
+
+def test_feature_return_window_edges(spark):
+    t = dt.datetime(2024, 1, 1, 12)
+    seven = dt.timedelta(days=7)
+    rows = [
+        (1, "a", t), (1, "a", t),                                  # same instant again: not a return
+        (2, "a", t), (2, "a", t + seven),                          # exactly +7 days: a return
+        (3, "a", t), (3, "a", t + seven + dt.timedelta(seconds=1)),  # just after: not a return
+        (4, "a", t - dt.timedelta(days=400)), (4, "a", t),          # long gap, then more use: not a return
+        (4, "a", t + dt.timedelta(days=1)),
+    ]
+    logs = spark.createDataFrame([(m, f, ts, "feature_click") for m, f, ts in rows],
+                                 "member_id long, feature string, ts timestamp_ntz, event_type string")
+    got = {r["member_id"]: r["returned"] for r in E.feature_first_use(logs).collect()}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 0}
