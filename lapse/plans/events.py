@@ -86,7 +86,8 @@ def session_cadence(logs: DataFrame, tiers: DataFrame | None = None) -> DataFram
         users = users.join(tiers.withColumnRenamed("plan_tier", "tier"), "customer_id", "left")
     return users.groupBy("tier").agg(
         F.count(F.lit(1)).alias("user_count"),
-        F.bround(F.avg("avg_sessions"), 2).alias("avg_sessions_per_week"),
+        # exact decimal mean: a double sum's order could tip a half-even tie either way
+        F.bround(F.avg(F.col("avg_sessions").cast("decimal(38,10)")), 2).cast("double").alias("avg_sessions_per_week"),
         F.bround(F.avg("p25"), 0).alias("avg_p25_session_duration_sec"),
         F.bround(F.avg("p50"), 0).alias("avg_p50_session_duration_sec"),
         F.bround(F.avg("p75"), 0).alias("avg_p75_session_duration_sec")).orderBy("tier")
@@ -192,10 +193,11 @@ def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS)
     for i in range(1, len(steps)):
         a, b = steps[i - 1], steps[i]
         n = counts.get((a, b), 0)
+        med = None
         if n:
-            med = exact_quantile(long.where((F.col("from_step") == a) & (F.col("to_step") == b)), "gap_sec", 0.5,
-                                 n=int(n))
-            rows.append((a, b, int(n), float(med)))
+            med = float(exact_quantile(long.where((F.col("from_step") == a) & (F.col("to_step") == b)),
+                                       "gap_sec", 0.5, n=int(n)))
+        rows.append((a, b, int(n), med))  # every consecutive pair is reported, 0 users -> NULL median
     return onboarding.sparkSession.createDataFrame(
         rows, "from_step string, to_step string, users_with_both bigint, median_gap_sec double")
 
