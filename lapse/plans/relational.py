@@ -97,9 +97,9 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
              ordered: bool = True) -> DataFrame:
     """Rank customers by lifetime value inside their plan tier, with % gap to the tier mean.
 
-    The rank is computed with a range-partitioned distributed rank (see
-    :mod:`lapse.operators.rank`) rather than one window task per tier, and the
-    tier mean is a grouped aggregate joined back (one row per tier).
+    The rank comes from bucketed prefix counts (:mod:`lapse.operators.rank`),
+    not one window task per tier, and the tier mean is a grouped aggregate
+    joined back (one row per tier, broadcast).
     """
     # one row per customer, read by the rank (several passes) and the tier mean:
     # materialise it once in the shared checkpoint folder instead of re-running
