@@ -10,5 +10,6 @@ from .prefix import prefix_counts
 from .quantiles import floor_index_quantiles
 from .rank import rank_desc
 
-__all__ = ["chunked_lag", "prefix_counts", "interval_join", "earliest_per", "latest_per", "exact_quantile", "band_self_pairs",
+__all__ = ["chunked_lag", "prefix_counts", "interval_join", "earliest_per", "latest_per", "exact_quantile",
+           "band_self_pairs",
            "floor_index_quantiles", "rank_desc"]

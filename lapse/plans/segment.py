@@ -26,7 +26,8 @@ RESTARTS = 10
 
 def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES, k: int = K, seed: int = SEED,
                       restarts: int = RESTARTS, labels: Sequence[str] = SEGMENT_LABELS,
-                      checkpoint: bool = True, parallelism: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                      checkpoint: bool = True,
+                      parallelism: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Assign each customer a segment and a label.
 
     Returns (frame with segment/label, per-segment stats, centres in original units).

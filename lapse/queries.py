@@ -43,7 +43,7 @@ def s1_plan_health(spark, base):
 
 def s2_ltv_rank(spark, base):
     d = _dom(spark, base)
-    return R.ltv_rank(d.customers, d.latest_subscription, d.plans, d.billing_invoices)
+    return R.ltv_rank(d.customers, d.latest_subscription_of("plan_id"), d.plans, d.billing_invoices)
 
 
 def s3_friction_downgrades(spark, base):
@@ -89,7 +89,7 @@ def m1_session_cadence(spark, base):
 
 def m1_session_cadence_by_plan(spark, base):
     d = _dom(spark, base)
-    return E.session_cadence(d.activity_logs, tiers=E.current_tiers(d.latest_subscription, d.plans))
+    return E.session_cadence(d.activity_logs, tiers=E.current_tiers(d.latest_subscription_of("plan_id"), d.plans))
 
 
 def m2_feature_retention(spark, base):
@@ -114,8 +114,8 @@ def m4_upsell_candidates(spark, base):
 
 def m4_upsell_candidates_free(spark, base):
     d = _dom(spark, base)
-    return E.upsell_candidates(d.activity_logs, k=20, tiers=E.current_tiers(d.latest_subscription, d.plans),
-                               tier="free")
+    tiers = E.current_tiers(d.latest_subscription_of("plan_id"), d.plans)
+    return E.upsell_candidates(d.activity_logs, k=20, tiers=tiers, tier="free")
 
 
 # ----------------------------------------------------------------- analysis frame
@@ -213,7 +213,7 @@ def op_months_since_signup(spark, base):
 def op_topk_score(spark, base):
     """Top 20 customers by lifetime value (ties by customer id): a bounded top-k, not a sort."""
     d = _dom(spark, base)
-    ltv = R.customer_ltv(d.customers, d.latest_subscription, d.plans, d.billing_invoices)
+    ltv = R.customer_ltv(d.customers, d.latest_subscription_of("plan_id"), d.plans, d.billing_invoices)
     return ltv.orderBy(F.col("ltv_usd").desc(), "customer_id").limit(20) \
         .select("customer_id", "plan_tier", F.col("ltv_usd").cast("double").alias("ltv_usd"))
 
@@ -227,8 +227,7 @@ def op_array_filter_size(spark, base):
 
 
 def op_latest_per_group(spark, base):
-    return _dom(spark, base).latest_subscription.select("customer_id", "subscription_id", "plan_id", "status",
-                                                        "start_date")
+    return _dom(spark, base).latest_subscription_of("subscription_id", "plan_id", "status", "start_date")
 
 
 def op_plan_transitions(spark, base):
@@ -347,7 +346,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
         p8_cluster_centres, p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
-        op_dataset_profile, op_months_since_signup, op_topk_score, op_array_filter_size, op_latest_per_group, op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
+        op_dataset_profile, op_months_since_signup, op_topk_score, op_array_filter_size, op_latest_per_group,
+        op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,
         op_quantile_p99, op_floor_index_quartiles, op_monthly_buckets, op_iso_week_buckets, op_contingency_2x2,
         op_text_normalize, op_safe_cast_id, op_mixed_timestamps, op_case_bands,

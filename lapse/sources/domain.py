@@ -96,6 +96,13 @@ class Domain:
         """Latest subscription of any status per customer (start_date DESC NULLS FIRST, id DESC)."""
         return latest_per(self.subscriptions, ["customer_id"], ["start_date", "subscription_id"])
 
+    def latest_subscription_of(self, *cols: str) -> DataFrame:
+        """``latest_subscription`` carrying only ``cols``: the latest-row aggregate packs
+        its payload into a struct, which the optimizer cannot prune, so narrow it here
+        and the scan reads only the ordering columns plus ``cols``."""
+        return latest_per(self.subscriptions, ["customer_id"], ["start_date", "subscription_id"],
+                          columns=["customer_id", *cols])
+
     @cached_property
     def customer_subscription_summary(self) -> DataFrame:
         """Per customer, in ONE combinable aggregate: first start date and the latest
@@ -140,7 +147,8 @@ class Domain:
     def support_tickets(self) -> DataFrame:
         j = self._line_orders("l_linenumber", "l_shipdate", "l_returnflag", where=F.col("l_returnflag") == "R")
         return j.select(
-            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ticket_id"),
+            F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                        F.col("l_linenumber").cast("string")).alias("ticket_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("l_shipdate").alias("created_at"))
 
