@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.llm import exact_dedup, html_text, mixing, quality, toxicity
+from lapse.llm import exact_dedup, html_text, mixing, near_dedup, quality, repeated_passages, toxicity
 from lapse.llm.common import table
 from lapse.llm.sampling import fold_of
 
@@ -23,10 +23,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, trees).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -39,7 +47,9 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op4_near_dedup": op4_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_repeated_passages": op7_repeated_passages,
     "op8_mixing": op8_mixing,
     "op10_html_text": op10_html_text,
 }
