@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapse.llm import exact_dedup, html_text, mixing, near_dedup, quality, repeated_passages, toxicity
+from lapse.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, repeated_passages, toxicity
 from lapse.llm.common import table
 from lapse.llm.sampling import fold_of
 
@@ -40,6 +40,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_repeated_passages": op7_repeated_passages,
     "op8_mixing": op8_mixing,
+    "op9_decontamination": op9_decontamination,
     "op10_html_text": op10_html_text,
 }
 
