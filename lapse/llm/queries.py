@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lapse.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, repeated_passages, toxicity
-from lapse.llm.common import table
+from lapse.llm import decontaminate, exact_dedup, html_text, license_scan, mixing, near_dedup, quality, repeated_passages, toxicity, warc_fixity
+from lapse.llm.common import staged, table
 from lapse.llm.sampling import fold_of
 
 
@@ -16,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold_of("doc_id", 3) == 1
@@ -31,6 +36,25 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def _damaged(record: Column) -> Column:
+    """A copy's record: of 256 records about one is missing, one has a byte changed and one has lost its second half."""
+    case = F.substring(F.md5(record), 1, 2)
+    return F.when(case == "00", F.lit(None)).when(case == "01", F.overlay(record, F.lit("~"), 300)).when(
+        case == "02", F.substring(record, F.lit(1), F.floor(F.char_length(record) / 2).cast("int"))).otherwise(record)
+
+
+def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record in the archive, and what the audit says of a damaged copy of the archive."""
+    records = staged(warc_fixity.archive(table(spark, sf_dir, "pages"), copied=_damaged), "warc")
+    copy = records.where("copy_sha256 is not null").select(
+        "file", "offset", F.col("copy_length").alias("length"), F.col("copy_sha256").alias("sha256"))
+    wrong = warc_fixity.audit(records.select("file", "offset", "length", "sha256"), copy).select(
+        "file", "offset", F.when(F.col("other").isNull(), "missing").otherwise("changed").alias("found"))
+    return records.join(wrong, ["file", "offset"], "left").select(
+        F.col("record_id").alias("page_id"), "url", "file", "offset", "length", "sha256",
+        F.coalesce("found", F.lit("intact")).alias("status"))
+
+
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -50,9 +74,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_license_scan": op2_license_scan,
     "op3_quality": op3_quality,
     "op4_near_dedup": op4_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_warc_fixity": op6_warc_fixity,
     "op7_repeated_passages": op7_repeated_passages,
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
@@ -68,4 +94,23 @@ ORACLE: dict[str, str] = {
         select t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id as kept, sha256(t.norm) as text_sha256
         from t join g using (norm)
     """,
+    "op6_warc_fixity": """
+        with p as (select page_id, url, coalesce(url, '') as u, coalesce(html, '') as body from pages),
+        n as (select case when count(*) <= 2048 * 16 then 1 when count(*) <= 2048 * 256 then 2
+                     when count(*) <= 2048 * 4096 then 3 else 4 end as digits from pages),
+        r as (select page_id, url, md5(coalesce(page_id::varchar, '') || '|' || u) as name,
+              'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:md5:'
+              || md5(coalesce(page_id::varchar, '') || '|' || u) || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || u || chr(13) || chr(10)
+              || 'WARC-Payload-Digest: sha256:' || sha256(body) || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+              || 'Content-Length: ' || strlen(body) || chr(13) || chr(10) || chr(13) || chr(10) || body
+              || chr(13) || chr(10) || chr(13) || chr(10) as record from p),
+        s as (select page_id, url, left(name, digits) as file, record, strlen(record) as length, sha256(record) as sha256,
+              left(md5(record), 2) as c from r, n)
+        select page_id, url, file, (sum(length) over (partition by file order by page_id nulls first, url nulls first, sha256
+               rows between unbounded preceding and current row) - length)::bigint as offset, length, sha256,
+               case when c = '00' then 'missing'
+                    when c = '01' and left(record, 299) || '~' || substring(record, 301) <> record then 'changed'
+                    when c = '02' then 'changed' else 'intact' end as status
+        from s
+    """,
 }
