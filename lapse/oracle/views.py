@@ -22,9 +22,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT o_orderkey AS subscription_id, o_custkey AS customer_id,
                TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS plan_id,
                CAST(o_totalprice AS DECIMAL(12,2)) AS mrr_usd,
-               CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'cancelled' WHEN 'P' THEN 'paused' END AS status,
-               CAST(o_orderdate AS DATE) AS start_date,
-               CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 45 END AS end_date
+               CASE WHEN o_orderstatus = 'O' THEN 'active' WHEN o_orderstatus = 'F' THEN 'cancelled'
+                    WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 'trial' WHEN o_orderstatus = 'P' THEN 'paused' END AS status,
+               CASE WHEN o_orderkey % 211 <> 5 THEN CAST(o_orderdate AS DATE) END AS start_date,
+               CASE WHEN o_orderstatus = 'F' AND o_orderkey % 211 <> 5 THEN CAST(o_orderdate AS DATE) + 45 END AS end_date
         FROM orders"""),
     "latest_sub": (("subscriptions",), """
         SELECT * EXCLUDE (rn) FROM (
@@ -33,7 +34,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             FROM subscriptions) z
         WHERE rn = 1"""),
     "customers": (("subscriptions", "latest_sub"), """
-        SELECT c.c_custkey AS customer_id, c.c_name AS company_name, c.c_mktsegment AS industry,
+        SELECT c.c_custkey AS customer_id, CASE WHEN c.c_custkey % 53 = 3 THEN NULL WHEN c.c_custkey % 59 = 4 THEN '  '
+                    WHEN c.c_custkey % 61 = 5 THEN '' ELSE c.c_name END AS company_name, c.c_mktsegment AS industry,
                CASE WHEN c.c_acctbal < 2500 THEN 'small' WHEN c.c_acctbal < 5000 THEN 'medium'
                     WHEN c.c_acctbal < 7500 THEN 'large' ELSE 'enterprise' END AS company_size,
                n.n_name AS country_code,
@@ -61,8 +63,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT event_id, user_id AS member_id, user_id AS customer_id, ts,
                CASE WHEN event_type IN ('view', 'click') THEN 'feature_click'
                     WHEN event_type = 'purchase' THEN 'report_generate' ELSE event_type END AS event_type,
-               'f' || CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 AS VARCHAR) AS feature,
-               CAST(floor(value * 24) AS DOUBLE) AS session_duration_sec
+               CASE WHEN event_id % 41 = 7 THEN 'unknown' WHEN event_id % 43 <> 8
+                    THEN 'f' || CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 AS VARCHAR) END AS feature,
+               CASE WHEN event_id % 47 <> 9 THEN CAST(floor(value * 24) AS DOUBLE) END AS session_duration_sec
         FROM events"""),
     "clean_raw_logs": (("activity_logs",), """
         SELECT a.member_id,
@@ -72,6 +75,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM activity_logs a
         JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR a.event_id % 20 = 1
         WHERE a.event_id % 97 <> 5 AND a.event_id % 89 <> 7"""),
+    "raw_logs_any_customer": (("activity_logs",), """
+        SELECT a.member_id, CASE WHEN a.event_id % 4 = 3 THEN a.ts ELSE date_trunc('second', a.ts) END AS ts,
+               a.event_type, a.feature, a.session_duration_sec
+        FROM activity_logs a
+        JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR a.event_id % 20 = 1
+        WHERE a.event_id % 97 <> 5"""),
     "onboarding_events": ((), """
         SELECT user_id AS member_id, user_id AS customer_id,
                CASE event_type WHEN 'signup' THEN 'signup' WHEN 'view' THEN 'first_login'
@@ -92,7 +101,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "team_members": ((), """
         SELECT l_suppkey AS member_id, l_partkey AS customer_id,
                's' || CAST(l_suppkey AS VARCHAR) || '@d' || CAST(l_suppkey % 10 AS VARCHAR) || '.com' AS email,
-               TRUE AS is_active
+               l_suppkey % 9 <> 2 AS is_active
         FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) d"""),
 }
 
