@@ -4,28 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # An id written as an integer, optionally with a zero fraction ("3", "-7", "3.0"):
 # document stores hand numbers to a string column that way.
 _INTEGRAL = r"^\s*-?\d+(\.0+)?\s*$"
+_SCIENTIFIC = r"^\s*-?\d+(\.\d+)?[eE]\+?\d+\s*$"
 
 
-def safe_bigint(c: Column | str, pretrimmed: bool = False) -> Column:
+def safe_bigint(c: Column | str, pretrimmed: bool = False, dtype: T.DataType | None = None) -> Column:
     """Integer id from a string/number column; NULL on NULL or on anything non-integral.
 
-    "12" -> 12, "12.0" -> 12, "12.5" -> NULL, "x" -> NULL.
+    "12" -> 12, "12.0" -> 12, "1.2E7" -> 12000000, "12.5" -> NULL, "x" -> NULL. With ``dtype``, the
+    column's type, a numeric column is cast as a number and never by its printed form.
     """
     col = F.col(c) if isinstance(c, str) else c
+    if isinstance(dtype, T.IntegralType):
+        return col.cast("bigint")
+    if isinstance(dtype, T.FractionalType):
+        return F.when(col == F.floor(col.cast("double")), col.try_cast("bigint"))
     s = col if pretrimmed else F.trim(col.cast("string"))
-    return F.when(s.rlike(_INTEGRAL), F.regexp_replace(s, r"\.0+$", "").try_cast("bigint"))
-
-
-def safe_double(c: Column | str) -> Column:
-    """Number from a string column, NULL when it does not parse."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.trim(col.cast("string")).try_cast("double")
-
-
-def first_present(*cols: Column | str) -> Column:
-    """First non-null among the variant columns of one logical field."""
-    return F.coalesce(*[F.col(c) if isinstance(c, str) else c for c in cols])
+    # a double prints as 1.2E7 from ten million on: exact as a decimal
+    wide = F.when(s.rlike(_SCIENTIFIC), s.try_cast("decimal(38,6)"))
+    return F.when(s.rlike(_INTEGRAL), F.regexp_replace(s, r"\.0+$", "").try_cast("bigint")).when(
+        wide == F.floor(wide), wide.try_cast("bigint"))

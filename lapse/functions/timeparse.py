@@ -83,11 +83,6 @@ def iso_week_key(c: Column | str) -> Column:
                     F.weekofyear(ts).cast("string"))
 
 
-def month_start(c: Column | str) -> Column:
-    """First day of the month as DATE."""
-    return F.trunc(F.to_date(_c(c)), "month")
-
-
 def ntz_literal(value: str | _dt.date | _dt.datetime) -> Column:
     """A TIMESTAMP_NTZ literal (parameters such as ``as_of``)."""
     if isinstance(value, _dt.datetime):
@@ -99,7 +94,10 @@ def ntz_literal(value: str | _dt.date | _dt.datetime) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
-def as_datetime(value: str | _dt.date | _dt.datetime) -> _dt.datetime:
+def as_datetime(value: str | _dt.date | _dt.datetime | None) -> _dt.datetime:
+    """A report's reference time; None is the current time (UTC)."""
+    if value is None:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     if isinstance(value, _dt.datetime):
         return value
     if isinstance(value, _dt.date):

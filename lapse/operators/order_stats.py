@@ -3,10 +3,9 @@
 ``percentile`` keeps a value->count map of the whole column in the final
 task; a full sort shuffles every row. Here a bounded ``approx_percentile``
 sketch (combinable, fixed size) brackets the target ranks, one counting pass
-verifies the bracket, and only the bracketed slice -- a few rows per ten
-thousand -- is ordered to read the exact order statistics. If a bracket ever
-misses (it cannot by the sketch's rank guarantee, but we check), the
-bracket widens; if a slice is still large it is bracketed again inside.
+verifies the bracket, and the bracketed slice -- a few rows per ten
+thousand -- is bracketed again until it is small, whatever the column's size. If a bracket ever
+misses (it cannot by the sketch's rank guarantee, but we check), the bracket widens.
 """
 
 from __future__ import annotations
@@ -17,33 +16,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-MAX_SLICE = 200_000
-
-
-def _positions(df: DataFrame, positions: list[int], lo_q: float, hi_q: float, total_before: int,
-               depth: int = 0, known: int | None = None) -> dict[int, float]:
-    """Exact values at 0-based ``positions`` of ``df.v`` sorted ascending (positions are
-    relative to the full column; ``total_before`` rows lie below ``df``)."""
-    n = df.count() if depth or known is None else known
-    rel = [p - total_before for p in positions]
-    if n <= MAX_SLICE or depth >= 4:
-        first, last = min(rel), max(rel)
-        rows = df.orderBy("v").offset(first).limit(last - first + 1).collect()
-        return {p: rows[r - first]["v"] for p, r in zip(positions, rel)}
-    # bracket the wanted ranks inside this slice
-    pad = 3.0 / ACCURACY
-    qs = [max(0.0, min(rel) / max(n - 1, 1) - pad), min(1.0, max(rel) / max(n - 1, 1) + pad)]
-    lo, hi = df.agg(F.approx_percentile("v", qs, ACCURACY).alias("b")).first()["b"]
+
+
+def _positions(df: DataFrame, positions: list[int], n: int) -> dict[int, float]:
+    """Exact values at 0-based ``positions`` of the ``n`` rows of ``df.v`` sorted ascending.
+
+    A bracket around the wanted ranks narrows, a few parts in ten thousand at a time, until the
+    distinct values in it are few enough to be counted one by one; whatever the size, the same steps run.
+    """
+    first, last = min(positions), max(positions)
+    before, pad = 0, 3.0 / ACCURACY
     while True:
-        c = df.agg(F.count_if(F.col("v") < lo).alias("below"),
-                   F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("inside")).first()
-        if c["below"] <= min(rel) and c["below"] + c["inside"] > max(rel):
+        rel = (first - before, last - before)
+        qs = [max(0.0, rel[0] / max(n - 1, 1) - pad), min(1.0, rel[1] / max(n - 1, 1) + pad)]
+        lo, hi = df.agg(F.approx_percentile("v", qs, ACCURACY).alias("b")).first()["b"]
+        while True:
+            c = df.agg(F.count_if(F.col("v") < lo).alias("below"),
+                       F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("inside")).first()
+            if c["below"] <= rel[0] and c["below"] + c["inside"] > rel[1]:
+                break
+            lo, hi = df.agg(F.min("v"), F.max("v")).first()  # widen to everything (never expected)
+        df = df.where((F.col("v") >= lo) & (F.col("v") <= hi))
+        narrowed = c["inside"] < n
+        before, n = before + c["below"], c["inside"]
+        if lo == hi:
+            return {p: lo for p in positions}
+        counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+        if n <= ACCURACY or not narrowed:
+            break
+    out, at = {}, before
+    for r in counts.orderBy("v").toLocalIterator():  # stops at the last wanted rank
+        out.update({p: r["v"] for p in positions if at <= p < at + r["c"]})
+        at += r["c"]
+        if at > last:
             break
-        lo, hi = df.agg(F.min("v"), F.max("v")).first()  # widen to everything (never expected)
-    if lo == hi:
-        return {p: lo for p in positions}
-    inner = df.where((F.col("v") >= lo) & (F.col("v") <= hi))
-    return _positions(inner, positions, 0.0, 1.0, total_before + c["below"], depth + 1)
+    return out
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, n: int | None = None) -> float | None:
@@ -57,6 +64,6 @@ def exact_quantile(df: DataFrame, col: str, q: float, n: int | None = None) -> f
         return None
     h = (n - 1) * q
     lo_i, hi_i = math.floor(h), math.ceil(h)
-    got = _positions(vals, sorted({lo_i, hi_i}), 0.0, 1.0, 0, known=n)
+    got = _positions(vals, sorted({lo_i, hi_i}), n)
     lo, hi = got[lo_i], got[hi_i]
     return lo + (hi - lo) * (h - lo_i)

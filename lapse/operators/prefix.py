@@ -21,18 +21,17 @@ A group holding a third of all rows is spread over all buckets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Value ranges per group: enough to split a hot group many ways, few enough
-# that locating a value's range (a scan over the cut points) stays cheap.
-MAX_BUCKETS = 1024
 
 
 def default_buckets(spark: SparkSession) -> int:
-    return max(1, min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """Value ranges per group: as many as the session's shuffle partitions."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def bucket_bounds(df: DataFrame, value: Column, buckets: int) -> list[float]:
@@ -46,10 +45,19 @@ def bucket_bounds(df: DataFrame, value: Column, buckets: int) -> list[float]:
 
 
 def bucket_of(value: Column, bounds: Sequence[float]) -> Column:
-    """Ascending bucket index (monotone in ``value``); NULL goes to the top bucket."""
+    """Ascending bucket index (monotone in ``value``); NULL goes to the top bucket.
+
+    The lookup has two levels of about sqrt(bounds) comparisons each: the last bound of each
+    stretch first, then the stretch that the value falls in.
+    """
     if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        idx = F.size(F.filter(arr, lambda x: x < value.cast("double")))
+        v = value.cast("double")
+        width = math.isqrt(len(bounds) - 1) + 1
+        stretches = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+        below = lambda xs: F.size(F.filter(xs, lambda x: x < v))
+        which = below(F.array(*[F.lit(float(s[-1])) for s in stretches]))
+        table = F.array(*[F.array(*[F.lit(float(b)) for b in s]) for s in stretches])
+        idx = F.least(which * width, F.lit(len(bounds))) + F.coalesce(below(F.try_element_at(table, which + 1)), F.lit(0))
     else:
         idx = F.lit(0)
     return F.when(value.isNull(), F.lit(len(bounds) + 1)).otherwise(idx)

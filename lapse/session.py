@@ -53,8 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only invent one when unset.
 
     On a cluster the setting names a shared (HDFS/S3/...) folder that survives
-    executor loss. Only when nothing is configured (local runs, tests) do we
-    create a scratch folder under /tmp.
+    executor loss, and leaving it out is an error. Only a local session without it (tests) gets
+    a scratch folder below the temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lapse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
