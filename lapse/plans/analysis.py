@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import chi2_sf_df1, norm_cdf
 from ..operators.order_stats import exact_quantile
-from ..session import cut_lineage
 
 # Default fills and the exported column list.
 CATEGORICAL_DEFAULTS = ("plan_tier", "industry", "company_size", "country_code")
@@ -27,6 +26,11 @@ MIN_EXPECTED = 5
 
 
 # --------------------------------------------------------------------------- P1
+def named_customers(customers: DataFrame) -> DataFrame:
+    """Customers with a name: the valid ids of the analysis."""
+    return customers.where(F.col("company_name").isNotNull() & (F.trim(F.col("company_name")) != ""))
+
+
 def customer_base(customers: DataFrame, latest_subscription: DataFrame, plans: DataFrame,
                   tickets: DataFrame) -> DataFrame:
     """Named customers with their latest subscription, its tier and distinct ticket count.
@@ -34,11 +38,11 @@ def customer_base(customers: DataFrame, latest_subscription: DataFrame, plans: D
     Tickets are reduced to one count per customer before the join (instead of
     joining every ticket and grouping on fourteen columns).
     """
-    named = customers.where(F.col("company_name").isNotNull() & (F.trim(F.col("company_name")) != ""))
+    named = named_customers(customers)
     sub = latest_subscription.select(
         "customer_id", "plan_id", "mrr_usd", F.col("status").alias("sub_status"),
         F.col("start_date").alias("sub_start"), F.col("end_date").alias("sub_end"))
-    tiers = F.broadcast(plans.select("plan_id", "plan_tier"))
+    tiers = plans.select("plan_id", "plan_tier")
     tk = tickets.groupBy("customer_id").agg(F.count_distinct("ticket_id").alias("ticket_count"))
     return (named.join(sub, "customer_id", "left").join(tiers, "plan_id", "left").join(tk, "customer_id", "left")
             .select("customer_id", "company_name", "industry", "company_size", "country_code", "signup_date",
@@ -79,7 +83,7 @@ def winsorize_upper(df: DataFrame, col: str, q: float = 0.99) -> tuple[DataFrame
     """Cap ``col`` at its exact ``q`` quantile. Returns (capped frame, cap, one-row audit)."""
     cap = exact_quantile(df, col, q)
     if cap is None:
-        return df, None, df.agg(F.lit(0).cast("bigint").alias("outliers"))
+        return df, None, df.agg(F.lit(0).cast("bigint").alias("outliers"), F.lit(None).cast("double").alias("cap"))
     capped = df.withColumn(col, F.least(F.col(col), F.lit(cap)))
     audit = df.agg(F.count_if(F.col(col) > F.lit(cap)).alias("outliers"),
                    F.lit(cap).alias("cap"))
@@ -135,8 +139,9 @@ def two_proportion_ztest(df: DataFrame, group_flag: str = "used_ai_suggest", out
                  (n2 * p2 >= MIN_EXPECTED).alias("check_n2_p2"),
                  (n2 * (F.lit(1.0) - p2) >= MIN_EXPECTED).alias("check_n2_q2"),
                  pool.alias("p_pool"), se.alias("se"), z.alias("z_stat"))
-    s = s.withColumn("p_value", F.round(norm_cdf(F.col("z_stat")), 6))
-    return s.withColumn("reject_h0", F.col("p_value") < alpha).withColumn("z_stat", F.round("z_stat", 6)) \
+    # the decision is on the unrounded value
+    s = s.withColumn("p_value", norm_cdf(F.col("z_stat"))).withColumn("reject_h0", F.col("p_value") < alpha)
+    return s.withColumn("p_value", F.round("p_value", 6)).select(*s.columns).withColumn("z_stat", F.round("z_stat", 6)) \
         .withColumn("se", F.round("se", 8)).withColumn("p_pool", F.round("p_pool", 8))
 
 
@@ -149,9 +154,9 @@ def chi_square_2x2(df: DataFrame, group_flag: str = "used_ai_suggest", outcome:
     total = n1 + n2
     stat = F.lit(0.0)
     for obs, row, colsum in cells:
-        exp = row * colsum / total
+        exp = F.try_divide(row * colsum, total)  # a margin of 0 leaves the statistic undefined: NULL
         d = F.abs(obs - exp)
-        stat = stat + F.pow(d - F.least(F.lit(0.5), d), 2) / exp
+        stat = stat + F.try_divide(F.pow(d - F.least(F.lit(0.5), d), F.lit(2)), exp)
     out = t.select(F.round(stat, 6).alias("chi2"), F.lit(1).alias("dof"))
     return out.withColumn("p_value", F.round(chi2_sf_df1(F.col("chi2")), 6))
 
@@ -161,11 +166,9 @@ def rate_by(df: DataFrame, dim: str, outcome: str = "is_churned") -> DataFrame:
     """Size, churned count, churn rate (%) and share of all churn per value of ``dim``."""
     g = df.groupBy(dim).agg(F.count(F.lit(1)).alias("customers"),
                             F.count_if(F.col(outcome)).alias("churned"))
-    # the grouped rows are materialised once (shared checkpoint folder); grand totals
-    # are scalar subqueries over them: no join, no single-partition window, and the
-    # input is aggregated only once
-    g = cut_lineage(g)
-    j = g.withColumns({"_all": g.agg(F.sum("churned")).scalar(), "_n": g.agg(F.sum("customers")).scalar()})
+    # grand totals by a window over the grouped rows, one per value of the dimension
+    whole = Window.partitionBy()
+    j = g.withColumns({"_all": F.sum("churned").over(whole), "_n": F.sum("customers").over(whole)})
     return j.select(dim, "customers", "churned",
                     F.round(F.col("churned").cast("decimal(20,0)") * 100 / F.col("customers"), 1)
                     .cast("double").alias("churn_rate_pct"),

@@ -36,19 +36,41 @@ RETURN_WINDOW_DAYS = 7
 
 # --------------------------------------------------------------------------- M0
 def normalize_events(raw: DataFrame, member_variants: Sequence[str] = MEMBER_ID_VARIANTS,
-                     customer_variants: Sequence[str] = CUSTOMER_ID_VARIANTS) -> DataFrame:
-    """Unify id variants (first non-null wins, then safe integer cast), parse mixed
-    timestamps to UTC, drop rows without ids or with unparsable times."""
+                     customer_variants: Sequence[str] = CUSTOMER_ID_VARIANTS, need_customer: bool = True,
+                     member_text: bool = False) -> DataFrame:
+    """Unify id variants (first non-null wins), parse mixed timestamps to UTC, drop rows without a
+    member id or a customer id (unless ``need_customer`` is off) or with unparsable times.
+
+    Customer ids are integers by a safe cast. A member id may be anything: ``member_id`` is its integer, or
+    null where it is none, and with ``member_text`` a column ``member_key`` carries it as text."""
     mv = [c for c in member_variants if c in raw.columns]
     cv = [c for c in customer_variants if c in raw.columns]
-    member = safe_bigint(F.coalesce(*[F.col(c) for c in mv])) if mv else F.lit(None).cast("bigint")
-    customer = safe_bigint(F.coalesce(*[F.col(c) for c in cv])) if cv else F.lit(None).cast("bigint")
+
+    def first_of(names: Sequence[str]) -> tuple[Column, Column]:
+        """The first non-null variant as text and as an integer."""
+        if not names:
+            return F.lit(None).cast("string"), F.lit(None).cast("bigint")
+        kinds = {c: raw.schema[c].dataType for c in names}
+        number, seen = F.lit(None).cast("bigint"), F.lit(True)
+        for c in names:  # each variant is cast by its own type
+            number = F.coalesce(number, F.when(seen, safe_bigint(c, dtype=kinds[c])))
+            seen = seen & F.col(c).isNull()
+        return F.coalesce(*[F.col(c).cast("string") for c in names]), number
+
+    member_key, member = first_of(mv)
+    _, customer = first_of(cv)
     ts_src = "timestamp" if "timestamp" in raw.columns else "ts"
     ts = parse_mixed_timestamp(F.col(ts_src)) if dict(raw.dtypes)[ts_src] == "string" \
         else F.col(ts_src).cast("timestamp_ntz")
     keep = [c for c in ("event_type", "feature", "session_duration_sec") if c in raw.columns]
-    out = raw.select(member.alias("member_id"), customer.alias("customer_id"), ts.alias("ts"), *keep)
-    return out.where(F.col("member_id").isNotNull() & F.col("customer_id").isNotNull() & F.col("ts").isNotNull())
+    if member_text:
+        keep.append("member_key")
+    out = raw.withColumn("member_key", member_key).select(
+        member.alias("member_id"), customer.alias("customer_id"), ts.alias("ts"), F.col("member_key").alias("_key"), *keep)
+    named = F.col("_key").isNotNull() if member_text else F.col("member_id").isNotNull()
+    if need_customer:
+        named = named & F.col("customer_id").isNotNull()
+    return out.where(named & F.col("ts").isNotNull()).drop("_key")
 
 
 # --------------------------------------------------------------------------- tiers
@@ -61,7 +83,7 @@ def mod_tier(customer_id: Column) -> Column:
 def current_tiers(latest_subscription: DataFrame, plans: DataFrame) -> DataFrame:
     """customer_id -> plan_tier of the latest subscription (the real cross-store lookup)."""
     return latest_subscription.select("customer_id", "plan_id").join(
-        F.broadcast(plans.select("plan_id", "plan_tier")), "plan_id").select("customer_id", "plan_tier")
+        plans.select("plan_id", "plan_tier"), "plan_id").select("customer_id", "plan_tier")
 
 
 # --------------------------------------------------------------------------- M1
@@ -144,7 +166,7 @@ def funnel_counts(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) ->
         member.alias("member"), "step")
     per_user = done.groupBy("member").agg(*[F.max((F.col("step") == s).cast("int")).alias(s) for s in steps])
     return per_user.agg(F.count(F.lit(1)).alias("total_users"),
-                        *[F.sum(s).cast("bigint").alias(s) for s in steps])
+                        *[F.coalesce(F.sum(s), F.lit(0)).cast("bigint").alias(s) for s in steps])
 
 
 def _dropoff(cur: Column, prev: Column) -> Column:
@@ -175,8 +197,10 @@ def onboarding_funnel_nested(onboarding: DataFrame, steps: Sequence[str] = FUNNE
 def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
     """Median seconds between consecutive steps, over members who completed both."""
     member = F.coalesce(*[F.col(c) for c in MEMBER_ID_VARIANTS if c in onboarding.columns])
+    at = parse_mixed_timestamp(F.col("timestamp")) if dict(onboarding.dtypes)["timestamp"] == "string" \
+        else F.col("timestamp").cast("timestamp_ntz")
     done = onboarding.where(F.col("completed") & F.col("step").isin(*steps)).select(
-        member.alias("member"), "step", F.col("timestamp").cast("timestamp_ntz").alias("t"))
+        member.alias("member"), "step", at.alias("t"))
     firsts = done.groupBy("member").agg(*[F.min(F.when(F.col("step") == s, F.col("t"))).alias(s) for s in steps])
     gaps = []
     for i in range(1, len(steps)):

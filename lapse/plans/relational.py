@@ -41,7 +41,7 @@ def active_subscriptions(subscriptions: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- S1
 def plan_health(plans: DataFrame, subscriptions: DataFrame, tickets: DataFrame,
-                as_of=_dt.datetime(2001, 8, 1), months: int = 6, ordered: bool = True) -> DataFrame:
+                as_of=None, months: int = 6, ordered: bool = True) -> DataFrame:
     """Active customers, MRR and support-ticket rate per plan.
 
     The ticket window starts at the first day of the month ``months`` before
@@ -82,7 +82,7 @@ def customer_ltv(customers: DataFrame, latest_subscription: DataFrame, plans: Da
                  invoices: DataFrame) -> DataFrame:
     """customer_id, company_name, plan_tier (latest subscription, any status), ltv_usd (paid only)."""
     tier = latest_subscription.select("customer_id", "plan_id").join(
-        F.broadcast(plans.select("plan_id", "plan_tier")), "plan_id", "left")
+        plans.select("plan_id", "plan_tier"), "plan_id", "left")
     paid = (invoices.where(F.col("status") == "paid")
             .groupBy("customer_id").agg(F.sum("amount_usd").alias("paid")))
     named = customers.where(F.col("company_name").isNotNull() & (F.col("company_name") != "")) \
@@ -99,7 +99,7 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
 
     The rank comes from bucketed prefix counts (:mod:`lapse.operators.rank`),
     not one window task per tier, and the tier mean is a grouped aggregate
-    joined back (one row per tier, broadcast).
+    joined back (one row per tier).
     """
     # one row per customer, read by the rank (several passes) and the tier mean:
     # materialise it once in the shared checkpoint folder instead of re-running
@@ -110,7 +110,7 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
     # 6 decimals and the percentage below rounded from a truncated value
     tier_avg = ltv.groupBy("plan_tier").agg(
         (F.sum("ltv_usd").cast("double") / F.count("ltv_usd")).alias("tier_avg"))
-    j = ranked.join(F.broadcast(tier_avg), ranked.plan_tier.eqNullSafe(tier_avg.plan_tier), "left") \
+    j = ranked.join(tier_avg, ranked.plan_tier.eqNullSafe(tier_avg.plan_tier), "left") \
         .drop(tier_avg.plan_tier)
     avg = F.col("tier_avg")
     ltv_d = F.col("ltv_usd").cast("double")
@@ -141,7 +141,7 @@ def plan_transitions(subscriptions: DataFrame, buckets: int | None = None) -> Da
                     F.col("start_date").alias("transition_date"), F.col("prev_plan_id"))
 
 
-def transitions_since(subscriptions: DataFrame, since: _dt.date, buckets: int | None = None) -> DataFrame:
+def transitions_since(subscriptions: DataFrame, since: _dt.date | _dt.datetime, buckets: int | None = None) -> DataFrame:
     """``plan_transitions`` restricted to transitions on or after ``since``, without
     ordering the whole history: only the recent slice (a filter that reaches the
     scan) is windowed; the predecessor of a customer's first recent subscription is
@@ -149,8 +149,11 @@ def transitions_since(subscriptions: DataFrame, since: _dt.date, buckets: int |
     Rows without a start date sort last, so they are never a predecessor of a
     dated row and never a recent transition."""
     s = subscriptions.select("customer_id", "subscription_id", "plan_id", "start_date")
-    recent = s.where(F.col("start_date") >= F.lit(since))
-    older = latest_per(s.where(F.col("start_date") < F.lit(since)), ["customer_id"],
+    # a date counts as its midnight: with a time of day, the day that ``since`` falls on is already older
+    since = as_datetime(since)
+    first_day = since.date() + _dt.timedelta(days=since.time() > _dt.time())
+    recent = s.where(F.col("start_date") >= F.lit(first_day))
+    older = latest_per(s.where(F.col("start_date") < F.lit(first_day)), ["customer_id"],
                        ["start_date", "subscription_id"], columns=["customer_id", "plan_id"]) \
         .withColumnRenamed("plan_id", "older_plan_id")
     t = chunked_lag(recent, ["customer_id"], ["start_date", "subscription_id"], ["plan_id"], buckets=buckets,
@@ -162,16 +165,13 @@ def transitions_since(subscriptions: DataFrame, since: _dt.date, buckets: int |
                     .alias("prev_plan_id"))
 
 
-def downgrades(subscriptions: DataFrame, plans: DataFrame, as_of=_dt.datetime(2001, 8, 1),
-               lookback_days: int = 90) -> DataFrame:
-    since = (as_of_date(as_of) - _dt.timedelta(days=lookback_days))
+def downgrades(subscriptions: DataFrame, plans: DataFrame, as_of=None, lookback_days: int = 90) -> DataFrame:
+    since = as_datetime(as_of) - _dt.timedelta(days=lookback_days)
     t = transitions_since(subscriptions, since)
-    pp = F.broadcast(plans.select(F.col("plan_id").alias("prev_plan_id"), F.col("plan_name").alias("prev_plan_name"),
-                                  F.col("plan_tier").alias("prev_plan_tier"),
-                                  F.col("monthly_price_usd").alias("prev_plan_price")))
-    np_ = F.broadcast(plans.select(F.col("plan_id").alias("new_plan_id"), F.col("plan_name").alias("new_plan_name"),
-                                   F.col("plan_tier").alias("new_plan_tier"),
-                                   F.col("monthly_price_usd").alias("new_plan_price")))
+    pp = plans.select(F.col("plan_id").alias("prev_plan_id"), F.col("plan_name").alias("prev_plan_name"),
+                      F.col("plan_tier").alias("prev_plan_tier"), F.col("monthly_price_usd").alias("prev_plan_price"))
+    np_ = plans.select(F.col("plan_id").alias("new_plan_id"), F.col("plan_name").alias("new_plan_name"),
+                       F.col("plan_tier").alias("new_plan_tier"), F.col("monthly_price_usd").alias("new_plan_price"))
     return (t.join(pp, "prev_plan_id").join(np_, "new_plan_id")
             .where(F.col("new_plan_price") < F.col("prev_plan_price"))
             .select("customer_id", F.col("transition_date").alias("downgrade_date"), "prev_plan_id", "new_plan_id",
@@ -179,21 +179,17 @@ def downgrades(subscriptions: DataFrame, plans: DataFrame, as_of=_dt.datetime(20
                     "new_plan_name", "new_plan_tier", "new_plan_price"))
 
 
-def as_of_date(as_of) -> _dt.date:
-    return as_datetime(as_of).date()
-
-
 def friction_downgrades(customers: DataFrame, subscriptions: DataFrame, plans: DataFrame, tickets: DataFrame,
-                        as_of=_dt.datetime(2001, 8, 1), lookback_days: int = 90, ticket_window_days: int = 30,
+                        as_of=None, lookback_days: int = 90, ticket_window_days: int = 30,
                         min_tickets: int = 3, ordered: bool = True) -> DataFrame:
     """Downgrades in the last ``lookback_days`` preceded by more than ``min_tickets``
     tickets in the ``ticket_window_days`` before the downgrade (half-open window)."""
     # the downgrade set (one lookback window) feeds the ticket count and the final
     # join: materialise it once instead of re-running the transition window twice
+    as_of = as_datetime(as_of)
     d = cut_lineage(downgrades(subscriptions, plans, as_of, lookback_days))
     # no downgrade window can start before this: prune tickets at the scan
-    earliest = _dt.datetime.combine(as_of_date(as_of) - _dt.timedelta(days=lookback_days + ticket_window_days),
-                                    _dt.time())
+    earliest = _dt.datetime.combine(as_of.date() - _dt.timedelta(days=lookback_days + ticket_window_days), _dt.time())
     t = tickets.where(F.col("created_at") >= ntz_literal(earliest)).select("customer_id", "ticket_id", "created_at")
     day0 = F.col("w.downgrade_date").cast("timestamp_ntz")
     hits = interval_join(d.select("customer_id", "downgrade_date"), t, ["customer_id"], "created_at",
@@ -220,7 +216,7 @@ def monthly_subscription_stats(subscriptions: DataFrame, plans: DataFrame) -> Da
     row (its end month); conditional aggregates replace three separate
     grouped scans.
     """
-    s = subscriptions.join(F.broadcast(plans.select("plan_id", "plan_tier")), "plan_id")
+    s = subscriptions.join(plans.select("plan_id", "plan_tier"), "plan_id")
     sides = F.explode(F.array(
         F.struct(F.lit(True).alias("is_start"), F.trunc("start_date", "month").alias("month")),
         F.struct(F.lit(False).alias("is_start"), F.trunc("end_date", "month").alias("month"))))

@@ -55,7 +55,9 @@ def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES,
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism or restarts, restarts))) as pool:
         fits = list(pool.map(fit, range(restarts)))
     best = min(fits, key=lambda f: (f[0], f[1]))[2]
-    assigned = best.transform(scaled).drop("_x", "_z")
+    # from here on the materialised input is read, not the persisted copy that the fits shared
+    assigned = best.transform(prep.transform(base)).drop("_x", "_z")
+    scaled.unpersist()
     # centres in original units: z * std + mean (k rows x features; bounded by k)
     scaler_model = prep.stages[-1]
     mean, std = scaler_model.mean.toArray(), scaler_model.std.toArray()
@@ -65,18 +67,18 @@ def segment_customers(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES,
         centre_rows, "segment int, " + ", ".join(f"{f} double" for f in feats))
     stats = assigned.groupBy("segment").agg(
         F.count(F.lit(1)).alias("count"),
-        F.round(F.avg("mrr_usd"), 2).alias("avg_mrr"),
-        F.round(F.avg("total_feature_clicks"), 2).alias("avg_clicks"),
-        F.round(F.avg("distinct_features_used"), 2).alias("avg_features"),
-        F.round(F.avg(F.col("is_churned").cast("double")), 2).alias("churn_rate"))
+        F.bround(F.avg("mrr_usd"), 2).alias("avg_mrr"),
+        F.bround(F.avg("total_feature_clicks"), 2).alias("avg_clicks"),
+        F.bround(F.avg("distinct_features_used"), 2).alias("avg_features"),
+        F.bround(F.avg(F.col("is_churned").cast("double")), 2).alias("churn_rate"))
     # k rows: label by ascending rounded mean MRR (segment id breaks ties)
     ordered = stats.select("segment", "avg_mrr").orderBy("avg_mrr", "segment").collect()
     names = {r["segment"]: (labels[i] if i < len(labels) else f"segment_{i}") for i, r in enumerate(ordered)}
     label_df = df.sparkSession.createDataFrame([(int(s), n) for s, n in names.items()],
                                                "segment int, segment_label string")
-    out = assigned.join(F.broadcast(label_df), "segment", "left")
-    stats = stats.join(F.broadcast(label_df), "segment", "left")
-    centres = centres.join(F.broadcast(label_df), "segment", "left")
+    out = assigned.join(label_df, "segment", "left")
+    stats = stats.join(label_df, "segment", "left")
+    centres = centres.join(label_df, "segment", "left")
     return out, stats, centres
 
 

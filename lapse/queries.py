@@ -56,6 +56,18 @@ def s3_friction_downgrades_default(spark, base):
     return R.friction_downgrades(d.customers, d.subscriptions, d.plans, d.support_tickets, as_of=AS_OF)
 
 
+def s3_friction_downgrades_midday(spark, base):
+    """A reference time of 13:00: transitions on the boundary day are a few hours too old."""
+    d = _dom(spark, base)
+    return R.friction_downgrades(d.customers, d.subscriptions, d.plans, d.support_tickets,
+                                 as_of=AS_OF.replace(hour=13), lookback_days=365, ticket_window_days=180, min_tickets=0)
+
+
+def s3_friction_downgrades_any_ticket(spark, base):
+    d = _dom(spark, base)
+    return R.friction_downgrades(d.customers, d.subscriptions, d.plans, d.support_tickets, as_of=AS_OF, min_tickets=0)
+
+
 def s4_churn_trend(spark, base):
     d = _dom(spark, base)
     return R.churn_trend(d.subscriptions, d.plans)
@@ -79,6 +91,47 @@ def _clean_raw(d: Domain) -> DataFrame:
     return E.normalize_events(d.raw_activity_logs)
 
 
+def _clean_events(d: Domain) -> DataFrame:
+    """Raw documents -> normalised -> events of named customers -> one of each set of copies."""
+    return E.dedupe_events(E.drop_orphans(_clean_raw(d), A.named_customers(d.customers)))
+
+
+def _merged_raw(d: Domain) -> DataFrame:
+    clicks = _clean_events(d).where(F.col("event_type") == "feature_click")
+    return A.months_since(A.engagement_features(A.fill_defaults(_base(d)), clicks, FLAG_FEATURE))
+
+
+def m1_session_cadence_raw(spark, base):
+    return E.session_cadence(_clean_raw(_dom(spark, base)))
+
+
+def m2_feature_retention_raw(spark, base):
+    """Retention needs a member and a time only: events with a bad customer id count."""
+    return E.feature_retention(E.normalize_events(_dom(spark, base).raw_activity_logs, need_customer=False))
+
+
+def m4_upsell_candidates_raw(spark, base):
+    return E.upsell_candidates(_clean_raw(_dom(spark, base)), k=20)
+
+
+def p5_engagement_features_raw(spark, base):
+    return _merged_raw(_dom(spark, base)).select(
+        "customer_id", "used_ai_suggest", "ai_suggest_clicks", "total_feature_clicks", "distinct_features_used",
+        "total_session_sec")
+
+
+def p6_two_proportion_ztest_raw(spark, base):
+    return A.two_proportion_ztest(_merged_raw(_dom(spark, base)))
+
+
+def p7_chi_square_2x2_raw(spark, base):
+    return A.chi_square_2x2(_merged_raw(_dom(spark, base)))
+
+
+def p10_rate_by_ai_adoption_raw(spark, base):
+    return A.rate_by(_merged_raw(_dom(spark, base)), "used_ai_suggest")
+
+
 def m0_normalize_events(spark, base):
     return _clean_raw(_dom(spark, base))
 
@@ -141,17 +194,17 @@ def p1_customer_base(spark, base):
 
 def p2_drop_orphans(spark, base):
     d = _dom(spark, base)
-    return E.drop_orphans(_clean_raw(d), d.customers)
+    return E.drop_orphans(_clean_raw(d), A.named_customers(d.customers))
 
 
 def p2_orphan_audit(spark, base):
     d = _dom(spark, base)
-    return E.orphan_audit(_clean_raw(d), d.customers)
+    return E.orphan_audit(_clean_raw(d), A.named_customers(d.customers))
 
 
 def p2_dedupe_events(spark, base):
     d = _dom(spark, base)
-    return E.dedupe_events(E.drop_orphans(_clean_raw(d), d.customers))
+    return E.dedupe_events(E.drop_orphans(_clean_raw(d), A.named_customers(d.customers)))
 
 
 def p3_fill_defaults(spark, base):
@@ -254,7 +307,7 @@ def op_band_pairs_domain_signup(spark, base):
 
 def op_anti_join_orphans(spark, base):
     d = _dom(spark, base)
-    return _clean_raw(d).join(d.customers.select("customer_id"), "customer_id", "left_anti") \
+    return _clean_raw(d).join(A.named_customers(d.customers).select("customer_id"), "customer_id", "left_anti") \
         .select("member_id", "customer_id", "ts", "event_type", "feature", "session_duration_sec")
 
 
@@ -274,7 +327,7 @@ def op_conditional_sum(spark, base):
 
 def op_count_distinct(spark, base):
     d = _dom(spark, base)
-    s = d.subscriptions.join(F.broadcast(d.plans.select("plan_id", "plan_tier")), "plan_id")
+    s = d.subscriptions.join(d.plans.select("plan_id", "plan_tier"), "plan_id")
     return s.groupBy("plan_tier").agg(F.count_distinct("customer_id").alias("customers"),
                                       F.count(F.lit(1)).alias("subscriptions"))
 
@@ -297,7 +350,7 @@ def op_floor_index_quartiles(spark, base):
 
 def op_monthly_buckets(spark, base):
     d = _dom(spark, base)
-    s = d.subscriptions.join(F.broadcast(d.plans.select("plan_id", "plan_tier")), "plan_id")
+    s = d.subscriptions.join(d.plans.select("plan_id", "plan_tier"), "plan_id")
     return s.where(F.col("start_date").isNotNull()).groupBy(
         "plan_tier", F.trunc("start_date", "month").alias("month")).agg(F.count(F.lit(1)).alias("new_subs"))
 
@@ -338,11 +391,13 @@ def p10_rate_by_ai_adoption(spark, base):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        s1_plan_health, s2_ltv_rank, s3_friction_downgrades, s3_friction_downgrades_default, s4_churn_trend,
+        s1_plan_health, s2_ltv_rank, s3_friction_downgrades, s3_friction_downgrades_default,
+        s3_friction_downgrades_midday, s3_friction_downgrades_any_ticket, s4_churn_trend,
         s5_duplicate_accounts, s5b_shared_member_domains,
         m0_normalize_events, m1_session_cadence, m1_session_cadence_by_plan, m2_feature_retention,
         m3_onboarding_funnel, m3_onboarding_funnel_nested, m3b_step_gap_median, m4_upsell_candidates,
-        m4_upsell_candidates_free,
+        m4_upsell_candidates_free, m1_session_cadence_raw, m2_feature_retention_raw, m4_upsell_candidates_raw,
+        p5_engagement_features_raw, p6_two_proportion_ztest_raw, p7_chi_square_2x2_raw, p10_rate_by_ai_adoption_raw,
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
         p8_cluster_centres, p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,

@@ -62,32 +62,30 @@ class Domain:
     def plans(self) -> DataFrame:
         """The plan dimension: at most 5 rows (plan ids 1..5) by construction.
 
-        Derived once with a partial aggregate over one column of ``orders`` and
-        then held as a local relation, so every report that joins plans gets a
-        5-row broadcast side instead of re-scanning orders.
+        A partial aggregate over one column of ``orders``; nothing runs until a report does.
         """
         o = self.table("orders")
         pid = plan_id_of(F.col("o_orderpriority"))
         p = (o.select(pid.alias("plan_id"), "o_orderpriority")
              .where(F.col("plan_id").between(1, 5))
              .groupBy("plan_id").agg(F.min("o_orderpriority").alias("plan_name")))
-        p = p.select(
+        return p.select(
             "plan_id", "plan_name",
             mapping(F.col("plan_id"), PLAN_TIERS).alias("plan_tier"),
             ((F.lit(6) - F.col("plan_id")) * 20).cast("decimal(12,2)").alias("monthly_price_usd"))
-        rows = p.collect()  # at most 5 rows: one per plan id in 1..5 (filter + group by above)
-        return self.spark.createDataFrame(rows, p.schema)
 
     @cached_property
     def subscriptions(self) -> DataFrame:
         o = self.table("orders")
-        start = F.to_date("o_orderdate")
+        start = F.when(F.col("o_orderkey") % 211 != 5, F.to_date("o_orderdate"))  # some have no start date
+        status = F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0), "trial").otherwise(
+            mapping(F.col("o_orderstatus"), SUBSCRIPTION_STATUS))
         return o.select(
             F.col("o_orderkey").alias("subscription_id"),
             F.col("o_custkey").alias("customer_id"),
             plan_id_of(F.col("o_orderpriority")).alias("plan_id"),
             F.col("o_totalprice").cast("decimal(12,2)").alias("mrr_usd"),
-            mapping(F.col("o_orderstatus"), SUBSCRIPTION_STATUS).alias("status"),
+            status.alias("status"),
             start.alias("start_date"),
             F.when(F.col("o_orderstatus") == "F", F.date_add(start, CANCELLED_SUBSCRIPTION_DAYS)).alias("end_date"))
 
@@ -124,7 +122,8 @@ class Domain:
             F.when(F.col("latest_status") == "cancelled", F.col("latest_end")).alias("churn_date"))
         base = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
             F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("company_name"),
+            F.when(F.col("c_custkey") % 53 == 3, F.lit(None)).when(F.col("c_custkey") % 59 == 4, F.lit("  "))
+             .when(F.col("c_custkey") % 61 == 5, F.lit("")).otherwise(F.col("c_name")).alias("company_name"),
             F.col("c_mktsegment").alias("industry"),
             F.when(F.col("c_acctbal") < 2500, "small").when(F.col("c_acctbal") < 5000, "medium")
              .when(F.col("c_acctbal") < 7500, "large").otherwise("enterprise").alias("company_size"),
@@ -173,8 +172,9 @@ class Domain:
             F.col("user_id").alias("customer_id"),
             F.col("ts"),
             mapping(F.col("event_type"), ACTIVITY_EVENT_TYPES, default=F.col("event_type")).alias("event_type"),
-            F.concat(F.lit("f"), (k % FEATURE_BUCKETS).cast("string")).alias("feature"),
-            F.floor(F.col("value") * 24).cast("double").alias("session_duration_sec"))
+            F.when(F.col("event_id") % 41 == 7, F.lit("unknown")).when(F.col("event_id") % 43 != 8, F.concat(
+                F.lit("f"), (k % FEATURE_BUCKETS).cast("string"))).alias("feature"),
+            F.when(F.col("event_id") % 47 != 9, F.floor(F.col("value") * 24).cast("double")).alias("session_duration_sec"))
 
     @cached_property
     def raw_activity_logs(self) -> DataFrame:
@@ -242,4 +242,4 @@ class Domain:
         email = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"), F.lit("@d"),
                          (F.col("l_suppkey") % 10).cast("string"), F.lit(".com"))
         return li.select(F.col("l_suppkey").alias("member_id"), F.col("l_partkey").alias("customer_id"),
-                         email.alias("email"), F.lit(True).alias("is_active"))
+                         email.alias("email"), (F.col("l_suppkey") % 9 != 2).alias("is_active"))
