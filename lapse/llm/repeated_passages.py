@@ -41,19 +41,25 @@ SEGMENT_WINDOWS = 20_000
 
 def joined_words(words: Words, keep: np.ndarray | None = None) -> list[bytes]:
     """Each text's (kept) words joined by one space."""
-    keep = np.ones(len(words.start), bool) if keep is None else keep
-    text, start, end = words.text_of()[keep], words.start[keep], words.end[keep]
-    length = end - start + 1
-    out = np.full(int(length.sum()), 32, np.uint8)
-    at = np.append(0, np.cumsum(length))
-    # a copy of all words' bytes at once: place in the output minus place in the input is constant per word
-    inside = np.ones(len(out), bool)
-    inside[at[1:] - 1] = False
-    source = np.arange(len(out)) - np.repeat(at[:-1] - start, length)
-    out[inside] = words.data[source[inside]]
-    bounds = at[np.searchsorted(text, np.arange(len(words.first)))]
-    raw = out.tobytes()
-    return [raw[a:max(a, b - 1)] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+    inside = words.inside
+    if keep is not None:
+        change = np.zeros(len(words.data) + 1, np.int8)
+        change[words.start[keep]] += 1
+        np.subtract.at(change, words.end[keep], 1)
+        inside = np.cumsum(change[:-1], dtype=np.int8) > 0
+    # a word's bytes and the separator after it, which becomes the space
+    taken = inside.copy()
+    taken[1:] |= inside[:-1]
+    heads = words.bounds[:-1][words.bounds[:-1] < len(taken)]
+    taken[heads] = inside[heads]  # a text does not begin with the separator after another text
+    spaced = np.where(inside, words.data, np.uint8(32))
+    if taken.all():  # single separators throughout
+        upto = words.bounds.tolist()
+    else:
+        upto = np.append(0, np.cumsum(taken))[words.bounds].tolist()
+        spaced = spaced[taken]
+    raw = spaced.tobytes()
+    return [raw[a:b - (b > a and raw[b - 1] == 32)] for a, b in zip(upto, upto[1:])]
 
 
 def text_keys(words: Words) -> pa.Array:
@@ -62,23 +68,31 @@ def text_keys(words: Words) -> pa.Array:
     return pa.array([r.tobytes() for r in raw], pa.binary())
 
 
+def _sliding(values: np.ndarray, width: int, reduce: np.ufunc) -> np.ndarray:
+    """``reduce`` over each stretch of ``width`` values (as many results as whole stretches)."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = reduce(values[:len(values) - step], values[step:])
+        done += step
+    return values
+
+
 def anchors(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, valid, run_hash): the word position of each window's anchor, which windows are whole, and run hashes."""
+    """(least, is_anchor, run_hash): each whole window's least run hash (0 for other places), which word
+    positions begin such a run, and the run hashes. Equal runs in a window are all anchors."""
     run = min(RUN, size)
     code, _ = window_hashes(words, run, salt=11)
-    spread = size - run + 1
-    n = len(code)
+    code |= np.uint64(1)  # never 0
+    n, spread = len(code), size - run + 1
+    least = np.zeros(n, np.uint64)
+    if n >= size:
+        least[:n - spread + 1] = _sliding(code, spread, np.minimum)
     left = words.first[1:][words.text_of()] - np.arange(n)
-    valid = left >= size
-    at = np.zeros(n, np.int64)
-    whole = np.flatnonzero(valid)
-    if len(whole):
-        view = np.lib.stride_tricks.sliding_window_view(code, spread)
-        for k in range(0, len(whole), 1 << 16):
-            part = whole[k:k + (1 << 16)]
-            low, high = part[0], part[-1] + 1
-            at[part] = part + view[low:high].argmin(1)[part - low]
-    return at, valid, code
+    least[left < size] = 0
+    # a run is an anchor if some window that holds it has it as its least one
+    most = _sliding(np.append(np.zeros(spread - 1, np.uint64), least), spread, np.maximum)
+    return least, most == code, code
 
 
 def _ranges_mask(n: int, ranges: list) -> np.ndarray:
@@ -96,8 +110,8 @@ def _document_rows(texts: DataFrame, kind: str, size: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = split_words(part.column("text"))
-                at, valid, code = anchors(words, size)
-                chosen = np.unique(at[valid])
+                _, is_anchor, code = anchors(words, size)
+                chosen = np.flatnonzero(is_anchor)
                 first = np.searchsorted(chosen, words.first)
                 text = words.text_of()[chosen]
                 offsets = pa.array(first, pa.int32())
@@ -131,29 +145,45 @@ def _unpacked(column: pa.Array) -> pa.Array:
     return pa.array([unpack.decompress(z) for z in column.to_pylist()], pa.large_binary()).view(pa.large_string())
 
 
+def _chunks(batch: pa.RecordBatch, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose packed texts ``z`` hold about ``max_bytes`` (one text at least)."""
+    size = np.cumsum([zstandard.frame_content_size(z) for z in batch.column("z").to_pylist()])
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + max_bytes, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _segments(docs: DataFrame, size: int) -> DataFrame:
     """(key, start, t, size, z): stretches of windows whose anchors recur; t stands for the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for row in range(batch.num_rows):  # the texts that hold recurring anchors
-                part = batch.slice(row, 1)
+            for part in _chunks(batch):
                 words = split_words(_unpacked(part.column("z")))
-                at, valid, _ = anchors(words, size)
-                chosen = np.zeros(len(at) + 1, bool)
-                chosen[np.asarray(part.column("places")[0].values)] = True
-                flag = np.append(valid & chosen[at], False).astype(np.int8)
+                least, _, code = anchors(words, size)
+                places = part.column("places")
+                row = np.repeat(np.arange(part.num_rows), [len(p) for p in places])
+                at = words.first[row] + np.concatenate([np.asarray(p.values) for p in places])
+                recurring = np.unique(code[at])
+                found = np.minimum(np.searchsorted(recurring, least), len(recurring) - 1)
+                # a text's anchors that recur elsewhere recur wherever they are
+                flag = np.append((recurring[found] == least) & (least != 0), False).astype(np.int8)
                 edge = np.flatnonzero(np.diff(np.append(0, flag)))
                 starts, stops = [], []
                 for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
                     for c in range(a, b, SEGMENT_WINDOWS):
                         starts.append(c)
                         stops.append(min(c + SEGMENT_WINDOWS, b) + size - 1)
-                cut = [bytes(words.data[words.start[a]:words.end[b - 1]]) for a, b in zip(starts, stops)]
+                if not starts:
+                    continue
+                raw, text = words.data.tobytes(), words.text_of()[starts]
+                cut = [raw[a:b] for a, b in zip(words.start[starts].tolist(), words.end[np.array(stops) - 1].tolist())]
                 own = split_words(pa.array(cut, pa.large_binary()).view(pa.large_string()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.column("key")[0].as_py()] * len(cut), pa.binary()), pa.array(starts, pa.int64()), text_keys(own),
+                    [part.column("key").take(pa.array(text)), pa.array(np.array(starts) - words.first[text]), text_keys(own),
                      pa.array([len(c) for c in cut], pa.int64()), pa.array([press.compress(c) for c in cut], pa.binary())],
                     ["key", "start", "t", "size", "z"])
 
@@ -165,8 +195,7 @@ def _windows(parts: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
+            for part in _chunks(batch):
                 words = split_words(_unpacked(part.column("z")))
                 w, valid = window_hashes(words, size, salt=1)
                 v, _ = window_hashes(words, size, salt=2)
@@ -190,26 +219,27 @@ def _windows(parts: DataFrame, size: int) -> DataFrame:
 
 
 def _passages(parts: DataFrame, size: int) -> DataFrame:
-    """(anchor, words, passage) of segments that own recurring windows (places, tied)."""
+    """(anchor, words, passage) of segments that own recurring windows (at, to_next, to_last)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, lengths, out = [], [], []
-            for row in range(batch.num_rows):
-                words = split_words(_unpacked(batch.column("z").slice(row, 1)))
-                at, _, code = anchors(words, size)
-                found = sorted((w["at"], w["to_next"], w["to_last"]) for w in batch.column("wins")[row].as_py())
-                start = None
-                for i, (p, to_next, _) in enumerate(found):
-                    start = p if start is None else start
-                    follows = i + 1 < len(found) and found[i + 1][0] == p + 1 and to_next and found[i + 1][2]
-                    if not follows:
-                        hashes.append(int(code[at[start]].view(np.int64)))
-                        lengths.append(p + size - start)
-                        out.append(bytes(words.data[words.start[start]:words.end[p + size - 1]]))
-                        start = None
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lengths, pa.int64()), pa.array(out, pa.binary())],
-                                             ["anchor", "words", "passage"])
+            for part in _chunks(batch):
+                words = split_words(_unpacked(part.column("z")))
+                least, _, _ = anchors(words, size)
+                wins = part.column("wins")
+                row = np.repeat(np.arange(part.num_rows), [len(w) for w in wins])
+                flat = pa.concat_arrays([w.values for w in wins])
+                at, to_next, to_last = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                at = at + words.first[row]
+                order = np.argsort(at)
+                at, to_next, to_last = at[order], to_next[order], to_last[order]
+                # a passage goes on while its windows always follow one another
+                goes_on = (at[1:] == at[:-1] + 1) & to_next[:-1] & to_last[1:]
+                begin, stop = at[np.append(True, ~goes_on)], at[np.append(~goes_on, True)] + size
+                raw = words.data.tobytes()
+                out = [raw[a:b] for a, b in zip(words.start[begin].tolist(), words.end[stop - 1].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(least[begin].view(np.int64)), pa.array(stop - begin), pa.array(out, pa.binary())],
+                                                 ["anchor", "words", "passage"])
 
     return parts.mapInArrow(run, "anchor long, words long, passage binary")
 
@@ -219,11 +249,10 @@ def _segment_anchors(parts: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
-                part = batch.slice(low, 64)
+            for part in _chunks(batch):
                 words = split_words(_unpacked(part.column("z")))
-                at, valid, code = anchors(words, size)
-                chosen = np.unique(at[valid])
+                _, is_anchor, code = anchors(words, size)
+                chosen = np.flatnonzero(is_anchor)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("batch").take(pa.array(words.text_of()[chosen])), pa.array(code[chosen].view(np.int64))], ["batch", "anchor"])
 

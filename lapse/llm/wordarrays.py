@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 4 << 20
 _SEPARATOR = np.zeros(256, dtype=bool)
@@ -34,9 +35,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
-
-
 def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
     out = np.full(max(n, 1), base, dtype=np.uint64)
@@ -44,7 +42,10 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     return np.multiply.accumulate(out)[:n]
 
 
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: The low bytes of an eight-byte load that belong to a word of 0 to 8 bytes.
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Longer words are hashed one by one.
+_LONG_WORD = 512
 
 
 @dataclass
@@ -56,6 +57,8 @@ class Words:
     end: np.ndarray
     first: np.ndarray     # int64, one more entry than texts
     hash: np.ndarray      # uint64 per word
+    bounds: np.ndarray | None = None   # byte offsets of the texts
+    inside: np.ndarray | None = None   # which bytes belong to words
 
     @property
     def counts(self) -> np.ndarray:
@@ -102,36 +105,39 @@ def split_words(column: pa.Array, lower: bool = False, separator: np.ndarray = _
     if lower:
         data = _LOWER[data]
     n = len(data)
-    inside = np.zeros(n + 2, dtype=bool)
-    inside[1:-1] = ~separator[data]
+    padded = np.zeros(n + 2, dtype=bool)
+    inside = np.logical_not(separator[data], out=padded[1:-1])
+    change = np.flatnonzero(padded[1:] != padded[:-1])
+    start, end = change[::2], change[1::2]
     # a text's end also ends a word: two neighbours never share one
-    starts_flag = inside[1:-1] & ~inside[:-2]
-    ends_flag = inside[1:-1] & ~inside[2:]
-    edges = offsets[1:-1]
+    edges = np.unique(offsets[1:-1])
     edges = edges[(edges > 0) & (edges < n)]
-    starts_flag[edges] = inside[1:-1][edges]
-    ends_flag[edges - 1] = inside[1:-1][edges - 1]
-    start, end = np.flatnonzero(starts_flag), np.flatnonzero(ends_flag) + 1
+    cut = edges[padded[edges] & padded[edges + 1]]
+    if len(cut):
+        start = np.sort(np.concatenate([start, cut]), kind="stable")
+        end = np.sort(np.concatenate([end, cut]), kind="stable")
     first = np.searchsorted(start, offsets, side="left")
-    return Words(data, start, end, first, _word_hashes(data, start, end))
+    return Words(data, start, end, first, _word_hashes(data, start, end), offsets, inside)
 
 
 def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Sum of byte code times base ** place in the word, then mixed with the length."""
+    """A hash of each word's bytes, eight at a time."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    block = 1 << 16
-    up = np.resize(powers(block), len(data))  # the place counts modulo 65536 from the buffer's start
-    sums = np.add.reduceat(_BYTE_CODE[data] * up, np.stack([start, end], 1).ravel()[:-1])[::2]
-    down = powers(block, _INVERSE)
-    sums = sums * down[start & (block - 1)]
-    across = np.flatnonzero((start // block) != ((end - 1) // block))
-    for i in across.tolist():  # words over a block's edge, one in many thousands
-        piece = data[start[i]:end[i]]
-        place = np.arange(len(piece), dtype=np.int64)
-        sums[i] = np.sum(_BYTE_CODE[piece] * powers(len(piece)) if len(piece) < block
-                         else _BYTE_CODE[piece] * np.resize(powers(block), len(piece)) * mix(place // block + 1))
-    return mix(sums + (end - start).astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
+    raw = np.concatenate([data, np.zeros(8, np.uint8)])
+    loads = np.ndarray((len(data) + 1,), dtype="<u8", buffer=raw, strides=(1,))
+    length = end - start
+    out = mix((loads[start] & _LOW_BYTES[np.minimum(length, 8)]) + length.astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
+    more = np.flatnonzero(length > 8)
+    at = 8
+    while len(more) and at < _LONG_WORD:
+        load = loads[start[more] + at] & _LOW_BYTES[np.minimum(length[more] - at, 8)]
+        out[more] = mix(out[more] * _BASE + load)
+        at += 8
+        more = more[length[more] > at]
+    for i in more.tolist():
+        out[i] = np.uint64(xxhash.xxh3_64_intdigest(data[start[i]:end[i]].tobytes()))
+    return out
 
 
 def window_hashes(words: Words, size: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -141,11 +147,20 @@ def window_hashes(words: Words, size: int, salt: int = 0) -> tuple[np.ndarray, n
     """
     n = len(words.hash)
     code = mix(words.hash + np.uint64(salt * 0x632BE59BD9B4E019 & (1 << 64) - 1))
-    out = np.zeros(n, np.uint64)
-    step = np.uint64(1)
-    for i in range(min(size, n)):
-        out[:n - i] += code[i:] * step
-        step = np.uint64(int(step) * int(_BASE) & (1 << 64) - 1)
+    # sums of code times base ** place over 1, 2, 4 ... words, put together to the wanted length
+    out, done, wide, base = np.zeros(n, np.uint64), 0, 1, int(_BASE)
+    while done < size and done < n:
+        if size & wide:
+            step = np.uint64(pow(int(_BASE), done, 1 << 64))
+            out[:n - done] += code[done:] * step
+            done += wide
+        if done >= size:
+            break
+        code = code.copy()
+        if wide < n:
+            code[:n - wide] += code[wide:] * np.uint64(base)
+        base = base * base & (1 << 64) - 1
+        wide *= 2
     left = words.first[1:][words.text_of()] - np.arange(n)
     return mix(out + np.uint64(size)), left >= size
 
