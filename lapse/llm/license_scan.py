@@ -122,7 +122,8 @@ def differences(template: list[str], block: list[str]) -> tuple[int, list[str]]:
     kept = sum(m.size for m in same)
     if not same:
         return 0, [f"-{w}" for w in template]
-    low, high = same[0].b, same[-1].b + same[-1].size  # words around the span belong to the text
+    # words around the template's span belong to the text
+    low, high = same[0].b - same[0].a, same[-1].b + len(template) - same[-1].a
     out = []
     for tag, a, b, c, d in match.get_opcodes():
         if tag != "equal":

@@ -81,7 +81,7 @@ def fit_linear(x: np.ndarray, y: np.ndarray, penalty: float = 0.05, steps: int =
     rate = np.clip(y.mean() if len(y) else 0.0, 1e-4, 1 - 1e-4)
     w = np.zeros(x.shape[1])
     w[-1] = np.log(rate / (1 - rate))
-    for _ in range(steps):
+    for _ in range(steps if len(x) else 0):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
         step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)
         w += step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
