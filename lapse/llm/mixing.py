@@ -61,6 +61,11 @@ def _rate(lam: Column, size: Column, scale: Column, cap: int) -> Column:
     return F.least(F.lit(float(cap)), F.exp(F.least(lam * size / scale, F.lit(50.0))))
 
 
+def _exact_sum(c: Column) -> Column:
+    """A sum that does not depend on the order of the rows, so that reruns agree to the last bit."""
+    return F.sum(c.cast("decimal(38,6)")).cast("double")
+
+
 def balance(histogram: DataFrame, targets: DataFrame, cap: int = CAP, tolerance: float = 1e-7,
             max_steps: int = 60) -> DataFrame:
     """(sk, lam, scale, target): each source's multiplier, by safeguarded Newton steps on the dual.
@@ -72,7 +77,7 @@ def balance(histogram: DataFrame, targets: DataFrame, cap: int = CAP, tolerance:
     """
     mass = F.col("size") * F.col("docs")
     info = histogram.groupBy("sk").agg(F.sum(mass).alias("words"), F.sum("docs").alias("n"),
-                                       F.sum(F.col("size").cast("double") * mass).alias("square"))
+                                       F.sum(F.col("size").cast("decimal(19,0)") * mass.cast("decimal(19,0)")).cast("double").alias("square"))
     full = F.col("target") >= cap * F.col("words") * (1 - 1e-12)
     none = F.col("words") == 0
     # the first guess is exact where all documents of a source are equally long
@@ -88,8 +93,8 @@ def balance(histogram: DataFrame, targets: DataFrame, cap: int = CAP, tolerance:
             break
         r = _rate(F.col("lam"), F.col("size"), F.col("scale"), cap)
         grad = histogram.join(open_.select("sk", "lam", "scale"), "sk").groupBy("sk").agg(
-            F.sum(r * mass).alias("got"),
-            F.sum(F.when(r < cap, r * mass * F.col("size") / F.col("scale")).otherwise(0.0)).alias("curve"))
+            _exact_sum(r * mass).alias("got"),
+            _exact_sum(F.when(r < cap, r * mass * F.col("size") / F.col("scale")).otherwise(0.0)).alias("curve"))
         state = staged(_step(state.join(grad, "sk", "left"), tolerance), "mix-state")
     return state.select("sk", "lam", "scale", "target")
 
