@@ -283,7 +283,8 @@ def duplicate_accounts(entities: DataFrame, ordered: bool = True, account_attrs:
     extra = []
     if account_attrs is not None:  # per-account columns carried into the pairs as <col>_a / <col>_b
         extra = [c for c in account_attrs.columns if c != "customer_id"]
-        acc = acc.join(account_attrs, "customer_id", "left")
+        # read by three joins and their key counts: written once (shared checkpoint folder)
+        acc = cut_lineage(acc.join(account_attrs, "customer_id", "left"))
         attrs += extra
     same_domain = F.coalesce(F.col("domain_a") == F.col("domain_b"), F.lit(False))
     similar_name = (F.col("name_a") == F.col("name_b")) | (
