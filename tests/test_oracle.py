@@ -18,7 +18,7 @@ SLICE = ["s1_plan_health", "s2_ltv_rank", "s3_friction_downgrades", "s4_churn_tr
          "s5b_shared_member_domains", "m0_normalize_events", "m1_session_cadence", "m2_feature_retention",
          "m3_onboarding_funnel", "m4_upsell_candidates", "p2_dedupe_events", "p4_winsorize_mrr",
          "p6_two_proportion_ztest", "p7_chi_square_2x2", "op_rank_ties", "op_floor_index_quartiles"]
-NAMES = sorted(entry.oracle_sql()) if os.environ.get("LAPSE_ORACLE_ALL") else SLICE
+NAMES = sorted(entry._ORACLE) if os.environ.get("LAPSE_ORACLE_ALL") else SLICE
 
 
 @pytest.fixture(scope="module")

@@ -2,14 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from lapse.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-NAMES = [n for n in entry.queries() if not n.startswith(("p8", "p9"))]  # k-means: Spark ML, checked elsewhere
+NAMES = [n for n in QUERIES if not n.startswith(("p8", "p9"))]  # k-means: Spark ML, checked elsewhere
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_plan_has_no_pair_explosion_or_python(spark, name):
-    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan]
