@@ -5,9 +5,9 @@ over the set), and classes are compared, so exact copies cost nothing further.
 
 1. Sketch: shingle hashes fall into registers; a register keeps the leading-zero
    count of its smallest hash and the ten bits after it (a 16-bit number).
-2. Bands of four registers give candidate keys. In a key's group, one class (the pivot) is tried
-   against the others; linked ones join its component, and only classes of different
-   components are tried against each other afterwards. So a group of n near copies takes about n trials, not n * n.
+2. Bands of four registers (empty ones borrow another's value) give candidate keys. In a key's group, one class (the pivot) is tried
+   against the others and linked ones join its component. Afterwards only classes of different components are tried
+   against each other, and of these only such whose distances from the pivot do not rule out a link.
 3. A candidate whose Jaccard estimate (corrected for registers that agree by chance) is five standard
    errors below the bound is dropped; all others are confirmed on the full shingle sets.
 """
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapse.llm.common import staged
+from lapse.llm.common import partitions, staged
 from lapse.llm.components import components
 from lapse.llm.wordarrays import SLICE_BYTES, Words, mix, sequence_hashes, slices, split_words, window_hashes
 
@@ -33,8 +33,8 @@ MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
 #: Two unrelated registers agree if their leading zeros do (about one in three) and all mantissa bits do.
 CHANCE = 1 / 3 / (1 << MANTISSA)
-#: A key's group with more components than this is split by a second band before its pairs are made.
-WIDE = 256
+#: Members (and bytes of their packed texts) of a key that one part holds at most; a task compares two parts.
+CELL_ROWS, CELL_BYTES = 2_048, 16 << 20
 
 
 def shingle_sets(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,10 +70,28 @@ def sketches(text: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
     return out.reshape(n, REGISTERS)
 
 
-def band_keys(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, used), each (n, BANDS); bands whose registers are all empty are not used."""
-    packed = np.ascontiguousarray(sketch).view(np.uint64).reshape(len(sketch), BANDS)
-    return mix(packed ^ mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :]), packed != np.uint64((1 << 64) - 1)
+#: For each register, the order in which it looks for another to borrow from when it is empty.
+_LENDERS = np.argsort(mix(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(77)).reshape(REGISTERS, REGISTERS), axis=1)
+
+
+def dense(sketch: np.ndarray) -> np.ndarray:
+    """Sketches whose empty registers hold the value of the first filled one in a fixed order of their own.
+
+    So a short text's bands hold four values like a long one's, and texts that share one
+    shingle of many do not meet in a band. Sketches without any value stay empty.
+    """
+    out = sketch.copy()
+    for i in np.flatnonzero((sketch == EMPTY).any(1) & (sketch != EMPTY).any(1)).tolist():
+        empty = np.flatnonzero(sketch[i] == EMPTY)
+        filled = (sketch[i] != EMPTY)[_LENDERS[empty]]
+        out[i, empty] = sketch[i, _LENDERS[empty, filled.argmax(1)]]
+    return out
+
+
+def band_keys(sketch: np.ndarray) -> np.ndarray:
+    """(n, BANDS): a hash of each band's registers."""
+    packed = np.ascontiguousarray(dense(sketch)).view(np.uint64).reshape(len(sketch), BANDS)
+    return mix(packed ^ mix(np.arange(1, BANDS + 1, dtype=np.uint64))[None, :])
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,17 +131,16 @@ def _set_ids(text: np.ndarray, code: np.ndarray, size: np.ndarray) -> pa.Array:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(key, c, n): a row per class and used band."""
+    """(key, c, n): a row per class and band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, used = band_keys(_matrix(batch.column("sketch")))
-            row = np.repeat(np.arange(batch.num_rows), BANDS).reshape(used.shape)[used]
-            take = pa.array(row)
+            keys = band_keys(_matrix(batch.column("sketch"))).ravel()
+            take = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[used].view(np.int64)), batch.column("c").take(take), batch.column("n").take(take)], ["key", "c", "n"])
+                [pa.array(keys.view(np.int64)), batch.column("c").take(take), batch.column("n").take(take)], ["key", "c", "n"])
 
     return classes.select("c", "n", "sketch").mapInArrow(run, "key long, c binary, n long")
 
@@ -132,8 +149,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), REGISTERS)
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, bound: float) -> DataFrame:
-    """The pairs (a, b) whose estimate does not rule out a Jaccard similarity of ``bound``."""
+def _bounds(pairs: DataFrame, classes: DataFrame, bound: float) -> DataFrame:
+    """(a, b, lo, hi): limits of each pair's Jaccard distance by its estimate."""
     side = classes.select("c", "sketch")
     joined = pairs.join(side.select(F.col("c").alias("a"), F.col("sketch").alias("sa")), "a").join(
         side.select(F.col("c").alias("b"), F.col("sketch").alias("sb")), "b").select("a", "b", "sa", "sb")
@@ -143,11 +160,11 @@ def _likely(pairs: DataFrame, classes: DataFrame, bound: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             near, used = estimate(_matrix(batch.column("sa")), _matrix(batch.column("sb")))
-            slack = np.where(used < 16, 1.0, 5 * np.sqrt(bound * (1 - bound) / used))
-            keep = pa.array(near >= bound - slack)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+            slack = np.where(used < 16, 1.0, 2.5 / np.sqrt(used))  # five standard errors at any similarity
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(1 - near - slack), pa.array(1 - near + slack)], ["a", "b", "lo", "hi"])
 
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.mapInArrow(run, "a binary, b binary, lo double, hi double")
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -169,48 +186,156 @@ def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "c binary, z binary")
 
 
-def _confirmed(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
+def _distances(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
+    """(a, b, lo, hi, linked): the pairs' Jaccard distance (lo = hi) on full shingle sets, and whether
+    100 * intersection >= percent * union."""
     joined = pairs.join(packed.select(F.col("c").alias("a"), F.col("z").alias("za")), "a").join(
         packed.select(F.col("c").alias("b"), F.col("z").alias("zb")), "b").select("a", "b", "za", "zb")
 
-    def linked(za: list[bytes], zb: list[bytes]) -> np.ndarray:
-        unpack = zstandard.ZstdDecompressor()
-        raw = [unpack.decompress(z) for z in [*za, *zb]]
-        text, code, first = shingle_sets(split_words(pa.array(raw, pa.binary()).cast(pa.large_string(), safe=False), lower=True))
-        size, n = np.diff(first), len(za)
-        pair = text % n
-        order = np.lexsort([code, pair])
-        twice = (code[order][1:] == code[order][:-1]) & (pair[order][1:] == pair[order][:-1])
-        both = np.bincount(pair[order][1:][twice], minlength=n)
-        return 100 * both >= percent * (size[:n] + size[n:] - both)
+    def measured(za: list[bytes], zb: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # a text that stands in many pairs of the batch is taken apart once
+        texts = list(dict.fromkeys([*za, *zb]))
+        sets = dict(zip(texts, _sets_of(texts)))
+        size = np.array([(len(sets[a]), len(sets[b])) for a, b in zip(za, zb)]).reshape(-1, 2)
+        both = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(za, zb)], np.int64)
+        union = size.sum(1) - both
+        return 1 - both / np.maximum(union, 1), 100 * both >= percent * union
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             za, zb = batch.column("za").to_pylist(), batch.column("zb").to_pylist()
-            keep, at = [], 0
+            at = 0
             while at < len(za):
-                to, size = at, 0
+                to, size, seen = at, 0, set()
                 while to < len(za) and (to == at or size < SLICE_BYTES):
-                    size += zstandard.frame_content_size(za[to]) + zstandard.frame_content_size(zb[to])
+                    for z in {za[to], zb[to]} - seen:
+                        size += zstandard.frame_content_size(z)
+                        seen.add(z)
                     to += 1
-                keep.append(linked(za[at:to], zb[at:to]))
+                far, linked = measured(za[at:to], zb[at:to])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a").slice(at, to - at), batch.column("b").slice(at, to - at), pa.array(far), pa.array(far),
+                     pa.array(linked)], ["a", "b", "lo", "hi", "linked"])
                 at = to
-            mask = pa.array(np.concatenate(keep) if keep else np.zeros(0, bool))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.sortWithinPartitions("a").mapInArrow(run, "a binary, b binary, lo double, hi double, linked boolean")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _cross(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members (key, c, n, label) of one key and different labels, sizes permitting."""
-    other = members.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    fits = (4 * F.least("n", "nb") >= 3 * F.greatest("n", "nb"))
-    return members.join(other, "key").where((F.col("label") < F.col("lb")) & fits).select(F.col("c").alias("a"), "b")
+def _cross_links(members: DataFrame, packed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join different labels among the members (key, c, n, label, lo, hi) of each key.
+
+    A key's members are dealt into parts of bounded size, and a task compares one part with one part. Within
+    it, pairs are ruled out by label, by size, by their distances from the key's pivot (Jaccard distance is a metric,
+    so two texts are at least as far apart as their distances from a third differ) and by estimate; the
+    rest are confirmed on full sets, likeliest first, unless links found so far already connect them. Only
+    links leave the task. A pair is looked at under the first band that it shares, and under no other.
+    """
+    parts = members.join(packed.select("c", F.octet_length("z").alias("bytes")), "c").groupBy("key").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / CELL_ROWS), F.ceil(F.sum("bytes") / CELL_BYTES)).cast("int").alias("parts"))
+    rows = members.join(parts, "key").join(packed, "c").join(classes.select("c", "sketch"), "c")
+    own = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("key", F.least("own", "j").alias("i"), F.greatest("own", "j").alias("j"), "own", "c", "n", "label", "lo", "hi", "sketch", "z")
+    n = partitions(members.sparkSession)
+    rows = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            table = pa.Table.from_batches([*rest, batch]).combine_chunks()
+            cell = np.column_stack([table.column(k).to_numpy() for k in ("key", "i", "j")])
+            edge = np.flatnonzero((cell[1:] != cell[:-1]).any(1)) + 1 if len(cell) else np.zeros(0, int)
+            for low, high in zip(np.append(0, edge[:-1]), edge):
+                yield from _cell_links(table.slice(low, high - low), percent)
+            last = int(edge[-1]) if len(edge) else 0
+            rest = table.slice(last).combine_chunks().to_batches()
+        if rest:
+            yield from _cell_links(pa.Table.from_batches(rest), percent)
+
+    return rows.mapInArrow(run, "a binary, b binary")
+
+
+def _cell_links(cell: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between the rows of one cell; see _cross_links."""
+    if cell.num_rows < 2:
+        return
+    bound = percent / 100
+    cell = cell.combine_chunks()
+    one = lambda name: cell.column(name).chunk(0)
+    num = lambda name: one(name).to_numpy()
+    labels = one("label").to_pylist()
+    root = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    if len(root) < 2:
+        return
+    label = np.array([root[x] for x in labels])
+    n, lo, hi, own = num("n"), num("lo"), num("hi"), num("own")
+    same_part = num("i")[0] == num("j")[0]
+    sketch, far = _matrix(one("sketch")), 1 - bound + 1e-9
+    found_a, found_b, found_e = [], [], []
+    for x in range(cell.num_rows - 1):
+        y = np.arange(x + 1, cell.num_rows)
+        y = y[(label[y] != label[x]) & (4 * np.minimum(n[y], n[x]) >= 3 * np.maximum(n[y], n[x])) & (lo[y] - hi[x] <= far)
+              & (lo[x] - hi[y] <= far) & (same_part | (own[y] != own[x]))]
+        if len(y):
+            near, used = estimate(sketch[x][None, :], sketch[y])
+            y, near = y[near >= bound - _slack(used, bound)], near[near >= bound - _slack(used, bound)]
+            found_a.append(np.full(len(y), x))
+            found_b.append(y)
+            found_e.append(near)
+    if not found_a or not sum(map(len, found_a)):
+        return
+    a, b, e = np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_e)
+    keys = band_keys(sketch)
+    common = keys[a] == keys[b]
+    first = keys[a, common.argmax(1)] == np.int64(num("key")[0]).astype(np.uint64)
+    a, b, e = a[first], b[first], e[first]
+    used = np.unique(np.concatenate([a, b]))
+    sets = dict(zip(used.tolist(), _sets_of([one("z")[int(i)].as_py() for i in used])))
+    parent = list(range(len(root)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    for k in np.argsort(-e, kind="stable").tolist():
+        p, q = find(label[a[k]]), find(label[b[k]])
+        if p == q:
+            continue
+        x, y = sets[int(a[k])], sets[int(b[k])]
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * both >= percent * (len(x) + len(y) - both):
+            parent[q] = p
+            out.append(k)
+    if out:
+        c = one("c")
+        yield pa.RecordBatch.from_arrays([c.take(pa.array(a[out])), c.take(pa.array(b[out]))], ["a", "b"])
+
+
+def _slack(used: np.ndarray, bound: float) -> np.ndarray:
+    """Five standard errors of an estimate near the bound; no limit where few registers are filled."""
+    return np.where(used < 16, 1.0, 5 * np.sqrt(bound * (1 - bound) / used))
+
+
+def _sets_of(packed: list[bytes]) -> Iterator[np.ndarray]:
+    """The sorted shingle hashes of compressed texts, some MB of text at a time."""
+    unpack = zstandard.ZstdDecompressor()
+    at = 0
+    while at < len(packed):
+        to, size = at, 0
+        while to < len(packed) and (to == at or size < SLICE_BYTES):
+            size += zstandard.frame_content_size(packed[to])
+            to += 1
+        raw = pa.array([unpack.decompress(z) for z in packed[at:to]], pa.large_binary()).view(pa.large_string())
+        _, code, first = shingle_sets(split_words(raw, lower=True))
+        yield from (code[i:j] for i, j in zip(first, first[1:]))
+        at = to
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -256,39 +381,27 @@ def _edges(texts: DataFrame, classes: DataFrame, least: DataFrame, percent: int)
     packed = staged(_texts_of(texts, wanted).dropDuplicates(["c"]), "near-texts")
 
     def tried(pairs: DataFrame) -> DataFrame:
-        return staged(_confirmed(staged(_likely(pairs, classes, bound), "near-likely"), packed, percent), "near-links")
+        """(a, b, lo, hi, linked) of all pairs; those that cannot be linked keep the limits of their estimate."""
+        rough = staged(_bounds(pairs, classes, bound), "near-bounds")
+        near = F.col("lo") <= 1 - bound + 1e-9
+        exact = _distances(rough.where(near).select("a", "b"), packed, percent)
+        return staged(exact.unionByName(rough.where(~near).withColumn("linked", F.lit(False))), "near-tried")
 
-    edges = tried(_ordered(members.select(F.col("pivot").alias("a"), F.col("c").alias("b"))))
-    members = members.select("key", "c", "n")
-    for turn in range(4):
+    def labelled(rows: DataFrame) -> DataFrame:
         labels = components(edges).withColumnRenamed("node", "c")
-        left = members.join(labels, "c", "left").select("key", "c", "n", F.coalesce("label", "c").alias("label"))
-        mixed = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
-            F.count(F.lit(1)).alias("labels"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("inside"))
-        mixed = mixed.where("labels > 1")
-        left = staged(left.join(mixed, "key"), "near-left")
-        open_pairs = left.groupBy("key").agg(F.max((F.col("m") * F.col("m") - F.col("inside")) / 2).alias("p")).agg(
-            F.sum("p").alias("pairs"), F.count(F.lit(1)).alias("keys")).first()
-        if not open_pairs["keys"]:
-            return edges
-        if turn == 3 or open_pairs["pairs"] <= 4 * classes.count():
-            break
-        # another pivot per key, by a hash of class and turn; only other components' classes are tried against it
-        order = F.xxhash64("c", F.lit(turn))
-        pivots = left.groupBy("key").agg(F.min(order).alias("o"))
-        pivots = left.withColumn("o", order).join(pivots, ["key", "o"]).select(
-            "key", F.col("c").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-        pairs = left.join(pivots, "key").where(
-            (F.col("label") != F.col("la")) & (4 * F.least("n", "na") >= 3 * F.greatest("n", "na")))
-        edges = staged(edges.union(tried(_ordered(pairs.select("a", F.col("c").alias("b"))))).distinct(), "near-edges")
-    narrow = left.where(F.col("labels") <= WIDE).select("key", "c", "n", "label")
-    wide = left.where(F.col("labels") > WIDE).select("key", "c", "n", "label")
-    # a very mixed key says little: its members are paired where they share a second band too
-    second = _bands(classes).select(F.col("key").alias("key2"), "c")
-    finer = wide.join(second, "c").where("key != key2").select(
-        F.xxhash64("key", "key2").alias("key"), "c", "n", "label")
-    pairs = _ordered(_cross(narrow).union(_cross(finer)))
-    return staged(edges.union(tried(pairs)), "near-edges")
+        return rows.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+
+    stars = tried(_ordered(members.select(F.col("pivot").alias("a"), F.col("c").alias("b"))))
+    edges = stars.where("linked").select("a", "b")
+    spans = stars.select(F.col("a").alias("x"), F.col("b").alias("y"), "lo", "hi").union(stars.select("b", "a", "lo", "hi"))
+    members = members.join(spans, (members.pivot == spans.x) & (members.c == spans.y), "left").select(
+        "key", "c", "n", F.coalesce("lo", F.lit(0.0)).alias("lo"), F.coalesce("hi", F.lit(0.0)).alias("hi"))
+    left = labelled(members)
+    mixed = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
+        F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    left = staged(left.join(mixed, "key"), "near-left")
+    links = _cross_links(left.drop("labels"), packed, classes, percent)
+    return staged(edges.union(links).distinct(), "near-edges")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:

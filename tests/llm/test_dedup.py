@@ -76,8 +76,8 @@ def test_near_duplicates_of_a_large_group_and_a_chain(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
 
 
-def test_near_duplicates_when_every_key_is_wide(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "WIDE", 1)
+def test_near_duplicates_when_every_key_has_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CELL_ROWS", 2)
     rows = [(i, " ".join(conftest.prose(i // 6, 90).split()[i % 6:])) for i in range(90)]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
