@@ -63,7 +63,7 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _unlike_keeper(texts: DataFrame, many: DataFrame) -> DataFrame:
     """Members of groups whose bytes differ from those of the group's keeper: id, h, n, norm."""
-    members = texts.join(many, ["h", "n"])
+    members = staged(texts.join(many, ["h", "n"]), "exact-members")  # every text is dealt out once
     keeper = members.where(F.col("id").eqNullSafe(F.col("k"))).groupBy("h", "n").agg(
         F.min("norm").alias("keeper_norm"))  # a repeated id may hold two texts of one hash
     return members.join(keeper, ["h", "n"]).where("norm != keeper_norm").select("id", "h", "n", "norm")
