@@ -15,6 +15,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 ACCURACY = 10_000
 
 
@@ -58,7 +60,8 @@ def exact_quantile(df: DataFrame, col: str, q: float, n: int | None = None) -> f
 
     ``n``: the number of non-null values, when the caller already knows it.
     """
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    # one narrow column, read by every pass: written once rather than recomputed
+    vals = cut_lineage(df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull()))
     n = vals.count() if n is None else n
     if n == 0:
         return None

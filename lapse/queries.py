@@ -243,6 +243,20 @@ def p9_export_dashboard(spark, base):
     return S.export_frame(seg)
 
 
+def p8_segment_facts(spark, base):
+    """What holds for the segments whatever their labels: everyone has one, and labels follow the mean MRR."""
+    seg, stats, _ = S.segment_customers(_merged(_dom(spark, base)))
+    by_mrr = F.transform(F.array_sort(F.collect_list(F.struct("avg_mrr", "segment_label"))), lambda x: x["segment_label"])
+    return seg.agg(F.count(F.lit(1)).alias("customers"), F.count_distinct("segment").alias("segments"),
+                   F.count_if(F.col("segment").isNull()).alias("without_segment")).withColumn(
+        "labels_by_mrr", stats.agg(F.array_join(by_mrr, ",")).scalar())  # stats has k rows
+
+
+def p9_export_without_segment(spark, base):
+    """The dashboard's columns apart from the fitted ones."""
+    return S.export_frame(_merged(_dom(spark, base)).fillna(0, subset=list(S.SEGMENT_FEATURES)))
+
+
 def p8_cluster_centres(spark, base):
     _, _, centres = S.segment_customers(_merged(_dom(spark, base)))
     return centres
@@ -400,7 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         p5_engagement_features_raw, p6_two_proportion_ztest_raw, p7_chi_square_2x2_raw, p10_rate_by_ai_adoption_raw,
         p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
-        p8_cluster_centres, p9_export_dashboard, p10_rate_by_tier, p10_rate_by_ai_adoption,
+        p8_cluster_centres, p8_segment_facts, p9_export_dashboard, p9_export_without_segment, p10_rate_by_tier, p10_rate_by_ai_adoption,
         op_dataset_profile, op_months_since_signup, op_topk_score, op_array_filter_size, op_latest_per_group,
         op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,

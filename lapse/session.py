@@ -8,8 +8,11 @@ folder (``spark.checkpoint.dir``) instead of executor-local storage.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,12 +73,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
     Used where a frame feeds several downstream jobs (or an iterative fit) so a
-    lost executor re-reads the checkpoint instead of replaying the whole plan.
-    Never a local checkpoint: those die with the executor that wrote them.
+    lost executor re-reads files instead of replaying the whole plan, and the jobs
+    read only the columns they need. The files go when the driver ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapse-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be stopped already
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
