@@ -4,13 +4,13 @@ import hashlib
 from collections import Counter
 
 import brute
-import conftest
+import edge_cases
 import pytest
 from pyspark.sql import functions as F
 
 from lapse.llm import exact_dedup, near_dedup, repeated_passages
 
-ROWS = conftest.edge_rows()
+ROWS = edge_cases.edge_rows()
 
 
 def exact_brute(rows, pick):
@@ -58,19 +58,19 @@ def test_near_duplicates_on_edge_cases(edge, clashing, empty):
 
 
 def test_near_duplicates_of_a_large_group_and_a_chain(spark):
-    base = conftest.prose(7, 120).split()
+    base = edge_cases.prose(7, 120).split()
     rows, at = [], 0
     for i in range(150):  # each differs from the first at one place of its own
         w = base.copy()
         w[i % 120] = f"new{i}"
         rows.append((at, " ".join(w)))
         at += 1
-    chain = conftest.prose(8, 400).split()
+    chain = edge_cases.prose(8, 400).split()
     for i in range(40):  # a window that slides: neighbours are linked, the ends are not
         rows.append((at, " ".join(chain[4 * i:4 * i + 60])))
         at += 1
     for i in range(200):  # a shared line in otherwise different short texts
-        rows.append((at, "a common line that many short texts share " + conftest.prose(1000 + i, 3)))
+        rows.append((at, "a common line that many short texts share " + edge_cases.prose(1000 + i, 3)))
         at += 1
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
@@ -78,7 +78,7 @@ def test_near_duplicates_of_a_large_group_and_a_chain(spark):
 
 def test_near_duplicates_when_every_key_has_many_parts(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "CELL_ROWS", 2)
-    rows = [(i, " ".join(conftest.prose(i // 6, 90).split()[i % 6:])) for i in range(90)]
+    rows = [(i, " ".join(edge_cases.prose(i // 6, 90).split()[i % 6:])) for i in range(90)]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
 
@@ -89,7 +89,7 @@ def test_sketch_estimates_are_close():
 
     from lapse.llm.wordarrays import split_words
 
-    base = conftest.prose(9, 4000).split()
+    base = edge_cases.prose(9, 4000).split()
     other = base.copy()
     for i in range(0, 4000, 60):
         other[i] = f"x{i}"
@@ -109,11 +109,11 @@ def test_repeats_on_edge_cases(request, table):
 
 
 def test_repeats_of_partial_and_overlapping_passages(spark, empty):
-    p = conftest.prose(20, 200).split()
+    p = edge_cases.prose(20, 200).split()
     rows = [
-        (1, " ".join(p)), (2, conftest.prose(21, 50) + " " + " ".join(p[20:90])), (3, " ".join(p[60:130]) + " " + conftest.prose(22, 9)),
-        (4, " ".join(p[100:134])), (5, " ".join(p[100:135])), (6, " ".join(p[:40] + p[:40])), (7, "a b " * 60), (8, conftest.prose(23, 40)),
-        (9, " ".join(p[150:]) + "\n\n" + " ".join(p[150:])), (10, conftest.prose(24, 30) + "\t" + " ".join(p[20:90]) + "\r" + conftest.prose(25, 34)),
+        (1, " ".join(p)), (2, edge_cases.prose(21, 50) + " " + " ".join(p[20:90])), (3, " ".join(p[60:130]) + " " + edge_cases.prose(22, 9)),
+        (4, " ".join(p[100:134])), (5, " ".join(p[100:135])), (6, " ".join(p[:40] + p[:40])), (7, "a b " * 60), (8, edge_cases.prose(23, 40)),
+        (9, " ".join(p[150:]) + "\n\n" + " ".join(p[150:])), (10, edge_cases.prose(24, 30) + "\t" + " ".join(p[20:90]) + "\r" + edge_cases.prose(25, 34)),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = repeated_passages.remove_repeats(df).collect()
@@ -124,7 +124,7 @@ def test_repeats_of_partial_and_overlapping_passages(spark, empty):
 def test_repeats_in_long_segments(spark, monkeypatch):
     monkeypatch.setattr(repeated_passages, "SEGMENT_WINDOWS", 50)
     monkeypatch.setattr(repeated_passages, "BATCH_BYTES", 500)
-    p = conftest.prose(30, 500).split()
+    p = edge_cases.prose(30, 500).split()
     rows = [(1, " ".join(p)), (2, "x " + " ".join(p[7:])), (3, " ".join(p[:230]) + " y " + " ".join(p[231:]))]
     got = repeated_passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(brute.remove_repeats(rows))

@@ -1,6 +1,6 @@
 """Toxicity chain, quality trees, mixing and decontamination on small tables."""
 
-import conftest
+import edge_cases
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -10,7 +10,7 @@ from lapse.llm import decontaminate, mixing, quality, toxicity
 from lapse.llm.sampling import fold_of, labelled_sample
 
 SF = "/root/testdata/sf0.01"
-ROWS = conftest.edge_rows()
+ROWS = edge_cases.edge_rows()
 
 
 @pytest.fixture(scope="module")
@@ -102,7 +102,7 @@ def water_fill(sizes, weights=(5, 2, 1), cap=3):
 
 
 def test_mixing_targets_and_copies(spark, clashing, empty):
-    rows = [(i, conftest.prose(i, 5 + i * 7 % 90), f"s{i % 9 if i % 9 < 7 else 0}" if i % 11 else None) for i in range(900)]
+    rows = [(i, edge_cases.prose(i, 5 + i * 7 % 90), f"s{i % 9 if i % 9 < 7 else 0}" if i % 11 else None) for i in range(900)]
     rows += [(2000 + i, "tiny text", "small") for i in range(3)] + [(3000, None, "void"), (3001, "", "void")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = mixing.mix(df).collect()
@@ -121,7 +121,7 @@ def test_mixing_targets_and_copies(spark, clashing, empty):
 
 
 def test_rates_are_exponential_tilts(spark):
-    rows = [(i, conftest.prose(i, 10 + i % 50), "ab"[i % 2]) for i in range(400)]
+    rows = [(i, edge_cases.prose(i, 10 + i % 50), "ab"[i % 2]) for i in range(400)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     for s in "ab":
         slopes = {round(float(np.log(r.rate)) / r.size, 9) for r in got if r.source == s and r.rate < 2.999}
@@ -131,8 +131,8 @@ def test_rates_are_exponential_tilts(spark):
 
 
 def leaky(spark):
-    items = [(n, conftest.prose(500 + n, 30).capitalize() + "? " + conftest.prose(700 + n, 5) + ".") for n in range(30)] + [(98, None), (99, "...")]
-    rows = [(i, conftest.prose(i, 40 + i % 300)) for i in range(300)]
+    items = [(n, edge_cases.prose(500 + n, 30).capitalize() + "? " + edge_cases.prose(700 + n, 5) + ".") for n in range(30)] + [(98, None), (99, "...")]
+    rows = [(i, edge_cases.prose(i, 40 + i % 300)) for i in range(300)]
     want = set()
     for n in range(30):
         w = items[n][1].split()

@@ -1,11 +1,11 @@
 """HTML extraction, license scan and archive fixity."""
 
-import conftest
+import edge_cases
 from pyspark.sql import functions as F
 
 from lapse.llm import html_text, license_scan, warc_fixity
 
-ROWS = conftest.edge_rows()
+ROWS = edge_cases.edge_rows()
 
 
 def lines(html):
@@ -76,7 +76,7 @@ def test_license_statements_and_notices(spark, clashing, empty):
     mit = license_scan.TEMPLATES[2][1]
     wrapped = "\n".join(mit[i:i + 80] for i in range(0, len(mit), 80))
     rows = [(1, "some prose here\nReleased under the MIT License.\nmore prose"), (2, f"Copyright 2020 A. Person\n\n{wrapped}\n\nint main;"),
-            (3, "a licence to kill is no license for this text at all, whatever it says"), (4, conftest.prose(1, 500)),
+            (3, "a licence to kill is no license for this text at all, whatever it says"), (4, edge_cases.prose(1, 500)),
             (5, "x\nLicensed under the Apache License, Version 2.1."), (6, "This work is licenced under the GNU General Public License, version 2."), (7, None)]
     got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     found = {(r.doc_id, r.license): r for r in got}
