@@ -49,7 +49,7 @@ def group_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lost = odd.groupBy("h", "n").agg(F.count(F.lit(1)).alias("odd_rows"))
     sized = groups.join(lost, ["h", "n"], "left").select(
         "h", "n", "keep_id", (F.col("group_size") - F.coalesce("odd_rows", F.lit(0))).alias("group_size"))
-    each = copies.join(sized, ["h", "n"]).join(
+    each = copies.join(staged(sized, "exact-sized"), ["h", "n"]).join(
         exact, (copies.h == exact.h) & copies.id.eqNullSafe(exact.oid) & (copies.text_sha256 == exact.osha), "left")
     own = F.col("own_size").isNotNull()
     each = each.select(
@@ -66,6 +66,7 @@ def _unlike_keeper(texts: DataFrame, many: DataFrame) -> DataFrame:
     members = staged(texts.join(many, ["h", "n"]), "exact-members")  # every text is dealt out once
     keeper = members.where(F.col("id").eqNullSafe(F.col("k"))).groupBy("h", "n").agg(
         F.min("norm").alias("keeper_norm"))  # a repeated id may hold two texts of one hash
+    keeper = staged(keeper, "exact-keepers")  # a table of its own: Spark can split a hot hash's side of the join
     return members.join(keeper, ["h", "n"]).where("norm != keeper_norm").select("id", "h", "n", "norm")
 
 
