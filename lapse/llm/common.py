@@ -57,10 +57,14 @@ def _remove(spark: SparkSession, path: str) -> None:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    Later jobs read the files, so a lost executor costs at most the tasks it ran.
+    Later jobs read the files, so a lost executor costs at most the tasks it ran. The shuffle files behind
+    the table are of no use any more, but Spark removes them only when the driver's JVM collects garbage, which by itself
+    it does every half an hour (``spark.cleaner.periodicGC.interval``); asking for it here keeps
+    an operator's disk use to about that of its largest step.
     """
     path = stage_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -321,6 +321,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "k", F.col("x.hashes").alias("h"), F.col("x.places").alias("place"))
     spot = F.xxhash64("k", "place")
     often = places.groupBy("h").agg(F.min(spot).alias("lo"), F.max(spot).alias("hi")).where("lo != hi").select("h")
+    often = staged(often, "rep-anchors")  # a table of its own: Spark can split a hot anchor's side of the join
     held = places.join(often, "h").groupBy("k").agg(F.collect_set("place").alias("places"))
     held = held.join(keys.select("key", "rep", F.xxhash64("key").alias("k")), "k").select(
         F.col("key").alias("hkey"), "rep", "places")
