@@ -125,8 +125,9 @@ def _cuts(rated: DataFrame, state: DataFrame) -> DataFrame:
     key's range, the cell in which the source's missing words run out, then that cell's cells.
     """
     given = rated.groupBy("sk").agg(F.sum(F.col("whole") * F.col("size")).alias("given"))
-    state = state.join(given, "sk").select("sk", (F.col("target") - F.col("given")).alias("need"),
-                                           F.lit(-1.0).alias("lo"))
+    # a table of one row per source: joined to the documents without dealing them out by source
+    state = staged(state.join(given, "sk").select("sk", (F.col("target") - F.col("given")).alias("need"),
+                                                  F.lit(-1.0).alias("lo")), "mix-cut")
     width = 2.0
     for i in range(ROUNDS):
         cell_width = width / CELLS
