@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapse.llm.common import partitions, staged
+from lapse.llm.common import WORD, partitions, staged
 from lapse.llm.components import components
 from lapse.llm.wordarrays import SLICE_BYTES, Words, mix, sequence_hashes, slices, split_words, window_hashes
 
@@ -102,7 +102,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketched(texts: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, n, c, sketch); c identifies the set and is null for texts without words."""
+    """(doc_id, th, n, c, sketch); c identifies the set and is null for texts without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,10 +112,11 @@ def _sketched(texts: DataFrame, kind: str) -> DataFrame:
                 size = np.diff(first)
                 sketch = sketches(text, code, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(size), _set_ids(text, code, size),
-                     pa.array([bytes(s) if k else None for s, k in zip(sketch, size)], pa.binary())], ["doc_id", "n", "c", "sketch"])
+                    [part.column("doc_id"), part.column("th"), pa.array(size), _set_ids(text, code, size),
+                     pa.array([bytes(s) if k else None for s, k in zip(sketch, size)], pa.binary())],
+                    ["doc_id", "th", "n", "c", "sketch"])
 
-    return texts.mapInArrow(run, f"doc_id {kind}, n long, c binary, sketch binary")
+    return texts.mapInArrow(run, f"doc_id {kind}, th long, n long, c binary, sketch binary")
 
 
 def _set_ids(text: np.ndarray, code: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -168,16 +169,16 @@ def _bounds(pairs: DataFrame, classes: DataFrame, bound: float) -> DataFrame:
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, z): the compressed text of one document of each wanted class (c, rep)."""
-    joined = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.rep)).select("c", "text")
+    """(c, z): the compressed text of one document of each wanted class (c, text_th, text_id)."""
+    joined = texts.join(wanted, (texts.th == wanted.text_th) & texts.doc_id.eqNullSafe(wanted.text_id)).select("c", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for part in slices(batch, "text"):
                 text, code, first = shingle_sets(split_words(part.column("text"), lower=True))
-                ids = _set_ids(text, code, np.diff(first)).to_pylist()  # an id may stand for several texts
-                mine = [i for i, c in enumerate(part.column("c").to_pylist()) if c == ids[i]]
+                ids = _set_ids(text, code, np.diff(first)).to_pylist()
+                mine = [i for i, c in enumerate(part.column("c").to_pylist()) if c == ids[i]]  # hashes may collide
                 raw = part.column("text").take(pa.array(mine, pa.int64())).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [part.column("c").take(pa.array(mine, pa.int64())),
@@ -236,6 +237,7 @@ def _cross_links(members: DataFrame, packed: DataFrame, classes: DataFrame, perc
     """
     parts = members.join(packed.select("c", F.octet_length("z").alias("bytes")), "c").groupBy("key").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / CELL_ROWS), F.ceil(F.sum("bytes") / CELL_BYTES)).cast("int").alias("parts"))
+    parts = staged(parts, "near-parts")
     rows = members.join(parts, "key").join(packed, "c").join(classes.select("c", "sketch"), "c")
     own = F.pmod(F.xxhash64("c"), F.col("parts")).cast("int")
     rows = rows.withColumn("own", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -346,26 +348,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat an id and a text are one class and both carry the result. An empty table gives an empty
     result. Other columns are ignored. ``percent`` must be at least 75 (sizes are compared by that bound).
     """
+    rows, labelled = _labelled(docs, id_col, text_col, percent)
+    heads = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    named = labelled.join(heads, "label").select("c", "component_id")
+    out = rows.select("doc_id", "n", "c").join(named, "c", "left")
+    owner = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), owner.alias("component_id"),
+                      F.col("doc_id").eqNullSafe(owner).alias("kept"))
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, th, n, c) of all documents, and classes (c, rep, label) with their component."""
     if percent < 75:
         raise ValueError("the bands are laid out for 75 percent and more")
     kind = docs.select(F.col(id_col).alias("doc_id")).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = texts.withColumn("th", F.xxhash64("text"))
     rows = staged(_sketched(texts, kind), "near-rows")
     with_set = rows.where("c is not null")
-    least = staged(with_set.groupBy("c").agg(F.min("doc_id").alias("rep")), "near-classes")
+    # a class's text is found again by the text's hash and, of its copies, the least id
+    least = with_set.groupBy("c", "th").agg(F.min("doc_id").alias("rid")).groupBy("c").agg(
+        F.min("rid").alias("rep"), F.min("th").alias("text_th"), F.min_by("rid", "th").alias("text_id"))
+    least = staged(least, "near-classes")
     classes = staged(with_set.dropDuplicates(["c"]).select("c", "n", "sketch"), "near-sketches")
     edges = _edges(texts, classes, least, percent)
+    least = least.select("c", "rep")
     if edges is None:
-        named = least.select("c", F.col("rep").alias("component_id"))
-    else:
-        labels = components(edges).withColumnRenamed("node", "c")
-        labelled = least.join(labels, "c", "left").select("c", "rep", F.coalesce("label", "c").alias("label"))
-        heads = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
-        named = labelled.join(heads, "label").select("c", "component_id")
-    out = rows.select("doc_id", "n", "c").join(named, "c", "left")
-    owner = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), owner.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(owner).alias("kept"))
+        return rows, least.withColumn("label", F.col("c"))
+    labels = components(edges).withColumnRenamed("node", "c")
+    return rows, least.join(labels, "c", "left").select("c", "rep", F.coalesce("label", "c").alias("label"))
 
 
 def _edges(texts: DataFrame, classes: DataFrame, least: DataFrame, percent: int) -> DataFrame | None:
@@ -373,6 +384,7 @@ def _edges(texts: DataFrame, classes: DataFrame, least: DataFrame, percent: int)
     bound = percent / 100
     bands = _bands(classes)
     groups = bands.groupBy("key").agg(F.min("c").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    groups = staged(groups, "near-groups")  # a table of its own: Spark can split a hot key's side of the join
     # only keys of at least two classes matter from here on
     members = staged(bands.join(groups.select("key", "pivot"), "key"), "near-members")
     if members.isEmpty():
@@ -399,14 +411,27 @@ def _edges(texts: DataFrame, classes: DataFrame, least: DataFrame, percent: int)
     left = labelled(members)
     mixed = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
         F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    left = staged(left.join(mixed, "key"), "near-left")
+    left = staged(left.join(staged(mixed, "near-mixed"), "key"), "near-left")
     links = _cross_links(left.drop("labels"), packed, classes, percent)
     return staged(edges.union(links).distinct(), "near-edges")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
-    """``docs`` with one document of each component (the smallest id), all columns unchanged."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    kept = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col("doc_id").alias("kid")).distinct()
-    held = docs.select(row.alias("r"), F.col(id_col).alias("id"))
-    return held.join(kept, held.id.eqNullSafe(kept.kid), "left_semi").select("r.*")
+    """``docs`` with one document of each component, all columns unchanged: the one with the smallest id.
+
+    Documents without words all stay. A null id comes after all others; among null ids the text's hash decides. Of rows that
+    repeat the kept id and text, the one whose columns sort first stays.
+    """
+    rows, labelled = _labelled(docs, id_col, text_col, percent)
+    by = F.struct(F.col("doc_id").isNull(), "doc_id", "th")
+    heads = rows.where("c is not null").select("c", by.alias("by")).groupBy("c").agg(F.min("by").alias("by"))
+    heads = labelled.join(heads, "c").groupBy("label").agg(F.min("by").alias("by"))
+    heads = staged(heads.select(F.col("by.doc_id").alias("kid"), F.col("by.th").alias("kth")), "near-heads")
+    # a struct of the whole row: columns of any name cannot clash with the working ones
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col(id_col).alias("id"),
+                       F.xxhash64(text).alias("th"), (~text.rlike(WORD)).alias("blank"))
+    kept = held.where("not blank").join(heads, (held.th == heads.kth) & held.id.eqNullSafe(heads.kid), "left_semi")
+    first = F.row_number().over(Window.partitionBy("th", "id").orderBy("r"))
+    kept = kept.withColumn("nth", first).where("nth = 1")
+    return held.where("blank").select("r.*").unionByName(kept.select("r.*"))

@@ -128,3 +128,15 @@ def test_repeats_in_long_segments(spark, monkeypatch):
     rows = [(1, " ".join(p)), (2, "x " + " ".join(p[7:])), (3, " ".join(p[:230]) + " y " + " ".join(p[231:]))]
     got = repeated_passages.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == sorted(brute.remove_repeats(rows))
+
+
+def test_null_ids_are_rows_of_their_own(spark):
+    texts = [edge_cases.prose(40 + i, 60) for i in range(4)]
+    near = texts[0].split()
+    near[30] = "other"
+    rows = [(None, t) for t in texts] + [(None, " ".join(near)), (None, texts[1]), (5, texts[2]), (None, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in near_dedup.keep_one(df).collect()]
+    assert sorted(map(str, kept)) in [sorted(map(str, [(None, first), (None, texts[1]), (5, texts[2]), (None, texts[3]), (None, ""), (None, None)]))
+                                      for first in (texts[0], " ".join(near))]
+    assert exact_dedup.keep_one(df).count() == 6  # five texts and the empty one

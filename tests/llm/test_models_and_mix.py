@@ -174,3 +174,9 @@ def test_lcs_bits_match_the_table():
             for j in range(30):
                 t[i + 1, j + 1] = t[i, j] + 1 if a[i] == b[j] else max(t[i, j + 1], t[i + 1, j])
         assert decontaminate.lcs_length(decontaminate.place_bits(a), 20, b.tolist()) == t[20, 30]
+
+
+def test_leaks_of_rows_without_an_id_leave_the_others(spark):
+    docs, items, want = leaky(spark)
+    nameless = docs.selectExpr("cast(null as long) as doc_id", "text")
+    assert decontaminate.drop_leaks(nameless, items).count() == docs.count() - len(want)
