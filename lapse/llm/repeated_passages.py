@@ -7,7 +7,7 @@ A window is ``size`` consecutive words. Which windows recur is found without shu
    one run in fourteen is an anchor, and only anchors are counted over the whole corpus.
 2. Segments. Maximal stretches of windows with recurring anchors are cut out of one document per
    distinct text. All further work is on these.
-3. Passages. Windows of the segments are counted by a 128-bit hash. Recurring windows that always follow one
+3. Passages. Windows of the segments are counted by a 96-bit hash. Recurring windows that always follow one
    another (the same next and the same previous word in all places) are joined to a passage,
    so wherever one word of a passage's windows occurs, the whole passage does.
 4. Automata. Segments are dealt into batches of bounded size; each batch compiles an Aho-Corasick automaton of the
@@ -211,11 +211,11 @@ def _windows(parts: DataFrame, size: int) -> DataFrame:
                 before[later] = code[later - 1]
                 take = pa.array(text[at])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(w[at].view(np.int64)), pa.array(v[at].view(np.int64)), pa.array(after[at]), pa.array(before[at]),
-                     part.column("tid").take(take), pa.array(at - words.first[text[at]]), part.column("times").take(take)],
+                    [pa.array(w[at].view(np.int64)), pa.array(v[at].astype(np.uint32).view(np.int32)), pa.array(after[at]), pa.array(before[at]),
+                     part.column("tid").take(take), pa.array((at - words.first[text[at]]).astype(np.int32)), part.column("times").take(take)],
                     ["w", "v", "after", "before", "tid", "at", "times"])
 
-    return parts.select("tid", "z", "times").mapInArrow(run, "w long, v long, after long, before long, tid long, at long, times long")
+    return parts.select("tid", "z", "times").mapInArrow(run, "w long, v int, after long, before long, tid long, at int, times long")
 
 
 def _passages(parts: DataFrame, size: int) -> DataFrame:
