@@ -1,18 +1,20 @@
 """License scan by conditional compression and wording differences.
 
-Lines with a license word, alone and with the lines that follow, are candidate blocks. A block is
-compressed plainly and once with each template as a raw zstandard dictionary; the template
-that saves the largest share of bytes wins. The winner is confirmed on the wording: the words of template and
-block are aligned, and the words on one side only are the differences.
+Around every license word the words of the text are aligned with those of each template; the span of an alignment is
+a candidate block, so what stands before and after a statement, on its line or not, does not count. The words on one
+side only are the differences. A block is compressed plainly and with its template as a raw zstandard dictionary.
+It is confirmed on the wording, or, where much was added between the template's words, on the share of bytes saved.
+Of blocks that overlap, the one with the fewest differences stands.
 """
 
 from __future__ import annotations
 
-import difflib
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -53,16 +55,15 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
 ]
 CUE = r"(?i)licen[cs]e|copyright|permission|redistribut|unencumbered|public domain|rights reserved|free software|mozilla public"
-#: Longer lines are cut after sentences, so that a block stays near its cue.
-LONG_LINE = 600
-#: Block lengths in characters that are tried after a cue, besides its line.
-REACHES = (160, 420, 700)
-#: A winner saves this share of a block's compressed bytes and keeps this share of its template's words in order.
+#: A place keeps this share of its template's words in order, and more words than differ or this share of its bytes.
 MIN_SAVED, MIN_KEPT = 0.25, 0.8
+#: Words added to a place that one kept word outweighs: few, for the tightest span, and more, for widely parted words.
+GAINS = (2, 8)
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 _CUE = re.compile(CUE)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
+_BREAK = re.compile(r"[.!?]\s|\n")
+_CLOSING = re.compile(r"[^\w\s]*")
 
 
 @dataclass
@@ -71,90 +72,119 @@ class Template:
     words: list[str]
     compressor: zstandard.ZstdCompressor
     text: str
+    codes: np.ndarray
 
 
-def prepare(templates: list[tuple[str, str]]) -> list[Template]:
-    out = []
+def prepare(templates: list[tuple[str, str]]) -> tuple[list[Template], dict[str, int]]:
+    """The templates, and the code of each of their words."""
+    out, vocabulary = [], {}
     for name, text in templates:
         data = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append(Template(name, _WORD.findall(text.lower()), zstandard.ZstdCompressor(level=9, dict_data=data), text))
-    return out
-
-
-def pieces(text: str) -> list[tuple[int, str]]:
-    """(offset, line) of the lines of a text, long ones cut after sentences."""
-    out, at = [], 0
-    for line in text.split("\n"):
-        if len(line) <= LONG_LINE:
-            out.append((at, line))
+        words = _WORD.findall(text.lower())
+        codes = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words], np.int64)
+        out.append(Template(name, words, zstandard.ZstdCompressor(level=9, dict_data=data), text, codes))
+    return out, vocabulary
+
+
+def align(template: np.ndarray, text: np.ndarray, gain: int) -> list[tuple[int, int]]:
+    """(template word, text word) in order, of the span with most kept words; ``gain`` added words outweigh one."""
+    n, m = len(template), len(text)
+    best, ramp = np.zeros((n + 1, m + 1), np.int64), np.arange(m + 1)
+    for i in range(n):
+        row = best[i].copy()
+        np.maximum(row[1:], np.where(text == template[i], best[i, :-1] + gain, 0), out=row[1:])
+        best[i + 1] = np.maximum.accumulate(row + ramp) - ramp
+    pairs, i, j = [], n, int(best[n].argmax())
+    while i and best[i, j] > 0:
+        if best[i, j] == best[i - 1, j]:
+            i -= 1
+        elif text[j - 1] == template[i - 1] and best[i, j] == best[i - 1, j - 1] + gain:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
         else:
-            last = 0
-            for m in _SENTENCE.finditer(line):
-                out.append((at + last, line[last:m.start()]))
-                last = m.end()
-            out.append((at + last, line[last:]))
-        at += len(line) + 1
+            j -= 1
+    return pairs[::-1]
+
+
+def regions(cues: list[int], reach: int, n: int) -> Iterator[tuple[int, int]]:
+    """Overlapping stretches of the n words of a text that hold each span of up to ``reach`` words with a cue."""
+    k = 0
+    while k < len(cues):
+        low, high = max(cues[k] - reach, 0), cues[k] + reach
+        while k + 1 < len(cues) and cues[k + 1] - reach <= high:
+            k += 1
+            high = cues[k] + reach
+        high, k = min(high + 1, n), k + 1
+        for at in range(low, max(high - reach, low + 1), reach):
+            yield at, min(at + 2 * reach, high)
+
+
+def places(codes: np.ndarray, cues: list[int], t: Template) -> Iterator[list[tuple[int, int]]]:
+    """Alignments that keep enough of the template's words, by (template word, text word)."""
+    n = len(t.codes)
+    found = set()
+    stack = list(regions(cues, n * (1 + max(GAINS)), len(codes)))
+    while stack:
+        low, high = stack.pop()
+        # no alignment keeps a word that does not occur
+        if np.isin(t.codes, codes[low:high]).sum() < MIN_KEPT * n:
+            continue
+        tight = None
+        for gain in GAINS:
+            pairs = [(a, b + low) for a, b in align(t.codes, codes[low:high], gain)]
+            tight = tight or pairs
+            if len(pairs) >= MIN_KEPT * n and tuple(pairs) not in found:
+                found.add(tuple(pairs))
+                yield pairs
+        stack += [(low, tight[0][1]), (tight[-1][1] + 1, high)]
+
+
+def differences(template: list[str], block: list[str], pairs: list[tuple[int, int]]) -> list[str]:
+    """["-word" or "+word" ...] of the words of template and block that are on one side only."""
+    out, i, j = [], 0, 0
+    for a, b in [*pairs, (len(template), len(block))]:
+        out += [f"-{w}" for w in template[i:a]] + [f"+{w}" for w in block[j:b]]
+        i, j = a + 1, b + 1
     return out
 
 
-def blocks(text: str) -> Iterator[tuple[int, str]]:
-    """(offset, block): each cue line, and the text from it up to each reach."""
-    lines = pieces(text)
-    for i, (at, line) in enumerate(lines):
-        if not _CUE.search(line):
-            continue
-        seen = set()
-        for reach in (0, *REACHES):
-            end, j = at + len(line), i
-            while end - at < reach and j + 1 < len(lines):
-                j += 1
-                end = lines[j][0] + len(lines[j][1])
-            block = text[at:min(end, at + 2 * LONG_LINE)]
-            if block not in seen:
-                seen.add(block)
-                yield at, block
-
-
-def differences(template: list[str], block: list[str]) -> tuple[int, list[str]]:
-    """(template words kept in order, ["-word" or "+word" ...]) between the template and its span in the block."""
-    match = difflib.SequenceMatcher(None, template, block, autojunk=False)
-    same = [m for m in match.get_matching_blocks() if m.size]
-    kept = sum(m.size for m in same)
-    if not same:
-        return 0, [f"-{w}" for w in template]
-    # words around the template's span belong to the text
-    low, high = same[0].b - same[0].a, same[-1].b + len(template) - same[-1].a
-    out = []
-    for tag, a, b, c, d in match.get_opcodes():
-        if tag != "equal":
-            out += [f"-{w}" for w in template[a:b]]
-            out += [f"+{w}" for w in block[max(c, low):min(d, high)]]
-    return kept, out
-
-
-def scan_text(text: str, templates: list[Template], plain: zstandard.ZstdCompressor) -> list[tuple]:
+def scan_text(text: str, templates: list[Template], vocabulary: dict[str, int], plain: zstandard.ZstdCompressor) -> list[tuple]:
     """(offset, block, license, saved, kept share, differences) per confirmed license place of one text."""
-    best: dict[int, tuple] = {}
-    for at, block in blocks(text):
-        raw = block.encode("utf-8", "surrogatepass")
-        size = len(plain.compress(raw))
-        ranked = sorted(((1 - len(t.compressor.compress(raw)) / size, -n) for n, t in enumerate(templates)), reverse=True)
-        words = _WORD.findall(block.lower())
-        for saved, n in ranked[:3]:  # near equal reductions are told apart by wording
-            if saved < MIN_SAVED:
-                break
-            t = templates[-n]
-            kept, diff = differences(t.words, words)
-            share = kept / len(t.words)
-            rank = share - len(diff) / len(t.words), len(t.words), saved
-            if share >= MIN_KEPT and (at not in best or rank > best[at][0]):
-                best[at] = rank, (at, block, t.name, saved, share, diff)
-    return [best[at][1] for at in sorted(best)]
+    spans = [m.span() for m in _WORD.finditer(text)]
+    words = [text[a:b].lower() for a, b in spans]
+    codes = np.array([vocabulary.get(w, -1) for w in words], np.int64)
+    ends = [b for _, b in spans]
+    cues = sorted({min(bisect.bisect_right(ends, m.start()), len(words) - 1) for m in _CUE.finditer(text)}) if words else []
+    found = []
+    for t in templates:
+        for pairs in places(codes, cues, t):
+            (first, low), (last, high) = pairs[0], pairs[-1]
+            # words in the place of the template's outer ones, up to the end of the line or sentence
+            while first and low and not _BREAK.search(text, ends[low - 1], spans[low][0]):
+                first, low = first - 1, low - 1
+            while last + 1 < len(t.words) and high + 1 < len(words) and not _BREAK.search(text, ends[high], spans[high + 1][0]):
+                last, high = last + 1, high + 1
+            diff = differences(t.words, words[low:high + 1], [(a, b - low) for a, b in pairs])
+            begin, end = spans[low][0], _CLOSING.match(text, ends[high]).end()
+            raw = text[begin:end].encode("utf-8", "surrogatepass")
+            saved = 1 - len(t.compressor.compress(raw)) / len(plain.compress(raw))
+            if len(pairs) > len(diff) or saved >= MIN_SAVED:
+                share = len(pairs) / len(t.words)
+                rank = share - len(diff) / len(t.words), len(t.words), saved
+                found.append((rank, begin, end, t.name, saved, share, diff))
+    found.sort(key=lambda f: f[0], reverse=True)
+    taken: list[tuple] = []
+    for _, begin, end, name, saved, share, diff in found:
+        k = bisect.bisect_left(taken, (end,))
+        if not k or taken[k - 1][1] <= begin:
+            taken.insert(k, (begin, end, name, saved, share, diff))
+    return [(a, text[a:b], *rest) for a, b, *rest in taken]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """One row per license place: doc_id, offset, license, saved, kept, differences, exact, block.
 
+    ``offset`` and ``block`` are the place's own, whatever stands around it; a text has as many rows as places.
     Documents without one give no row; null and empty texts neither. Every row is scanned by itself, so null
     and repeated ids are allowed. An empty table gives an empty result. Other columns are ignored.
     """
@@ -162,11 +192,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     chosen = TEMPLATES if templates is None else templates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready, plain = prepare(chosen), zstandard.ZstdCompressor(level=9)
+        (ready, vocabulary), plain = prepare(chosen), zstandard.ZstdCompressor(level=9)
         for batch in batches:
             take, rows = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                found = scan_text(text, ready, plain)
+                found = scan_text(text, ready, vocabulary, plain)
                 take += [i] * len(found)
                 rows += found
             yield pa.RecordBatch.from_arrays(

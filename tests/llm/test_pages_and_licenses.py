@@ -97,6 +97,20 @@ def test_every_statement_line_of_the_table_is_found(spark):
     assert want and want <= got
 
 
+def test_statements_inside_long_lines(spark):
+    names = dict((text, name) for name, text in license_scan.TEMPLATES)
+    before = " ".join(edge_cases.prose(3, 500).replace(".", " ").split())  # no sentence marks
+    rows = [(i, f"{before[:k]} {t} {before[:k]}") for i, (t, k) in enumerate((t, k) for t in names for k in (40, 300, 2000))]
+    both = "Licensed under CC BY 4.0."
+    rows += [(1000, f"{before[:90]} {both} and {before[:400]} {both} {before}"), (1001, before),
+             (1002, "This Source Code Form is subject to the terms of the\n" + license_scan.TEMPLATES[9][1].split("terms of the ")[1])]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {(i, names[t], len(before[:k]) + 1) for i, (t, k) in enumerate((t, k) for t in names for k in (40, 300, 2000))}
+    assert {(r.doc_id, r.license, r.offset) for r in got if r.exact and r.doc_id < 1000} == want
+    assert [(r.offset, r.block) for r in got if r.doc_id == 1000] == [(91, both), (91 + len(both) + 5 + 401, both)]
+    assert not [r for r in got if r.doc_id == 1001] and [(r.license, r.exact) for r in got if r.doc_id == 1002] == [("MPL-2.0", True)]
+
+
 def manifest(spark, n=4000, change=None):
     rows, at = [], {}
     for i in range(n):
