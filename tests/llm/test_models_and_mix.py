@@ -165,6 +165,22 @@ def test_decontamination_recall_on_the_given_tables(spark, tables):
     assert len(found - exact) <= 0.1 * len(found)
 
 
+def test_short_items_are_found_whatever_the_number_of_documents(spark, monkeypatch):
+    given = {n: spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "benchmark")}
+    items = [(r.item_id, r.text) for r in given["benchmark"].collect() if len(brute.words(r.text)) < 20]
+    strange = [" ".join(f"strange{i}x{k}" for k in range(30)) for i in range(2 * len(items))]
+    rows = [(n, f"{strange[2 * k]} {t} {strange[2 * k + 1]}") for k, (n, t) in enumerate(items)]
+    docs, short = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    count = decontaminate._frequencies
+    for times in (1, 10 ** 5):  # the given documents, and as many more in proportion
+        def scaled(texts, block, times=times):
+            held, n = count(given["documents"], block)
+            return held * times, n * times
+        monkeypatch.setattr(decontaminate, "_frequencies", scaled)
+        got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, short).collect()}
+        assert items and {(n, n) for n, _ in items} <= got
+
+
 def test_lcs_bits_match_the_table():
     r = np.random.default_rng(3)
     for _ in range(50):
