@@ -2,9 +2,9 @@
 
 A page becomes lines (one per block), each with its role: in the article, boilerplate by its
 element (menus, headers, footers, sidebars, forms, scripts, adverts, notices, comments), or open. Open
-lines of a page that marks no article are compared with those of the page whose URL path is
-nearest on the same host: the lines are aligned by longest common subsequence, and what
-both share is the site's, not the page's. A page that marks its article keeps exactly that.
+lines are compared with those of the page whose URL path is nearest on the same host: the lines are
+aligned by longest common subsequence, and what both share is the site's, not the page's. Lines in an
+article are kept. A page with a single article that is at least as long as its other open lines keeps exactly that.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ DROPPED_WORDS = frozenset("""ad ads adv advert advertisement advertising adverts
 consent cookie cookies copyright disqus footer gdpr hidden masthead menu modal nav navbar navigation newsletter notice
 pager pagination paywall popup promo promoted promotion recommended related replies share sharing sidebar skip social
 sponsor sponsored subscribe subscription toolbar tracking widget""".split())
+#: Elements whose id may name a part of the page; an id of others, such as headings, names a place in the text.
+CONTAINERS = frozenset("div section article ul ol dl table center details".split())
+#: What the id of a section in an article says of its role; other words are the section's topic.
+RESPONSES = frozenset("comment comments disqus replies".split())
 CLOSES_P = BLOCKS - {"html", "body"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(" + RAW + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -50,34 +54,41 @@ def _marked_off(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or name in ("body", "html", "main"):
         return False
-    for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'").lower()
+    found = [(key.lower(), value.strip("\"'").lower()) for key, value in _ATTRIBUTE.findall(attributes)]
+    section = name == "section" or name == "div" and any(key == "class" and "section" in value.split() for key, value in found)
+    for key, value in found:
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDING.search(value):
             return True
         if key == "role" and value in DROPPED_ROLES:
             return True
-        if key in ("class", "id"):
+        if key == "class" or key == "id" and name in CONTAINERS:
+            dropped = RESPONSES if key == "id" and section and in_article else DROPPED_WORDS
             for word in value.split():
                 parts = re.split(r"[^a-z]+", re.sub(r"\d+", "", word))
-                if DROPPED_WORDS.intersection(parts) and not {"with", "has", "no", "without", "main", "content"} & {*parts}:
+                if dropped.intersection(parts) and not {"with", "has", "no", "without", "main", "content"} & {*parts}:
                     return True
     return False
 
 
 def page_lines(source: str | None) -> list[tuple[str, int]]:
     """(text, role) of each non-empty block in page order, white space folded, references decoded."""
-    out: list[tuple[str, int]] = []
+    return [(text, role) for text, role, _ in numbered_lines(source)]
+
+
+def numbered_lines(source: str | None) -> list[tuple[str, int, int]]:
+    """The lines and roles of a page, and the number of the outermost article or main element begun last."""
+    out: list[tuple[str, int, int]] = []
     if not source:
         return out
     stack: list[tuple[str, bool, bool]] = []  # name, marks off, is an article
-    off = inside = 0
+    off = inside = nth = 0
     pieces: list[str] = []
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pieces)).split())
         pieces.clear()
         if text:
-            out.append((text, BOILERPLATE if off else ARTICLE if inside else OPEN))
+            out.append((text, BOILERPLATE if off else ARTICLE if inside else OPEN, nth))
 
     def pop_to(at: int) -> None:
         nonlocal off, inside
@@ -122,6 +133,7 @@ def page_lines(source: str | None) -> list[tuple[str, int]]:
             article = name in ("article", "main") and not marks
             stack.append((name, marks, article))
             off += marks
+            nth += article and not inside
             inside += article
     if last < len(source):
         pieces.append(source[last:])
@@ -129,6 +141,19 @@ def page_lines(source: str | None) -> list[tuple[str, int]]:
     return out
 
 
+def parts_of(source: str | None) -> tuple[list[str], list[int], int | None, bool, bool]:
+    """(lines, place among the open lines or -1 in an article, hash of the article's, single article, and it is the main one)."""
+    found = [x for x in numbered_lines(source) if x[1] != BOILERPLATE]
+    own, opened = [x for x in found if x[1] == ARTICLE], [x for x in found if x[1] == OPEN]
+    at, n = [], 0
+    for _, role, _ in found:
+        at.append(n if role == OPEN else -1)
+        n += role == OPEN
+    single = len({nth for _, _, nth in own}) == 1
+    main = single and sum(len(x[0]) for x in own) >= sum(len(x[0]) for x in opened)
+    return [x[0] for x in found], at, _hash("\n".join(x[0] for x in own)) if own else None, single, main
+
+
 def shared_lines(mine: list[int], other: list[int]) -> list[int]:
     """Indexes of ``mine`` on a longest common subsequence with ``other``.
 
@@ -199,28 +224,29 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Null and empty html gives an empty text. A null url counts as host "" and path "". Rows are
     independent of ids, which may be null or repeat; pages of one url and the same open lines are one page when
     pages are paired. A page all of whose open lines are shared is a copy of its
-    neighbour and keeps them. An empty table gives an empty result. Other columns are ignored.
+    neighbour and keeps them, unless its article differs. An empty table gives an empty result. Other columns are ignored.
     """
     kind = pages.select(F.col(id_col).alias("page_id")).schema[0].dataType.simpleString()
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
 
     def faces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            host, path, lines, article = [], [], [], []
+            host, path, lines, article, main = [], [], [], [], []
             for h, p, source in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), batch.column("html").to_pylist()):
-                found = page_lines(source)
-                if own := [_hash(t) for t, role in found if role == OPEN]:
-                    host.append(h), path.append(p), lines.append(own)
-                    article.append(any(role == ARTICLE for _, role in found))
+                texts, at, own, _, is_main = parts_of(source)
+                if opened := [_hash(t) for t, k in zip(texts, at) if k >= 0]:
+                    host.append(h), path.append(p), lines.append(opened), article.append(own), main.append(is_main)
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(lines, pa.list_(pa.int64())),
-                                              pa.array(article, pa.bool_())], ["host", "path", "lines", "article"])
+                                              pa.array(article, pa.int64()), pa.array(main, pa.bool_())],
+                                             ["host", "path", "lines", "article", "main"])
 
     faces = base.select(url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "html").mapInArrow(
-        faces_of, "host string, path string, lines array<long>, article boolean")
+        faces_of, "host string, path string, lines array<long>, article long, main boolean")
     # pages of one url with the same lines are one face; the digest stands for the lines
-    faces = faces.groupBy("host", "path", F.xxhash64("lines", F.size("lines")).alias("digest")).agg(
-        F.first("lines").alias("lines"), F.min("article").alias("article"))
-    near = neighbours(faces, ["host", "path", "digest"], F.struct("path", "lines"), "host")
+    digest = F.xxhash64("lines", F.size("lines"), "article").alias("digest")
+    faces = faces.groupBy("host", "path", digest).agg(
+        F.first("lines").alias("lines"), F.first("article").alias("article"), F.min("main").alias("main"))
+    near = neighbours(faces, ["host", "path", "digest"], F.struct("path", "lines", "article"), "host")
 
     def shared_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def alike(a: str, b: dict | None) -> int:
@@ -238,31 +264,40 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for r in batch.to_pylist():
                 pair = r["before"] if alike(r["path"], r["before"]) >= alike(r["path"], r["after"]) else r["after"]
                 shared = shared_lines(r["lines"], pair["lines"]) if pair else []
-                out.append(shared if len(shared) < len(r["lines"]) else [])
+                copy = len(shared) == len(r["lines"]) and (r["article"] is None or pair["article"] == r["article"])
+                out.append([] if copy else shared)
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("path"), batch.column("digest"),
                                               pa.array(out, pa.list_(pa.int32()))], ["host", "path", "digest", "shared"])
 
-    shared = near.where("not article").mapInArrow(shared_of, "host string, path string, digest long, shared array<int>")
+    shared = near.where("not main").mapInArrow(shared_of, "host string, path string, digest long, shared array<int>")
     shared = staged(shared.where(F.size("shared") > 0), "shared-lines")
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, lines = [], []
+            texts, places, lines, article, single = [], [], [], [], []
             for source in batch.column("html").to_pylist():
-                found = page_lines(source)
-                own = [t for t, role in found if role == ARTICLE]
-                opened = [t for t, role in found if role == OPEN]
-                texts.append(own or opened)
-                lines.append([_hash(t) for t in opened] if not own else [])
+                text, at, own, alone, main = parts_of(source)
+                if main:
+                    text, at = [t for t, k in zip(text, at) if k < 0], [k for k in at if k < 0]
+                texts.append(text), places.append(at), article.append(own), single.append(alone)
+                lines.append([_hash(t) for t, k in zip(text, at) if k >= 0])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("host"), batch.column("path"),
-                 pa.array(texts, pa.list_(pa.string())), pa.array(lines, pa.list_(pa.int64()))],
-                ["page_id", "url", "host", "path", "texts", "lines"])
+                 pa.array(texts, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.int64())),
+                 pa.array(article, pa.int64()), pa.array(single, pa.bool_())],
+                ["page_id", "url", "host", "path", "texts", "at", "lines", "article", "single"])
 
     texts = base.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))}).mapInArrow(
-        texts_of, f"page_id {kind}, url string, host string, path string, texts array<string>, lines array<long>")
-    texts = texts.withColumn("digest", F.xxhash64("lines", F.size("lines"))).drop("lines")
-    kept = F.filter("texts", lambda t, i: ~F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), i.cast("int")))
-    text = F.array_join(F.when(F.col("shared").isNull(), F.col("texts")).otherwise(kept), "\n")
+        texts_of, f"page_id {kind}, url string, host string, path string, texts array<string>, at array<int>, lines array<long>,"
+                  " article long, single boolean")
+    texts = texts.select("page_id", "url", "host", "path", F.arrays_zip("texts", "at").alias("found"), "single", digest)
+    rest = F.filter("found", lambda x: ~F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), x["at"]))
+    own, opened = F.filter(rest, lambda x: x["at"] < 0), F.filter(rest, lambda x: x["at"] >= 0)
+
+    def length(found: Column) -> Column:
+        return F.aggregate(found, F.lit(0).cast("long"), lambda n, x: n + F.char_length(x["texts"]))
+
+    kept = F.when(F.col("single") & (length(own) >= length(opened)), own).otherwise(rest)
+    text = F.array_join(F.transform(kept, lambda x: x["texts"]), "\n")
     out = texts.join(shared, ["host", "path", "digest"], "left").withColumn("text", text)
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

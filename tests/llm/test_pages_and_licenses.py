@@ -65,6 +65,20 @@ def test_nearest_url_differencing(spark):
     assert html_text.main_text(site(spark).limit(0)).count() == 0
 
 
+def test_open_lines_beside_an_article_and_named_sections(spark):
+    def page(i, teaser="<article><p>Teaser</p></article>"):
+        return f"<div>Shop of things</div><div>own text {i} of this page</p><p>more of it {i}</p></div>{teaser}<div>Imprint</div>"
+
+    rows = [(i, f"http://e.example/{i}", page(i)) for i in range(4)] + [
+        (10, "http://e.example/10", page(10, "<article>One</article><article>Two</article>")),
+        (20, "http://f.example/", "<article><h2 id='related-work'>Related</h2><p id='notice'>a</p><section id='tracking'><p>b</p></section>"
+                                  "<section id='comments'>c</section><div id='sidebar'>d</div></article>")]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == f"own text {i} of this page\nmore of it {i}\nTeaser"
+    assert got[10] == "own text 10 of this page\nmore of it 10\nOne\nTwo" and got[20] == "Related\na\nb"
+
+
 def test_neighbours_cross_partition_edges(spark):
     df = spark.createDataFrame([(f"h{i % 3}", i) for i in range(200)], "g string, k int")
     got = {(r.g, r.k): (r.before, r.after) for r in html_text.neighbours(df, ["g", "k"], F.col("k"), "g").collect()}
