@@ -1,6 +1,9 @@
 """Distributed building blocks: latest-per-group, interval join, band self-join,
-bucketed prefix counts (rank, floor-index quantiles), chunked lag, exact order statistics."""
+bucketed prefix counts (rank, floor-index quantiles), chunked lag, exact order statistics,
+grid joins that cut hot keys, similarity join on edit distance."""
 
+from .edit_join import similar_texts
+from .grid import grid_join
 from .interval_join import interval_join
 from .lag import chunked_lag
 from .latest import earliest_per, latest_per
@@ -12,4 +15,4 @@ from .rank import rank_desc
 
 __all__ = ["chunked_lag", "prefix_counts", "interval_join", "earliest_per", "latest_per", "exact_quantile",
            "band_self_pairs",
-           "floor_index_quantiles", "rank_desc"]
+           "grid_join", "similar_texts", "floor_index_quantiles", "rank_desc"]

@@ -81,6 +81,20 @@ def s5_duplicate_accounts(spark, base):
     return R.duplicate_accounts(d.duplicate_entities, ordered=False)
 
 
+def s5_duplicate_accounts_strict(spark, base):
+    """Names are similar only within three edits of each other."""
+    return R.duplicate_accounts(_dom(spark, base).duplicate_entities, ordered=False, max_edits=3)
+
+
+def j3_similar_names(spark, base):
+    return R.similar_names(_dom(spark, base).duplicate_entities, 3)
+
+
+def j3_similar_labels(spark, base):
+    """Names with the account's e-mail domain behind them: many more, longer texts."""
+    return R.similar_names(_dom(spark, base).duplicate_entities, 2, F.concat_ws(" ", "name", "domain"))
+
+
 def s5b_shared_member_domains(spark, base):
     d = _dom(spark, base)
     return R.duplicate_member_evidence(d.duplicate_entities, d.team_members)
@@ -407,7 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         s1_plan_health, s2_ltv_rank, s3_friction_downgrades, s3_friction_downgrades_default,
         s3_friction_downgrades_midday, s3_friction_downgrades_any_ticket, s4_churn_trend,
-        s5_duplicate_accounts, s5b_shared_member_domains,
+        s5_duplicate_accounts, s5_duplicate_accounts_strict, j3_similar_names, j3_similar_labels, s5b_shared_member_domains,
         m0_normalize_events, m1_session_cadence, m1_session_cadence_by_plan, m2_feature_retention,
         m3_onboarding_funnel, m3_onboarding_funnel_nested, m3b_step_gap_median, m4_upsell_candidates,
         m4_upsell_candidates_free, m1_session_cadence_raw, m2_feature_retention_raw, m4_upsell_candidates_raw,
