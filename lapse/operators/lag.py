@@ -1,18 +1,17 @@
 """``LAG(col) OVER (PARTITION BY k ORDER BY o1, o2, ...)`` with hot keys split.
 
 A window partitioned by ``k`` sends all rows of a key to one task. Here the
-rows of each key are cut into chunks by ranges of ``o1`` (boundaries from one
-``approx_percentile`` sketch; the chunk is monotone in the order, so the
+rows of each key are cut into chunks by ranges of ``o1`` (boundaries from a
+sample by hash; the chunk is monotone in the order, so the
 order inside a key is chunk-major):
 
 * inside a chunk the previous row comes from a window over (k, chunk);
 * the first row of a chunk takes the last row of the key's previous
-  non-empty chunk, found in a table of one row per (k, chunk) -- the last
-  rows come from a combinable max(struct) aggregate, and the lag over that
-  table sees at most ``buckets`` rows per key.
+  non-empty chunk: the same window marks each chunk's last row, these rows make
+  an edge table of one row per (k, chunk), and the lag over it sees at most ``buckets`` rows per key.
 
 The join back is on (k, chunk), the same keys the window already
-partitioned by. NULL ``o1`` sorts last (``ASC NULLS LAST``).
+partitioned by, so the input is shuffled and sorted once. NULL ``o1`` sorts last (``ASC NULLS LAST``).
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import bucket_bounds, bucket_of, default_buckets, numeric_key
+from .prefix import bucket_bounds, default_buckets, numeric_key, with_bucket
 
 
 def chunked_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
@@ -34,18 +33,16 @@ def chunked_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     keys, order, cols = list(keys), list(order), list(cols)
     nb = buckets or default_buckets(df.sparkSession)
     key = numeric_key(F.col(order[0]), dict(df.dtypes)[order[0]])
-    bounds = bucket_bounds(df.select(key.alias("_k")), F.col("_k"), nb)
-    d = df.withColumn("_chunk", bucket_of(key, bounds))
+    bounds = bucket_bounds(df.select(*keys, *order), key, nb)
+    d = with_bucket(df, key, bounds, "_chunk")
     ordering = [F.col(o).asc_nulls_last() for o in order]
     w = Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
-    d = d.select("*", F.row_number().over(w).alias("_pos"), *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols])
-    # last row of every (key, chunk): greatest order tuple, NULL order values count as largest
-    fields = []
-    for i, o in enumerate(order):
-        fields += [F.col(o).isNull().alias(f"_n{i}"), F.col(o).alias(f"_o{i}")]
-    last = d.groupBy(*keys, "_chunk").agg(F.max(F.struct(*fields, F.struct(*cols).alias("_v"))).alias("_last"))
+    d = d.select("*", F.row_number().over(w).alias("_pos"), F.lead(F.lit(1)).over(w).isNull().alias("_edge"),
+                 *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols])
+    # the edge table: the last row of every (key, chunk), carried into the key's next chunk
     chain = Window.partitionBy(*keys).orderBy("_chunk")
-    prev = last.select(*keys, "_chunk", F.lag(F.col("_last._v")).over(chain).alias("_pv"))
+    prev = d.where("_edge").select(*keys, "_chunk", F.struct(*cols).alias("_v")).select(
+        *keys, "_chunk", F.lag("_v").over(chain).alias("_pv"))
     a, b = d.alias("a"), prev.alias("b")
     cond = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("a._chunk") == F.col("b._chunk")]
     j = a.join(b, cond, "left")

@@ -1,72 +1,80 @@
-"""Exact global quantile without sorting the whole column or holding it in one task.
+"""Exact quantiles without sorting a column or holding it, or a group of it, in one task.
 
-``percentile`` keeps a value->count map of the whole column in the final
-task; a full sort shuffles every row. Here a bounded ``approx_percentile``
-sketch (combinable, fixed size) brackets the target ranks, one counting pass
-verifies the bracket, and the bracketed slice -- a few rows per ten
-thousand -- is bracketed again until it is small, whatever the column's size. If a bracket ever
-misses (it cannot by the sketch's rank guarantee, but we check), the bracket widens.
+``percentile`` keeps a value->count map of a whole group in one task; a full sort shuffles every row. Here a
+bounded ``approx_percentile`` sketch per group (combinable, fixed size) brackets the wanted ranks of all groups at
+once, one pass counts the values below each bracket and those inside it -- a few rows per ten thousand --
+and the positions inside come from bucketed prefix counts. All of it is one plan: no job runs
+before the result is asked for, however many groups there are.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .prefix import default_buckets, prefix_counts
 
 ACCURACY = 10_000
+#: The sketch's ranks are right to 1 / ACCURACY of a group; the bracket reaches this many such steps to either side.
+PAD = 3
 
 
-def _positions(df: DataFrame, positions: list[int], n: int) -> dict[int, float]:
-    """Exact values at 0-based ``positions`` of the ``n`` rows of ``df.v`` sorted ascending.
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], col: str, quantiles: Mapping[str, float],
+                      count_col: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Per group the linearly interpolated quantiles (``quantile_cont`` / pandas default) of a numeric column.
 
-    A bracket around the wanted ranks narrows, a few parts in ten thousand at a time, until the
-    distinct values in it are few enough to be counted one by one; whatever the size, the same steps run.
+    One row per group with non-null values: ``keys``, a double per quantile and, if named, the number of values.
+    ``keys`` may be empty: one row, or none where the column has no value. NULL is a group as in GROUP BY.
     """
-    first, last = min(positions), max(positions)
-    before, pad = 0, 3.0 / ACCURACY
-    while True:
-        rel = (first - before, last - before)
-        qs = [max(0.0, rel[0] / max(n - 1, 1) - pad), min(1.0, rel[1] / max(n - 1, 1) + pad)]
-        lo, hi = df.agg(F.approx_percentile("v", qs, ACCURACY).alias("b")).first()["b"]
-        while True:
-            c = df.agg(F.count_if(F.col("v") < lo).alias("below"),
-                       F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("inside")).first()
-            if c["below"] <= rel[0] and c["below"] + c["inside"] > rel[1]:
-                break
-            lo, hi = df.agg(F.min("v"), F.max("v")).first()  # widen to everything (never expected)
-        df = df.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        narrowed = c["inside"] < n
-        before, n = before + c["below"], c["inside"]
-        if lo == hi:
-            return {p: lo for p in positions}
-        counts = df.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-        if n <= ACCURACY or not narrowed:
-            break
-    out, at = {}, before
-    for r in counts.orderBy("v").toLocalIterator():  # stops at the last wanted rank
-        out.update({p: r["v"] for p in positions if at <= p < at + r["c"]})
-        at += r["c"]
-        if at > last:
-            break
-    return out
+    keys, names = list(keys), list(quantiles)
+    group = keys or ["_all"]
+    vals = df.withColumn("_all", F.lit(0)) if not keys else df
+    vals = vals.select(*group, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ends = [min(1.0, max(0.0, q + side * PAD / ACCURACY)) for q in quantiles.values() for side in (-1, 1)]
+    whole = F.col("_size") <= ACCURACY  # a step of the sketch may be less than a row: the bracket is the whole group
+    sketch = vals.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"), F.approx_percentile("_v", ends, ACCURACY).alias("_e"))
+    brackets = sketch.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)], "_size", F.array(*[
+        F.struct(F.lit(i).alias("q"), F.lit(float(q)).alias("at"), F.when(~whole, F.col("_e")[2 * i]).alias("lo"), F.when(~whole, F.col("_e")[2 * i + 1]).alias("hi"))
+        for i, q in enumerate(quantiles.values())]).alias("_b"))
+    same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]
+    met = vals.join(brackets, same).select(*group, "_size", "_v", F.explode("_b").alias("_b")).where(
+        F.col("_b.hi").isNull() | (F.col("_v") <= F.col("_b.hi")))
+    # a row per value inside, and one (NULL) for all values below
+    inside = F.when(F.col("_b.lo").isNull() | (F.col("_v") >= F.col("_b.lo")), F.col("_v"))
+    counts = met.groupBy(*group, "_size", F.col("_b.q").alias("_q"), F.col("_b.at").alias("_at"), inside.alias("_value")).agg(F.count(F.lit(1)).alias("_c"))
+    part = [*group, "_size", "_q", "_at"]
+    # NULL, the values below, comes last in the order, so that it precedes no value; no filter tells the two apart, so that
+    # their readers share the exchange behind ``counts``
+    under = counts.groupBy(*part).agg(F.max(F.when(F.col("_value").isNull(), F.col("_c"))).alias("_under"))
+    ranked = prefix_counts(counts, part, "_value", buckets=buckets or default_buckets(df.sparkSession))
+    r, u = ranked.alias("r"), under.alias("u")
+    placed = r.join(u, [F.col(f"r.{c}").eqNullSafe(F.col(f"u.{c}")) for c in part]).select(
+        "r.*", (F.coalesce("u._under", F.lit(0)) + F.col("r._before")).alias("_first"))
+    h = (F.col("_size") - 1) * F.col("_at")
 
+    def value_at(rank: Column, i: int) -> Column:
+        holds = F.col("_value").isNotNull() & (F.col("_q") == i) & (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_c"))
+        # by the sketch's guarantee every rank lies inside; were one outside, no value is better than a wrong one
+        return F.coalesce(F.max(F.when(holds, F.col("_value"))), F.raise_error("a quantile lies outside its bracket").cast("double"))
 
-def exact_quantile(df: DataFrame, col: str, q: float, n: int | None = None) -> float | None:
-    """Linearly interpolated quantile (``quantile_cont`` / pandas default) of a numeric column.
+    ends = [(value_at(F.floor(h), i).alias(f"_lo{i}"), value_at(F.ceil(h), i).alias(f"_hi{i}"))
+            for i in range(len(names))]
+    out = placed.groupBy(*group, "_size").agg(*[e for pair in ends for e in pair])
+    values = []
+    for i, (name, q) in enumerate(quantiles.items()):
+        at = (F.col("_size") - 1) * F.lit(float(q))
+        values.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))).alias(name))
+    return out.select(*keys, *values, *([F.col("_size").alias(count_col)] if count_col else []))
 
-    ``n``: the number of non-null values, when the caller already knows it.
-    """
-    # one narrow column, read by every pass: written once rather than recomputed
-    vals = cut_lineage(df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull()))
-    n = vals.count() if n is None else n
-    if n == 0:
-        return None
-    h = (n - 1) * q
-    lo_i, hi_i = math.floor(h), math.ceil(h)
-    got = _positions(vals, sorted({lo_i, hi_i}), n)
-    lo, hi = got[lo_i], got[hi_i]
-    return lo + (hi - lo) * (h - lo_i)
+
+def quantile(df: DataFrame, col: str, q: float) -> Column:
+    """One column's quantile as a scalar subquery of the plan that uses it; NULL where the column has no value."""
+    return grouped_quantiles(df, [], col, {"q": q}).scalar()
+
+
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    """One column's quantile as a number: runs a job."""
+    row = grouped_quantiles(df, [], col, {"q": q}).first()
+    return row["q"] if row is not None else None

@@ -15,7 +15,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .prefix import default_buckets, prefix_counts
 
 
@@ -30,8 +29,7 @@ def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     (and the non-null count as ``count_col`` when given)."""
     keys = list(keys)
     nb = buckets or default_buckets(df.sparkSession)
-    counts = cut_lineage(value_counts(df, keys, value))
-    ranked = prefix_counts(counts, keys, value, descending=False, buckets=nb)
+    ranked = prefix_counts(value_counts(df, keys, value), keys, value, descending=False, buckets=nb)
     aggs = []
     for name, q in quantiles.items():
         k = F.floor(F.lit(float(q)) * F.greatest(F.col("_n") - 1, F.lit(0)))

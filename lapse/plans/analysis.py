@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import chi2_sf_df1, norm_cdf
-from ..operators.order_stats import exact_quantile
+from ..operators.order_stats import quantile
 
 # Default fills and the exported column list.
 CATEGORICAL_DEFAULTS = ("plan_tier", "industry", "company_size", "country_code")
@@ -79,15 +79,22 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- P4
+def cap_at_quantile(df: DataFrame, col: str, q: float = 0.99) -> tuple[DataFrame, DataFrame]:
+    """(``df`` with ``col`` capped at its exact ``q`` quantile, one-row audit: outliers, cap).
+
+    The cap is a scalar subquery of either plan (NULL where the column has no value): nothing runs here.
+    """
+    cap = quantile(df, col, q)
+    with_cap = df.withColumn("_cap", cap)
+    capped = with_cap.withColumn(col, F.least(F.col(col), F.col("_cap"))).drop("_cap")  # least() passes over NULL
+    audit = with_cap.agg(F.count_if(F.col(col) > F.col("_cap")).alias("outliers")).withColumn("cap", cap)
+    return capped, audit
+
+
 def winsorize_upper(df: DataFrame, col: str, q: float = 0.99) -> tuple[DataFrame, float | None, DataFrame]:
-    """Cap ``col`` at its exact ``q`` quantile. Returns (capped frame, cap, one-row audit)."""
-    cap = exact_quantile(df, col, q)
-    if cap is None:
-        return df, None, df.agg(F.lit(0).cast("bigint").alias("outliers"), F.lit(None).cast("double").alias("cap"))
-    capped = df.withColumn(col, F.least(F.col(col), F.lit(cap)))
-    audit = df.agg(F.count_if(F.col(col) > F.lit(cap)).alias("outliers"),
-                   F.lit(cap).alias("cap"))
-    return capped, cap, audit
+    """``cap_at_quantile`` and the cap as a number, for which a job runs."""
+    capped, audit = cap_at_quantile(df, col, q)
+    return capped, audit.first()["cap"], audit
 
 
 # --------------------------------------------------------------------------- P5

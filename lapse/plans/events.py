@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import safe_bigint
 from ..functions.timeparse import iso_week_key, parse_mixed_timestamp
-from ..session import cut_lineage
 from ..operators.latest import earliest_per
-from ..operators.order_stats import exact_quantile
+from ..operators.order_stats import grouped_quantiles
 from ..operators.quantiles import floor_index_quantiles
 
 # Id variant names, funnel steps, score weights and bands.
@@ -208,22 +207,13 @@ def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS)
         gap = F.timestamp_diff("MICROSECOND", F.col(a), F.col(b)) / F.lit(1e6)
         gaps.append(F.struct(F.lit(a).alias("from_step"), F.lit(b).alias("to_step"), gap.alias("gap_sec")))
     long = firsts.select(F.explode(F.array(*gaps)).alias("g")).select("g.*").where(F.col("gap_sec").isNotNull())
-    # one exact median per consecutive step pair (a fixed handful): each is a
-    # sketch-bracketed selection (exact_quantile), never one task holding every gap
-    long = cut_lineage(long)
-    counts = {(r["from_step"], r["to_step"]): r["n"] for r in  # one row per step pair: len(steps) - 1
-              long.groupBy("from_step", "to_step").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = []
-    for i in range(1, len(steps)):
-        a, b = steps[i - 1], steps[i]
-        n = counts.get((a, b), 0)
-        med = None
-        if n:
-            med = float(exact_quantile(long.where((F.col("from_step") == a) & (F.col("to_step") == b)),
-                                       "gap_sec", 0.5, n=int(n)))
-        rows.append((a, b, int(n), med))  # every consecutive pair is reported, 0 users -> NULL median
-    return onboarding.sparkSession.createDataFrame(
-        rows, "from_step string, to_step string, users_with_both bigint, median_gap_sec double")
+    medians = grouped_quantiles(long, ["from_step", "to_step"], "gap_sec", {"median_gap_sec": 0.5}, count_col="users_with_both")
+    # every consecutive pair is reported, without users with a NULL median
+    pairs = F.array(*[F.struct(F.lit(i).alias("nth"), F.lit(a).alias("from_step"), F.lit(b).alias("to_step"))
+                      for i, (a, b) in enumerate(zip(steps, steps[1:]))])
+    every = onboarding.sparkSession.range(1).select(F.explode(pairs).alias("p")).select("p.*")
+    return every.join(medians, ["from_step", "to_step"], "left").orderBy("nth").select(
+        "from_step", "to_step", F.coalesce("users_with_both", F.lit(0)).cast("bigint").alias("users_with_both"), "median_gap_sec")
 
 
 # --------------------------------------------------------------------------- M4

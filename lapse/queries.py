@@ -198,7 +198,7 @@ def _clicks(d: Domain) -> DataFrame:
 def _merged(d: Domain, winsorize: bool = True) -> DataFrame:
     b = A.fill_defaults(_base(d))
     if winsorize:
-        b, _, _ = A.winsorize_upper(b, "mrr_usd", 0.99)
+        b, _ = A.cap_at_quantile(b, "mrr_usd", 0.99)
     return A.months_since(A.engagement_features(b, _clicks(d), FLAG_FEATURE))
 
 
@@ -228,7 +228,7 @@ def p3_fill_defaults(spark, base):
 
 def p4_winsorize_mrr(spark, base):
     b = A.fill_defaults(_base(_dom(spark, base)))
-    capped, _, _ = A.winsorize_upper(b, "mrr_usd", 0.99)
+    capped, _ = A.cap_at_quantile(b, "mrr_usd", 0.99)
     return capped.select("customer_id", "mrr_usd")
 
 
@@ -366,7 +366,7 @@ def op_null_profile(spark, base):
 
 def op_quantile_p99(spark, base):
     b = A.fill_defaults(_base(_dom(spark, base)))
-    _, _, audit = A.winsorize_upper(b, "mrr_usd", 0.99)
+    _, audit = A.cap_at_quantile(b, "mrr_usd", 0.99)
     return audit.select("cap", "outliers")
 
 

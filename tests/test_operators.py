@@ -127,3 +127,21 @@ def test_interval_join_time_buckets_match_plain(spark):
     a = sorted(map(tuple, plain.select("wid", "eid").collect()))
     b = sorted(map(tuple, bucketed.select("wid", "eid").collect()))
     assert a == b and len(a) > 0
+
+
+def test_grouped_quantiles_of_all_groups_at_once(spark, monkeypatch):
+    from lapse.operators import grouped_quantiles
+    rnd = np.random.default_rng(4)
+    groups = {"hot": np.concatenate([rnd.exponential(100, 4000), np.full(900, 42.0)]), "one": np.array([3.0]),
+              "two": np.array([1.0, 2.0]), None: rnd.integers(-5, 5, 700).astype(float), "same": np.full(500, 7.0)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("none", None), ("two", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    qs = {"lo": 0.0, "q1": 0.1, "mid": 0.5, "q99": 0.99, "hi": 1.0}
+    for accuracy in (order_stats.ACCURACY, 100):
+        monkeypatch.setattr(order_stats, "ACCURACY", accuracy)
+        got = {r["g"]: r for r in grouped_quantiles(df, ["g"], "v", qs, count_col="n").collect()}
+        assert set(got) == set(groups)
+        for g, vs in groups.items():
+            assert got[g]["n"] == len(vs)
+            assert np.allclose([got[g][n] for n in qs], np.quantile(vs, list(qs.values())), rtol=0, atol=1e-9)
+    assert grouped_quantiles(df.limit(0), [], "v", {"q": 0.5}).count() == 0
