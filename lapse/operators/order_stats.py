@@ -41,21 +41,15 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], col: str, quantiles: M
     same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]
     met = vals.join(brackets, same).select(*group, "_size", "_v", F.explode("_b").alias("_b")).where(
         F.col("_b.hi").isNull() | (F.col("_v") <= F.col("_b.hi")))
-    # a row per value inside, and one (NULL) for all values below
-    inside = F.when(F.col("_b.lo").isNull() | (F.col("_v") >= F.col("_b.lo")), F.col("_v"))
-    counts = met.groupBy(*group, "_size", F.col("_b.q").alias("_q"), F.col("_b.at").alias("_at"), inside.alias("_value")).agg(F.count(F.lit(1)).alias("_c"))
-    part = [*group, "_size", "_q", "_at"]
-    # NULL, the values below, comes last in the order, so that it precedes no value; no filter tells the two apart, so that
-    # their readers share the exchange behind ``counts``
-    under = counts.groupBy(*part).agg(F.max(F.when(F.col("_value").isNull(), F.col("_c"))).alias("_under"))
-    ranked = prefix_counts(counts, part, "_value", buckets=buckets or default_buckets(df.sparkSession))
-    r, u = ranked.alias("r"), under.alias("u")
-    placed = r.join(u, [F.col(f"r.{c}").eqNullSafe(F.col(f"u.{c}")) for c in part]).select(
-        "r.*", (F.coalesce("u._under", F.lit(0)) + F.col("r._before")).alias("_first"))
+    # a row per value inside, and one, before all others, for the values below
+    inside = F.col("_b.lo").isNull() | (F.col("_v") >= F.col("_b.lo"))
+    value = F.when(inside, F.col("_v")).otherwise(F.lit(float("-inf")))
+    counts = met.groupBy(*group, "_size", F.col("_b.q").alias("_q"), F.col("_b.at").alias("_at"), value.alias("_value")).agg(F.count(F.lit(1)).alias("_c"))
+    placed = prefix_counts(counts, [*group, "_size", "_q", "_at"], "_value", buckets=buckets or default_buckets(df.sparkSession))
     h = (F.col("_size") - 1) * F.col("_at")
 
     def value_at(rank: Column, i: int) -> Column:
-        holds = F.col("_value").isNotNull() & (F.col("_q") == i) & (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_c"))
+        holds = (F.col("_q") == i) & (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
         # by the sketch's guarantee every rank lies inside; were one outside, no value is better than a wrong one
         return F.coalesce(F.max(F.when(holds, F.col("_value"))), F.raise_error("a quantile lies outside its bracket").cast("double"))
 
