@@ -196,3 +196,55 @@ def test_leaks_of_rows_without_an_id_leave_the_others(spark):
     docs, items, want = leaky(spark)
     nameless = docs.selectExpr("cast(null as long) as doc_id", "text")
     assert decontaminate.drop_leaks(nameless, items).count() == docs.count() - len(want)
+
+
+def brute_leaks(rows, items):
+    """Every passage against every item: the longest common subsequences alone decide."""
+    found = set()
+    for doc, text in rows:
+        code = decontaminate.tokens(pa.array([text], pa.string())).hash
+        for item, words in items:
+            own = decontaminate.tokens(pa.array([words], pa.string())).hash
+            answer = decontaminate.tokens(pa.array([decontaminate.answer_of(words)], pa.string())).hash
+            n, m = len(own), max(len(answer), 1)
+            reach = n // 2 + decontaminate.STRIDE
+            for at in decontaminate.windows(np.array([0, len(code)]))[0].tolist() if n else []:
+                near = code[max(0, at - reach):at + max(decontaminate.WINDOW, n) + reach].tolist()
+                share = decontaminate.lcs_length(decontaminate.place_bits(own), n, near) / n
+                if share >= decontaminate.MIN_LCS and (share >= decontaminate.SURE or decontaminate.lcs_length(
+                        decontaminate.place_bits(answer), len(answer), near) / m >= decontaminate.MIN_ANSWER):
+                    found.add((doc, item))
+                    break
+    return found
+
+
+def test_leaks_against_every_passage_and_item(spark, tables):
+    import random
+    r = random.Random(8)
+    items = [(x.item_id, x.text) for x in tables["benchmark"].orderBy("item_id").limit(24).collect()]
+    rows = [(x.doc_id, x.text or "") for x in tables["documents"].orderBy("doc_id").limit(40).collect()]
+    for k, (item, words) in enumerate(items):  # paraphrases of every strength: words replaced, left out, put in, moved
+        w = words.split()
+        for _ in range(int(len(w) * (k % 8) / 14)):
+            at = r.randrange(len(w))
+            w[at:at + r.randint(0, 1)] = [f"w{r.randint(0, 999)}"] * r.randint(0, 1)
+            if r.random() < 0.2 and len(w) > 3:
+                a = r.randrange(len(w) - 1)
+                w[a], w[a + 1] = w[a + 1], w[a]
+        host = rows[k][1].split() or ["empty"]
+        at = r.randrange(len(host))
+        rows.append((100_000 + item, " ".join(host[:at][-200:] + w + host[at:][:200])))
+    want = brute_leaks(rows, items)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert 10 < len(want) < len(items) * 2 and got <= want
+    assert len(got) >= 0.95 * len(want)  # the latent space leaves a close call out now and then
+
+
+def test_fit_sample_is_bounded_and_repeatable(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_FIT_DOCS", 20)
+    rows = [(None, f"text {i % 7}") for i in range(500)] + [(i, f"text {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = (sorted(x.text for x in decontaminate._fit_sample(d).collect()) for d in (df, df.repartition(5)))
+    assert one == two and 0 < len(one) <= 20
+    assert decontaminate._fit_sample(df.limit(0)).count() == 0
