@@ -67,3 +67,18 @@ def test_norm_cdf_and_chi2_tail(spark):
 def test_half_even_vs_half_up(spark):
     r = spark.range(1).select(F.bround(F.lit(2.5), 0).alias("e"), F.round(F.lit(2.5), 0).alias("u")).first()
     assert (r["e"], r["u"]) == (2.0, 3.0)
+
+
+def test_tails_keep_their_relative_accuracy(spark):
+    import math
+
+    from lapse.functions.stats import erf, erfc
+    xs = [i / 100 for i in range(-400, 801)] + [10.0, 20.0, 26.0, None]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", erfc(F.col("x")).alias("c"), erf(F.col("x")).alias("e")).collect()
+    assert got[-1].c is None and got[-1].e is None
+    for r in got[:-1]:
+        assert abs(r.c / math.erfc(r.x) - 1) < 1e-12 and abs(r.e - math.erf(r.x)) < 1e-14
+    z = spark.createDataFrame([(-8.0,), (-37.0,)], "x double").select(norm_cdf(F.col("x")).alias("p")).collect()
+    assert all(abs(r.p / (math.erfc(-x / math.sqrt(2)) / 2) - 1) < 1e-12 for r, x in zip(z, (8.0 * -1, -37.0)))
+    p = spark.createDataFrame([(130.0,)], "x double").select(chi2_sf_df1(F.col("x")).alias("p")).first().p
+    assert abs(p / math.erfc(math.sqrt(65.0)) - 1) < 1e-12
