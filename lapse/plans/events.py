@@ -17,6 +17,7 @@ from ..functions.timeparse import iso_week_key, parse_mixed_timestamp
 from ..operators.latest import earliest_per
 from ..operators.order_stats import grouped_quantiles
 from ..operators.quantiles import floor_index_quantiles
+from ..sources.tables import POSITION
 
 # Id variant names, funnel steps, score weights and bands.
 MEMBER_ID_VARIANTS = ("member_id", "userId", "userID", "userID_", "memberId")
@@ -285,3 +286,11 @@ def dedupe_events(events: DataFrame, subset: Sequence[str] = ("customer_id", "me
     subset = list(subset)
     rest = [c for c in events.columns if c not in subset]
     return earliest_per(events, subset, list(order or rest)).select(*events.columns)
+
+
+def keep_first(events: DataFrame, subset: Sequence[str]) -> DataFrame:
+    """One row per ``subset``: the one that comes first in the input, whatever it holds (NULLs are values of a subset).
+
+    ``events`` carries its rows' places (:func:`lapse.sources.tables.with_position`); the result does not.
+    """
+    return earliest_per(events, list(subset), [POSITION]).select(*[c for c in events.columns if c != POSITION])

@@ -22,6 +22,7 @@ from .plans import analysis as A
 from .plans import events as E
 from .plans import relational as R
 from .plans import segment as S
+from .session import scratch_path
 from .sources.domain import Domain
 
 AS_OF = _dt.datetime(2001, 8, 1)
@@ -171,6 +172,11 @@ def m3_onboarding_funnel_nested(spark, base):
     return E.onboarding_funnel_nested(_dom(spark, base).onboarding_events)
 
 
+def m3_onboarding_funnel_document(spark, base):
+    """The nested document as the text that a document store would print."""
+    return E.onboarding_funnel_nested(_dom(spark, base).onboarding_events).select(F.to_json("funnel").alias("funnel"))
+
+
 def m3b_step_gap_median(spark, base):
     return E.step_gap_median(_dom(spark, base).onboarding_events)
 
@@ -221,6 +227,12 @@ def p2_dedupe_events(spark, base):
     return E.dedupe_events(E.drop_orphans(_clean_raw(d), A.named_customers(d.customers)))
 
 
+def p2_first_feature_use(spark, base):
+    """The first event in the stored order of each member and feature, whatever the events hold."""
+    logs = _dom(spark, base).stored_activity_logs
+    return E.keep_first(logs, ["member_id", "feature"]).select("member_id", "feature", "event_id", "ts", "event_type", "session_duration_sec")
+
+
 def p3_fill_defaults(spark, base):
     return A.fill_defaults(_base(_dom(spark, base))).select(
         "customer_id", "plan_tier", "industry", "company_size", "country_code", "mrr_usd", "ticket_count")
@@ -247,33 +259,72 @@ def p7_chi_square_2x2(spark, base):
     return A.chi_square_2x2(_merged(_dom(spark, base), winsorize=False))
 
 
+_MODELS: dict[tuple[str, str], S.SegmentModel] = {}
+
+
+def _segments(spark: SparkSession, base: str) -> tuple[DataFrame, S.SegmentModel]:
+    """The merged frame and its segmentation, fitted once per application and folder of tables."""
+    df, key = _merged(_dom(spark, base)), (spark.sparkContext.applicationId, base)
+    if key not in _MODELS:
+        _MODELS[key] = S.fit_segments(df)
+    return df, _MODELS[key]
+
+
 def p8_segment_customers(spark, base):
-    _, stats, _ = S.segment_customers(_merged(_dom(spark, base)))
-    return stats.select("segment_label", "count", "avg_mrr", "avg_clicks", "avg_features", "churn_rate")
+    df, model = _segments(spark, base)
+    return S.profile(model.assign(df)).select("segment_label", "count", "avg_mrr", "avg_clicks", "avg_features", "churn_rate")
 
 
 def p9_export_dashboard(spark, base):
-    seg, _, _ = S.segment_customers(_merged(_dom(spark, base)))
-    return S.export_frame(seg)
+    df, model = _segments(spark, base)
+    return S.export_frame(model.assign(df))
 
 
 def p8_segment_facts(spark, base):
     """What holds for the segments whatever their labels: everyone has one, and labels follow the mean MRR."""
-    seg, stats, _ = S.segment_customers(_merged(_dom(spark, base)))
+    df, model = _segments(spark, base)
+    seg = model.assign(df)
+    stats = S.profile(seg)
     by_mrr = F.transform(F.array_sort(F.collect_list(F.struct("avg_mrr", "segment_label"))), lambda x: x["segment_label"])
     return seg.agg(F.count(F.lit(1)).alias("customers"), F.count_distinct("segment").alias("segments"),
                    F.count_if(F.col("segment").isNull()).alias("without_segment")).withColumn(
         "labels_by_mrr", stats.agg(F.array_join(by_mrr, ",")).scalar())  # stats has k rows
 
 
+def p8_centre_facts(spark, base):
+    return S.centre_facts(*_segments(spark, base))
+
+
+def p8_profile_totals(spark, base):
+    """The segments' profile summed up again: sizes and means weighted by them are those of all customers."""
+    df, model = _segments(spark, base)
+    seg = model.assign(df)
+    per = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.avg("mrr_usd").alias("m"), F.avg("total_feature_clicks").alias("c"),
+                                     F.avg(F.col("is_churned").cast("double")).alias("r"))
+    total = F.sum("n")
+    return per.agg(total.alias("customers"), *[F.round(F.sum(F.col(x) * F.col("n")) / total, 6).alias(name)
+                                               for x, name in (("m", "avg_mrr"), ("c", "avg_clicks"), ("r", "churn_rate"))])
+
+
 def p9_export_without_segment(spark, base):
     """The dashboard's columns apart from the fitted ones."""
     return S.export_frame(_merged(_dom(spark, base)).fillna(0, subset=list(S.SEGMENT_FEATURES)))
 
 
+def p9_export_written(spark, base):
+    """The dashboard's CSV, written (without the fitted columns) and read again as the texts that it holds."""
+    path = scratch_path(spark, "dashboard")
+    S.export_dashboard(_merged(_dom(spark, base)).fillna(0, subset=list(S.SEGMENT_FEATURES)), path)
+    names = [c for c in S.EXPORT_COLUMNS if c not in ("segment", "segment_label")]
+    back = spark.read.schema(", ".join(f"{c} string" for c in names)).option("header", True).option("enforceSchema", False).csv(path)
+    number = {"mrr_usd", "total_session_sec", "months_since_signup"}
+    whole = {"customer_id", "ticket_count", "ai_suggest_clicks", "total_feature_clicks", "distinct_features_used"}
+    return back.select(*[F.col(c).cast("double" if c in number else "bigint" if c in whole else "string").alias(c) for c in names])
+
+
 def p8_cluster_centres(spark, base):
-    _, _, centres = S.segment_customers(_merged(_dom(spark, base)))
-    return centres
+    df, model = _segments(spark, base)
+    return model.centre_frame(spark)
 
 
 def p10_rate_by_tier(spark, base):
@@ -423,12 +474,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         s3_friction_downgrades_midday, s3_friction_downgrades_any_ticket, s4_churn_trend,
         s5_duplicate_accounts, s5_duplicate_accounts_strict, j3_similar_names, j3_similar_labels, s5b_shared_member_domains,
         m0_normalize_events, m1_session_cadence, m1_session_cadence_by_plan, m2_feature_retention,
-        m3_onboarding_funnel, m3_onboarding_funnel_nested, m3b_step_gap_median, m4_upsell_candidates,
+        m3_onboarding_funnel, m3_onboarding_funnel_nested, m3_onboarding_funnel_document, m3b_step_gap_median, m4_upsell_candidates,
         m4_upsell_candidates_free, m1_session_cadence_raw, m2_feature_retention_raw, m4_upsell_candidates_raw,
         p5_engagement_features_raw, p6_two_proportion_ztest_raw, p7_chi_square_2x2_raw, p10_rate_by_ai_adoption_raw,
-        p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p3_fill_defaults, p4_winsorize_mrr,
+        p1_customer_base, p2_drop_orphans, p2_orphan_audit, p2_dedupe_events, p2_first_feature_use, p3_fill_defaults, p4_winsorize_mrr,
         p5_engagement_features, p6_two_proportion_ztest, p7_chi_square_2x2, p8_segment_customers,
-        p8_cluster_centres, p8_segment_facts, p9_export_dashboard, p9_export_without_segment, p10_rate_by_tier, p10_rate_by_ai_adoption,
+        p8_cluster_centres, p8_segment_facts, p8_centre_facts, p8_profile_totals, p9_export_dashboard, p9_export_without_segment,
+        p9_export_written, p10_rate_by_tier, p10_rate_by_ai_adoption,
         op_dataset_profile, op_months_since_signup, op_topk_score, op_array_filter_size, op_latest_per_group,
         op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,

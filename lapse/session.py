@@ -73,6 +73,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
@@ -81,8 +88,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     read only the columns they need. The files go when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapse-{uuid.uuid4().hex[:12]}"
-    atexit.register(_remove, spark, path)
+    path = scratch_path(spark, "lapse")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

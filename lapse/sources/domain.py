@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import latest_per
-from .tables import read_table
+from .tables import POSITION, read_table, with_position
 
 # Fixed values of the view mapping.
 PLAN_TIERS = {1: "enterprise", 2: "professional", 3: "starter", 4: "free", 5: "free"}
@@ -164,7 +164,15 @@ class Domain:
     @cached_property
     def activity_logs(self) -> DataFrame:
         """Clean activity log (the output shape of M0)."""
-        e = self.table("events")
+        return self._activity(self.table("events"))
+
+    @cached_property
+    def stored_activity_logs(self) -> DataFrame:
+        """The clean activity log with the events' places in the stored table."""
+        return self._activity(with_position(self.table("events")), POSITION)
+
+    @staticmethod
+    def _activity(e: DataFrame, *carried: str) -> DataFrame:
         k = F.get_json_object("props", "$.k").try_cast("int")
         return e.select(
             "event_id",
@@ -174,7 +182,7 @@ class Domain:
             mapping(F.col("event_type"), ACTIVITY_EVENT_TYPES, default=F.col("event_type")).alias("event_type"),
             F.when(F.col("event_id") % 41 == 7, F.lit("unknown")).when(F.col("event_id") % 43 != 8, F.concat(
                 F.lit("f"), (k % FEATURE_BUCKETS).cast("string"))).alias("feature"),
-            F.when(F.col("event_id") % 47 != 9, F.floor(F.col("value") * 24).cast("double")).alias("session_duration_sec"))
+            F.when(F.col("event_id") % 47 != 9, F.floor(F.col("value") * 24).cast("double")).alias("session_duration_sec"), *carried)
 
     @cached_property
     def raw_activity_logs(self) -> DataFrame:

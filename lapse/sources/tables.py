@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -21,6 +22,20 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
+#: Where a row stands in its input: file, start of the block that it was read with, and order within that.
+POSITION = "_position"
+
+
+def with_position(scan: DataFrame) -> DataFrame:
+    """A scan of files plus the rows' places in the input (files by path), for operators that keep the first row.
+
+    Must be applied to the scan itself. A block of a file is read by one task from its start to its end, so the ids that Spark counts up
+    within a task order the rows of a block; between blocks their starts decide, between files the paths.
+    """
+    return scan.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                     F.monotonically_increasing_id().alias("row")).alias(POSITION))
+
+
 # Raw activity-log documents: every variant name of a field is its own column,
 # ids and timestamps are read as strings and normalised later (M0).
 RAW_ACTIVITY_SCHEMA = T.StructType([
