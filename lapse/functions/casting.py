@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 # An id written as an integer, optionally with a zero fraction ("3", "-7", "3.0"):
 # document stores hand numbers to a string column that way.
 _INTEGRAL = r"^\s*-?\d+(\.0+)?\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _SCIENTIFIC = r"^\s*-?\d+(\.\d+)?[eE]\+?\d+\s*$"
 
 
@@ -28,3 +29,18 @@ def safe_bigint(c: Column | str, pretrimmed: bool = False, dtype: T.DataType | N
     wide = F.when(s.rlike(_SCIENTIFIC), s.try_cast("decimal(38,6)"))
     return F.when(s.rlike(_INTEGRAL), F.regexp_replace(s, r"\.0+$", "").try_cast("bigint")).when(
         wide == F.floor(wide), wide.try_cast("bigint"))
+
+
+def safe_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
+    """Number from a string or number column; NULL on NULL and on anything that is no number.
+
+    "12", " 1.5 ", ".5", "1e3", "-inf" and "nan" are numbers; "1,5", "0x1F", "1d" and "" are not. With ``dtype``, the
+    column's type, a numeric column is cast as a number.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    if isinstance(dtype, T.NumericType):
+        return col.cast("double")
+    s = F.lower(F.trim(col.cast("string")))
+    words = F.when(s.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf"))).when(
+        s.isin("-inf", "-infinity"), F.lit(float("-inf"))).when(s == "nan", F.lit(float("nan")))
+    return F.when(s.rlike(_NUMBER), s.try_cast("double")).otherwise(words)

@@ -74,9 +74,18 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                a.event_type, a.feature, a.session_duration_sec, a.event_id
         FROM activity_logs a
         JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR a.event_id % 20 = 1
+        WHERE a.event_id % 97 <> 5 AND a.event_id % 89 <> 7 AND a.event_id % 83 <> 9"""),
+    "member_raw_logs": (("activity_logs",), """
+        SELECT CASE WHEN a.event_id % 83 = 9 THEN 'm-' ELSE '' END || a.member_id AS member_id,
+               CASE WHEN a.event_id % 50 = 0 THEN a.customer_id + 10000000 ELSE a.customer_id END AS customer_id,
+               CASE WHEN a.event_id % 4 = 3 THEN a.ts ELSE date_trunc('second', a.ts) END AS ts,
+               a.event_type, a.feature, a.session_duration_sec, a.event_id
+        FROM activity_logs a
+        JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR a.event_id % 20 = 1
         WHERE a.event_id % 97 <> 5 AND a.event_id % 89 <> 7"""),
     "raw_logs_any_customer": (("activity_logs",), """
-        SELECT a.member_id, CASE WHEN a.event_id % 4 = 3 THEN a.ts ELSE date_trunc('second', a.ts) END AS ts,
+        SELECT CASE WHEN a.event_id % 83 = 9 THEN 'm-' ELSE '' END || a.member_id AS member_id,
+               CASE WHEN a.event_id % 4 = 3 THEN a.ts ELSE date_trunc('second', a.ts) END AS ts,
                a.event_type, a.feature, a.session_duration_sec
         FROM activity_logs a
         JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR a.event_id % 20 = 1

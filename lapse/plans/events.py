@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import safe_bigint
+from ..functions.casting import safe_bigint, safe_double
 from ..functions.timeparse import iso_week_key, parse_mixed_timestamp
 from ..operators.latest import earliest_per
 from ..operators.order_stats import grouped_quantiles
@@ -42,7 +42,8 @@ def normalize_events(raw: DataFrame, member_variants: Sequence[str] = MEMBER_ID_
     member id or a customer id (unless ``need_customer`` is off) or with unparsable times.
 
     Customer ids are integers by a safe cast. A member id may be anything: ``member_id`` is its integer, or
-    null where it is none, and with ``member_text`` a column ``member_key`` carries it as text."""
+    null where it is none, and with ``member_text`` a column ``member_key`` carries it as text (5, "5" and "5.0" are
+    one member) and rows of any member id are kept; see :func:`member_events`. Durations are numbers by a safe cast."""
     mv = [c for c in member_variants if c in raw.columns]
     cv = [c for c in customer_variants if c in raw.columns]
 
@@ -62,10 +63,12 @@ def normalize_events(raw: DataFrame, member_variants: Sequence[str] = MEMBER_ID_
     ts_src = "timestamp" if "timestamp" in raw.columns else "ts"
     ts = parse_mixed_timestamp(F.col(ts_src)) if dict(raw.dtypes)[ts_src] == "string" \
         else F.col(ts_src).cast("timestamp_ntz")
-    keep = [c for c in ("event_type", "feature", "session_duration_sec") if c in raw.columns]
+    keep: list[str | Column] = [c for c in ("event_type", "feature") if c in raw.columns]
+    if "session_duration_sec" in raw.columns:
+        keep.append(safe_double("session_duration_sec", raw.schema["session_duration_sec"].dataType).alias("session_duration_sec"))
     if member_text:
         keep.append("member_key")
-    out = raw.withColumn("member_key", member_key).select(
+    out = raw.withColumn("member_key", F.coalesce(member.cast("string"), member_key)).select(
         member.alias("member_id"), customer.alias("customer_id"), ts.alias("ts"), F.col("member_key").alias("_key"), *keep)
     named = F.col("_key").isNotNull() if member_text else F.col("member_id").isNotNull()
     if need_customer:
@@ -73,6 +76,16 @@ def normalize_events(raw: DataFrame, member_variants: Sequence[str] = MEMBER_ID_
     return out.where(named & F.col("ts").isNotNull()).drop("_key")
 
 
+def member_events(raw: DataFrame, need_customer: bool = True) -> DataFrame:
+    """Normalised events of every member that has an id of any kind; reports on members group by ``member_key``."""
+    return normalize_events(raw, need_customer=need_customer, member_text=True)
+
+
+def member_column(events: DataFrame) -> str:
+    """What tells members apart: their key, where member ids may be texts, or else their integer."""
+    return "member_key" if "member_key" in events.columns else "member_id"
+
+
 # --------------------------------------------------------------------------- tiers
 def mod_tier(customer_id: Column) -> Column:
     """Placeholder tier: customer_id mod 4 with <= tests (negative remainders are 'free')."""
@@ -94,7 +107,7 @@ def session_cadence(logs: DataFrame, tiers: DataFrame | None = None) -> DataFram
     use the floor-index rule per user, then are averaged per tier. Without a
     ``tiers`` table the placeholder ``customer_id mod 4`` tier is used.
     """
-    keys = ["customer_id", "member_id"]
+    keys = ["customer_id", member_column(logs)]
     # group on the ISO (week-year, week) integers; the display string is not needed here
     ev = logs.select(*keys, F.extract(F.lit("YEAROFWEEK"), F.col("ts")).alias("wy"),
                      F.weekofyear("ts").alias("wk"), "session_duration_sec")
@@ -118,7 +131,7 @@ def session_cadence(logs: DataFrame, tiers: DataFrame | None = None) -> DataFram
 # --------------------------------------------------------------------------- M2
 def feature_first_use(logs: DataFrame) -> DataFrame:
     """(member_id, feature, first_use, returned): returned = another use in (first, first + 7 days]."""
-    fc = logs.where((F.col("event_type") == "feature_click")
+    fc = logs.withColumn("member_id", F.col(member_column(logs))).where((F.col("event_type") == "feature_click")
                     & (F.coalesce(F.col("feature"), F.lit("unknown")) != "unknown")
                     & F.col("member_id").isNotNull() & F.col("ts").isNotNull()) \
         .select("member_id", "feature", "ts")
@@ -219,8 +232,9 @@ def step_gap_median(onboarding: DataFrame, steps: Sequence[str] = FUNNEL_STEPS)
 
 # --------------------------------------------------------------------------- M4
 def engagement_scores(logs: DataFrame, keys: Sequence[str] = ("customer_id", "member_id")) -> DataFrame:
+    """Counts, score and priority per key; where member ids may be texts, ``member_id`` is the member's key."""
     keys = list(keys)
-    ev = logs.where(F.col("customer_id").isNotNull() & F.col("member_id").isNotNull() & F.col("ts").isNotNull())
+    ev = logs.withColumn("member_id", F.col(member_column(logs))).where(F.col("customer_id").isNotNull() & F.col("member_id").isNotNull() & F.col("ts").isNotNull())
     g = ev.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(F.col("event_type") == "feature_click").alias("feature_clicks"),
@@ -251,7 +265,8 @@ def upsell_candidates(logs: DataFrame, k: int = 20, tiers: DataFrame | None = No
         ids = tiers.where(F.col("plan_tier") == tier).select("customer_id")
         logs = logs.join(ids, "customer_id", "left_semi")
     s = engagement_scores(logs)
-    return s.orderBy(F.col("engagement_score").desc(), "customer_id", "member_id").limit(k)
+    number = F.col("member_id") if dict(s.dtypes)["member_id"] != "string" else safe_bigint("member_id")
+    return s.orderBy(F.col("engagement_score").desc(), "customer_id", number.asc_nulls_last(), "member_id").limit(k)
 
 
 def weekly_engagement_bands(logs: DataFrame) -> DataFrame:

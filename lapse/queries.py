@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.casting import safe_bigint
+from .functions.casting import safe_bigint, safe_double
 from .functions.timeparse import iso_week_key, parse_mixed_timestamp
 from .operators.interval_join import interval_join
 from .operators.pairs import band_self_pairs
@@ -23,6 +23,7 @@ from .plans import events as E
 from .plans import relational as R
 from .plans import segment as S
 from .session import scratch_path
+from .sources.documents import activity_documents, first_field, kind_of, read_documents
 from .sources.domain import Domain
 
 AS_OF = _dt.datetime(2001, 8, 1)
@@ -117,16 +118,17 @@ def _merged_raw(d: Domain) -> DataFrame:
 
 
 def m1_session_cadence_raw(spark, base):
-    return E.session_cadence(_clean_raw(_dom(spark, base)))
+    """Member ids may be texts."""
+    return E.session_cadence(E.member_events(_dom(spark, base).raw_activity_logs))
 
 
 def m2_feature_retention_raw(spark, base):
     """Retention needs a member and a time only: events with a bad customer id count."""
-    return E.feature_retention(E.normalize_events(_dom(spark, base).raw_activity_logs, need_customer=False))
+    return E.feature_retention(E.member_events(_dom(spark, base).raw_activity_logs, need_customer=False))
 
 
 def m4_upsell_candidates_raw(spark, base):
-    return E.upsell_candidates(_clean_raw(_dom(spark, base)), k=20)
+    return E.upsell_candidates(E.member_events(_dom(spark, base).raw_activity_logs), k=20)
 
 
 def p5_engagement_features_raw(spark, base):
@@ -151,6 +153,29 @@ def m0_normalize_events(spark, base):
     return _clean_raw(_dom(spark, base))
 
 
+def m0_document_scan(spark, base):
+    """The same events from a dump of documents whose ids and times are numbers, texts and dates by turns."""
+    path = scratch_path(spark, "documents")
+    _dom(spark, base).activity_dump.write.text(path)
+    docs = activity_documents(read_documents(spark, path), E.MEMBER_ID_VARIANTS, E.CUSTOMER_ID_VARIANTS)
+    return E.normalize_events(docs)
+
+
+def op_document_types(spark, base):
+    """How often each field has each type in the dump."""
+    path = scratch_path(spark, "documents")
+    _dom(spark, base).activity_dump.write.text(path)
+    docs = read_documents(spark, path)
+    kinds = F.array(*[F.struct(F.lit(n).alias("field"), kind_of(first_field("doc", names)).alias("kind")) for n, names in (
+        ("member", E.MEMBER_ID_VARIANTS), ("customer", E.CUSTOMER_ID_VARIANTS), ("timestamp", ["timestamp"]), ("feature", ["feature"]))])
+    return docs.select(F.explode(kinds).alias("k")).groupBy("k.field", F.coalesce("k.kind", F.lit("missing")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("documents"))
+
+
+def m0_member_events(spark, base):
+    return E.member_events(_dom(spark, base).raw_activity_logs)
+
+
 def m1_session_cadence(spark, base):
     return E.session_cadence(_dom(spark, base).activity_logs)
 
@@ -455,6 +480,15 @@ def op_safe_cast_id(spark, base):
     return raw.select("event_id", "copy", cid.alias("customer_id"))
 
 
+def op_safe_double(spark, base):
+    """Durations as a document store may hold them: numbers, texts of numbers, and other texts."""
+    raw = _dom(spark, base).raw_activity_logs
+    eid, d = F.col("event_id"), F.col("session_duration_sec")
+    text = F.when(eid % 5 == 0, F.concat(F.lit(" "), d.cast("string"))).when(eid % 5 == 1, F.concat(d.cast("bigint").cast("string"), F.lit("e1"))).when(
+        eid % 5 == 2, F.lit("n/a")).when(eid % 5 == 3, F.concat(d.cast("string"), F.lit("d"))).otherwise(d.cast("string"))
+    return raw.select("event_id", "copy", safe_double(text).alias("seconds"))
+
+
 def op_mixed_timestamps(spark, base):
     raw = _dom(spark, base).raw_activity_logs
     return raw.select("event_id", "copy", parse_mixed_timestamp("timestamp").alias("ts"))
@@ -473,7 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         s1_plan_health, s2_ltv_rank, s3_friction_downgrades, s3_friction_downgrades_default,
         s3_friction_downgrades_midday, s3_friction_downgrades_any_ticket, s4_churn_trend,
         s5_duplicate_accounts, s5_duplicate_accounts_strict, j3_similar_names, j3_similar_labels, s5b_shared_member_domains,
-        m0_normalize_events, m1_session_cadence, m1_session_cadence_by_plan, m2_feature_retention,
+        m0_normalize_events, m0_document_scan, m0_member_events, m1_session_cadence, m1_session_cadence_by_plan, m2_feature_retention,
         m3_onboarding_funnel, m3_onboarding_funnel_nested, m3_onboarding_funnel_document, m3b_step_gap_median, m4_upsell_candidates,
         m4_upsell_candidates_free, m1_session_cadence_raw, m2_feature_retention_raw, m4_upsell_candidates_raw,
         p5_engagement_features_raw, p6_two_proportion_ztest_raw, p7_chi_square_2x2_raw, p10_rate_by_ai_adoption_raw,
@@ -485,6 +519,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op_plan_transitions, op_interval_join_tickets, op_band_pairs_domain_signup,
         op_anti_join_orphans, op_rank_ties, op_conditional_sum, op_count_distinct, op_null_profile,
         op_quantile_p99, op_floor_index_quartiles, op_monthly_buckets, op_iso_week_buckets, op_contingency_2x2,
-        op_text_normalize, op_safe_cast_id, op_mixed_timestamps, op_case_bands,
+        op_text_normalize, op_safe_cast_id, op_safe_double, op_document_types, op_mixed_timestamps, op_case_bands,
     )
 }

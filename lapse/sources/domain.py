@@ -190,7 +190,7 @@ class Domain:
 
         Ids move between three variant names and become strings, timestamps
         use four layouts, 2 % become orphans, 5 % are emitted twice, and a few
-        carry junk timestamps or junk ids. Deterministic by event_id.
+        carry junk timestamps, junk customer ids or text member ids. Deterministic by event_id.
         """
         a = self.activity_logs
         eid = F.col("event_id")
@@ -198,6 +198,7 @@ class Domain:
         cust = F.when(eid % 50 == 0, F.col("customer_id") + 10_000_000).otherwise(F.col("customer_id")).cast("string")
         cust = F.when(eid % 89 == 7, F.lit("x")).otherwise(cust)
         mem = F.col("member_id").cast("string")
+        mem = F.when(eid % 83 == 9, F.concat(F.lit("m-"), mem)).otherwise(mem)  # some ids are texts
         ts = F.col("ts")
         fmt = eid % 4
         ts_text = (F.when(fmt == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
@@ -218,6 +219,30 @@ class Domain:
             "event_type", "feature", "session_duration_sec",
             F.explode(copies).alias("copy"))
 
+    @cached_property
+    def activity_dump(self) -> DataFrame:
+        """``raw_activity_logs`` as the lines of a document store's dump: a field's type changes from document to document."""
+        r, eid = self.raw_activity_logs, F.col("event_id")
+
+        def quoted(c: Column) -> Column:
+            return F.concat(F.lit('"'), c, F.lit('"'))
+
+        def number(c: Column) -> Column:
+            """As a number, a text, the store's notation or a number with a fraction; what is no number is a text."""
+            whole = c.rlike("^[0-9]+$")
+            return F.when(whole & (eid % 5 == 0), c).when(whole & (eid % 5 == 1), F.concat(F.lit('{"$numberLong":"'), c, F.lit('"}'))).when(
+                whole & (eid % 5 == 2), F.concat(c, F.lit(".0"))).otherwise(quoted(c))
+
+        ts = F.col("timestamp")
+        millis = F.unix_millis(F.to_timestamp(ts, "yyyy-MM-dd'T'HH:mm:ssX")).cast("string")
+        at = F.when(ts.endswith("Z") & (eid % 3 == 0), F.concat(F.lit('{"$date":{"$numberLong":"'), millis, F.lit('"}}'))).when(
+            ts.contains("T") & (eid % 3 != 1), F.concat(F.lit('{"$date":"'), ts, F.lit('"}'))).when(ts == "junk", F.lit("12345")).otherwise(quoted(ts))
+        parts = [(n, number(F.col(n))) for n in ("member_id", "userId", "userID_", "customer_id", "customerId", "customerID_")]
+        parts += [("timestamp", at), ("event_type", quoted(F.col("event_type"))), ("feature", F.coalesce(quoted(F.col("feature")), F.lit("null"))),
+                  ("session_duration_sec", number(F.col("session_duration_sec").cast("bigint").cast("string")))]
+        fields = [F.concat(F.lit(f'"{n}":'), c) for n, c in parts]  # NULL: the document lacks the field
+        return r.select(F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")).alias("value"))
+
     @cached_property
     def onboarding_events(self) -> DataFrame:
         e = self.table("events")
