@@ -38,9 +38,11 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], col: str, quantiles: M
     brackets = sketch.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group)], "_size", F.array(*[
         F.struct(F.lit(i).alias("q"), F.lit(float(q)).alias("at"), F.when(~whole, F.col("_e")[2 * i]).alias("lo"), F.when(~whole, F.col("_e")[2 * i + 1]).alias("hi"))
         for i, q in enumerate(quantiles.values())]).alias("_b"))
-    same = [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)]
-    met = vals.join(brackets, same).select(*group, "_size", "_v", F.explode("_b").alias("_b")).where(
-        F.col("_b.hi").isNull() | (F.col("_v") <= F.col("_b.hi")))
+    if keys:
+        near = vals.join(brackets, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group)])
+    else:  # one row: a value of the plan, no join
+        near = vals.withColumn("_one", brackets.select(F.struct("_size", "_b")).scalar()).select(*group, "_v", "_one.*")
+    met = near.select(*group, "_size", "_v", F.explode("_b").alias("_b")).where(F.col("_b.hi").isNull() | (F.col("_v") <= F.col("_b.hi")))
     # a row per value inside, and one, before all others, for the values below
     inside = F.col("_b.lo").isNull() | (F.col("_v") >= F.col("_b.lo"))
     value = F.when(inside, F.col("_v")).otherwise(F.lit(float("-inf")))

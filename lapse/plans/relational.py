@@ -34,16 +34,16 @@ def _money(c):
     return c.cast("double")
 
 
-def active_subscriptions(subscriptions: DataFrame) -> DataFrame:
-    """Latest *active* subscription per customer."""
+def active_subscriptions(subscriptions: DataFrame, packed: bool = False) -> DataFrame:
+    """Latest *active* subscription per customer (``packed``: see :func:`latest_per`)."""
     active = subscriptions.where(F.col("status") == "active")
     return latest_per(active, ["customer_id"], ["start_date", "subscription_id"],
-                      columns=["customer_id", "plan_id", "mrr_usd", "start_date", "subscription_id"])
+                      columns=["customer_id", "plan_id", "mrr_usd", "start_date", "subscription_id"], packed=packed)
 
 
 # --------------------------------------------------------------------------- S1
 def plan_health(plans: DataFrame, subscriptions: DataFrame, tickets: DataFrame,
-                as_of=None, months: int = 6, ordered: bool = True) -> DataFrame:
+                as_of=None, months: int = 6, ordered: bool = True, packed: bool = False) -> DataFrame:
     """Active customers, MRR and support-ticket rate per plan.
 
     The ticket window starts at the first day of the month ``months`` before
@@ -53,7 +53,7 @@ def plan_health(plans: DataFrame, subscriptions: DataFrame, tickets: DataFrame,
     join sees one row per customer instead of one per ticket.
     """
     start = month_floor_minus(as_of, months)
-    active = active_subscriptions(subscriptions).select("customer_id", "plan_id", "mrr_usd")
+    active = active_subscriptions(subscriptions, packed).select("customer_id", "plan_id", "mrr_usd")
     per_customer = (tickets.where(F.col("created_at") >= ntz_literal(start))
                     .groupBy("customer_id").agg(F.count("ticket_id").alias("n")))
     # one pass over the active subscriptions: members, MRR and their tickets per plan

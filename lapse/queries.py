@@ -40,7 +40,7 @@ def _dom(spark: SparkSession, base: str) -> Domain:
 # ----------------------------------------------------------------- relational
 def s1_plan_health(spark, base):
     d = _dom(spark, base)
-    return R.plan_health(d.plans, d.subscriptions, d.support_tickets, as_of=AS_OF)
+    return R.plan_health(d.plans, d.subscriptions, d.support_tickets, as_of=AS_OF, packed=True)
 
 
 def s2_ltv_rank(spark, base):

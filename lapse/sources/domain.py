@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.argmax import argmax_columns
 from ..operators.latest import latest_per
 from .tables import POSITION, read_table, with_position
 
@@ -67,8 +68,8 @@ class Domain:
         o = self.table("orders")
         pid = plan_id_of(F.col("o_orderpriority"))
         p = (o.select(pid.alias("plan_id"), "o_orderpriority")
-             .where(F.col("plan_id").between(1, 5))
-             .groupBy("plan_id").agg(F.min("o_orderpriority").alias("plan_name")))
+             .where(F.col("plan_id").between(1, 5)).distinct()  # a few rows: the least text of each plan without sorting orders
+             .groupBy("plan_id").agg(F.array_min(F.collect_set("o_orderpriority")).alias("plan_name")))
         return p.select(
             "plan_id", "plan_name",
             mapping(F.col("plan_id"), PLAN_TIERS).alias("plan_tier"),
@@ -92,26 +93,20 @@ class Domain:
     @cached_property
     def latest_subscription(self) -> DataFrame:
         """Latest subscription of any status per customer (start_date DESC NULLS FIRST, id DESC)."""
-        return latest_per(self.subscriptions, ["customer_id"], ["start_date", "subscription_id"])
+        return latest_per(self.subscriptions, ["customer_id"], ["start_date", "subscription_id"], packed=True)
 
     def latest_subscription_of(self, *cols: str) -> DataFrame:
-        """``latest_subscription`` carrying only ``cols``: the latest-row aggregate packs
-        its payload into a struct, which the optimizer cannot prune, so narrow it here
-        and the scan reads only the ordering columns plus ``cols``."""
+        """``latest_subscription`` carrying only ``cols``."""
         return latest_per(self.subscriptions, ["customer_id"], ["start_date", "subscription_id"],
-                          columns=["customer_id", *cols])
+                          columns=["customer_id", *cols], packed=True)
 
     @cached_property
     def customer_subscription_summary(self) -> DataFrame:
         """Per customer, in ONE combinable aggregate: first start date and the latest
         subscription's status / end date (DESC NULLS FIRST on start_date, then id)."""
-        s = self.subscriptions
-        latest = F.max(F.struct(F.col("start_date").isNull().alias("n"), F.col("start_date").alias("d"),
-                                F.col("subscription_id").alias("i"), F.col("status").alias("status"),
-                                F.col("end_date").alias("end_date")))
-        return s.groupBy("customer_id").agg(F.min("start_date").alias("signup_date"), latest.alias("_l")) \
-            .select("customer_id", "signup_date", F.col("_l.status").alias("latest_status"),
-                    F.col("_l.end_date").alias("latest_end"))
+        latest, outputs = argmax_columns(self.subscriptions, ["start_date", "subscription_id"], ["status", "end_date"])
+        return self.subscriptions.groupBy("customer_id").agg(F.min("start_date").alias("signup_date"), *latest) \
+            .select("customer_id", "signup_date", *outputs).withColumnsRenamed({"status": "latest_status", "end_date": "latest_end"})
 
     @cached_property
     def customers(self) -> DataFrame:

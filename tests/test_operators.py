@@ -145,3 +145,26 @@ def test_grouped_quantiles_of_all_groups_at_once(spark, monkeypatch):
             assert got[g]["n"] == len(vs)
             assert np.allclose([got[g][n] for n in qs], np.quantile(vs, list(qs.values())), rtol=0, atol=1e-9)
     assert grouped_quantiles(df.limit(0), [], "v", {"q": 0.5}).count() == 0
+
+
+def test_packed_latest_equals_the_struct_one(spark):
+    import datetime as dt
+    rnd = random.Random(31)
+    base = dt.date(1960, 1, 1)
+    texts = [None, "", "a", "active", "14 bytes long!", "é中", "trailing\u0001"]
+    rows = [(rnd.choice([None, 1, 2, 3]), i * rnd.choice([1, 2 ** 30]), rnd.choice([None] + [base + dt.timedelta(days=rnd.randint(0, 40000)) for _ in range(6)]),
+             rnd.choice([None, 5, -7]), rnd.choice(texts), rnd.choice([None, 1.5, -2.25]), rnd.choice([None, True, False])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, sid long, d date, p int, t string, x double, b boolean")
+    plain, packed = (sorted(map(tuple, latest_per(df, ["k"], ["d", "sid"], packed=p).select(*df.columns).collect()), key=str) for p in (False, True))
+    assert plain == packed
+    narrow = latest_per(df, ["k"], ["d", "sid"], columns=["k", "t"], packed=True)
+    assert narrow.columns == ["k", "t"] and latest_per(df.limit(0), ["k"], ["d", "sid"], packed=True).count() == 0
+
+
+def test_packed_latest_raises_rather_than_misplace(spark):
+    import pytest
+    for sid, day, text in ((-1, "2020-01-01", "a"), (2 ** 46, "2020-01-01", "a"), (1, "2500-01-01", "a"), (1, "2020-01-01", "fifteen bytes !")):
+        df = spark.createDataFrame([(1, sid, text)], "k int, sid long, t string").withColumn("d", F.to_date(F.lit(day)))
+        with pytest.raises(Exception, match="outside the range of a packed order"):
+            latest_per(df, ["k"], ["d", "sid"], packed=True).collect()
+        assert latest_per(df, ["k"], ["d", "sid"]).count() == 1
