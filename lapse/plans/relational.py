@@ -103,15 +103,15 @@ def ltv_rank(customers: DataFrame, latest_subscription: DataFrame, plans: DataFr
     not one window task per tier, and the tier mean is a grouped aggregate
     joined back (one row per tier).
     """
-    # one row per customer, read by the rank (several passes) and the tier mean:
-    # materialise it once in the shared checkpoint folder instead of re-running
-    # the invoice join for every consumer
-    ltv = cut_lineage(customer_ltv(customers, latest_subscription, plans, invoices))
+    # one row per customer, read by the rank and the tier mean; their plans share the exchanges of its aggregates
+    ltv = customer_ltv(customers, latest_subscription, plans, invoices)
     ranked = rank_desc(ltv, ["plan_tier"], "ltv_usd", "tier_rank")
     # mean as exact decimal sum / count in double: a DECIMAL quotient would be cut to
     # 6 decimals and the percentage below rounded from a truncated value
-    tier_avg = ltv.groupBy("plan_tier").agg(
-        (F.sum("ltv_usd").cast("double") / F.count("ltv_usd")).alias("tier_avg"))
+    # (from the values and their counts that the rank is made of)
+    n = F.col("n").cast("decimal(20,0)")
+    tier_avg = ltv.groupBy("plan_tier", "ltv_usd").agg(F.count(F.lit(1)).alias("n")).groupBy("plan_tier").agg(
+        (F.sum(F.col("ltv_usd") * n).cast("double") / F.sum(F.when(F.col("ltv_usd").isNotNull(), F.col("n")))).alias("tier_avg"))
     j = ranked.join(tier_avg, ranked.plan_tier.eqNullSafe(tier_avg.plan_tier), "left") \
         .drop(tier_avg.plan_tier)
     avg = F.col("tier_avg")
@@ -187,9 +187,9 @@ def friction_downgrades(customers: DataFrame, subscriptions: DataFrame, plans: D
     """Downgrades in the last ``lookback_days`` preceded by more than ``min_tickets``
     tickets in the ``ticket_window_days`` before the downgrade (half-open window)."""
     # the downgrade set (one lookback window) feeds the ticket count and the final
-    # join: materialise it once instead of re-running the transition window twice
+    # join; both read the exchange behind its transition window
     as_of = as_datetime(as_of)
-    d = cut_lineage(downgrades(subscriptions, plans, as_of, lookback_days))
+    d = downgrades(subscriptions, plans, as_of, lookback_days)
     # no downgrade window can start before this: prune tickets at the scan
     earliest = _dt.datetime.combine(as_of.date() - _dt.timedelta(days=lookback_days + ticket_window_days), _dt.time())
     t = tickets.where(F.col("created_at") >= ntz_literal(earliest)).select("customer_id", "ticket_id", "created_at")
@@ -306,7 +306,7 @@ def duplicate_accounts(entities: DataFrame, ordered: bool = True, account_attrs:
     extra = []
     if account_attrs is not None:  # per-account columns carried into the pairs as <col>_a / <col>_b
         extra = [c for c in account_attrs.columns if c != "customer_id"]
-        # read by three joins and their key counts: written once (shared checkpoint folder)
+        # read by three joins, either side of each, and their key counts: written once (shared checkpoint folder)
         acc = cut_lineage(acc.join(account_attrs, "customer_id", "left"))
         attrs += extra
     same_domain = F.coalesce(F.col("domain_a") == F.col("domain_b"), F.lit(False))
