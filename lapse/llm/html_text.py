@@ -1,10 +1,10 @@
 """Main text of web pages: markup roles, and differencing against the nearest URL of the host.
 
 A page becomes lines (one per block), each with its role: in the article, boilerplate by its
-element (menus, headers, footers, sidebars, forms, scripts, adverts, notices, comments), or open. Open
-lines are compared with those of the page whose URL path is nearest on the same host: the lines are
-aligned by longest common subsequence, and what both share is the site's, not the page's. Lines in an
-article are kept. A page with a single article that is at least as long as its other open lines keeps exactly that.
+element (menus, headers, footers, sidebars, forms, scripts, adverts, notices, comments), or open. All lines outside
+articles are compared with those of the page whose URL path is nearest on the same host: they are
+aligned by longest common subsequence, and what both share is the site's, not the page's. Of these lines the open ones that the
+neighbour does not share stay, in their places; lines in an article are kept. Boilerplate goes even where it is the page's own.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.llm.common import partitions, staged
+from lapse.llm.wordarrays import slices
 
 # Element names and class words by role.
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select"
@@ -141,17 +142,18 @@ def numbered_lines(source: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
-def parts_of(source: str | None) -> tuple[list[str], list[int], int | None, bool, bool]:
-    """(lines, place among the open lines or -1 in an article, hash of the article's, single article, and it is the main one)."""
-    found = [x for x in numbered_lines(source) if x[1] != BOILERPLATE]
-    own, opened = [x for x in found if x[1] == ARTICLE], [x for x in found if x[1] == OPEN]
-    at, n = [], 0
-    for _, role, _ in found:
-        at.append(n if role == OPEN else -1)
-        n += role == OPEN
-    single = len({nth for _, _, nth in own}) == 1
-    main = single and sum(len(x[0]) for x in own) >= sum(len(x[0]) for x in opened)
-    return [x[0] for x in found], at, _hash("\n".join(x[0] for x in own)) if own else None, single, main
+def parts_of(source: str | None) -> tuple[list[str], list[int], list[int], list[int], int | None]:
+    """A page's text and its frame: (lines of articles and open ones, the place of each in the frame or -1 in an article, hashes of
+    the frame's lines, places of the open ones among them, hash of the articles' text). The frame are all lines outside articles."""
+    texts, at, frame, opened, own = [], [], [], [], []
+    for text, role, _ in numbered_lines(source):
+        if role == ARTICLE:
+            texts.append(text), at.append(-1), own.append(text)
+            continue
+        if role == OPEN:
+            texts.append(text), at.append(len(frame)), opened.append(len(frame))
+        frame.append(_hash(text))
+    return texts, at, frame, opened, _hash("\n".join(own)) if own else None
 
 
 def shared_lines(mine: list[int], other: list[int]) -> list[int]:
@@ -222,8 +224,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """One row per page: page_id, url, text, n_chars.
 
     Null and empty html gives an empty text. A null url counts as host "" and path "". Rows are
-    independent of ids, which may be null or repeat; pages of one url and the same open lines are one page when
-    pages are paired. A page all of whose open lines are shared is a copy of its
+    independent of ids, which may be null or repeat; pages of one url with the same lines outside articles and the same articles are one
+    page when pages are paired. Very long pages are taken a few megabytes at a time. A page all of whose open lines are shared is a copy of its
     neighbour and keeps them, unless its article differs. An empty table gives an empty result. Other columns are ignored.
     """
     kind = pages.select(F.col(id_col).alias("page_id")).schema[0].dataType.simpleString()
@@ -231,21 +233,22 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     def faces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            host, path, lines, article, main = [], [], [], [], []
-            for h, p, source in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), batch.column("html").to_pylist()):
-                texts, at, own, _, is_main = parts_of(source)
-                if opened := [_hash(t) for t, k in zip(texts, at) if k >= 0]:
-                    host.append(h), path.append(p), lines.append(opened), article.append(own), main.append(is_main)
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(lines, pa.list_(pa.int64())),
-                                              pa.array(article, pa.int64()), pa.array(main, pa.bool_())],
-                                             ["host", "path", "lines", "article", "main"])
+            for part in slices(batch, "html"):
+                host, path, lines, places, article = [], [], [], [], []
+                for h, p, source in zip(part.column("host").to_pylist(), part.column("path").to_pylist(), part.column("html").to_pylist()):
+                    _, _, frame, opened, own = parts_of(source)
+                    if frame:
+                        host.append(h), path.append(p), lines.append(frame), places.append(opened), article.append(own)
+                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(lines, pa.list_(pa.int64())),
+                                                  pa.array(places, pa.list_(pa.int32())), pa.array(article, pa.int64())],
+                                                 ["host", "path", "lines", "opened", "article"])
 
     faces = base.select(url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), "html").mapInArrow(
-        faces_of, "host string, path string, lines array<long>, article long, main boolean")
+        faces_of, "host string, path string, lines array<long>, opened array<int>, article long")
     # pages of one url with the same lines are one face; the digest stands for the lines
-    digest = F.xxhash64("lines", F.size("lines"), "article").alias("digest")
+    digest = F.xxhash64("lines", F.size("lines"), "opened", "article").alias("digest")
     faces = faces.groupBy("host", "path", digest).agg(
-        F.first("lines").alias("lines"), F.first("article").alias("article"), F.min("main").alias("main"))
+        F.first("lines").alias("lines"), F.first("opened").alias("opened"), F.first("article").alias("article"))
     near = neighbours(faces, ["host", "path", "digest"], F.struct("path", "lines", "article"), "host")
 
     def shared_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,40 +267,33 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for r in batch.to_pylist():
                 pair = r["before"] if alike(r["path"], r["before"]) >= alike(r["path"], r["after"]) else r["after"]
                 shared = shared_lines(r["lines"], pair["lines"]) if pair else []
-                copy = len(shared) == len(r["lines"]) and (r["article"] is None or pair["article"] == r["article"])
-                out.append([] if copy else shared)
+                mine = [*{*shared} & {*r["opened"]}]
+                copy = len(mine) == len(r["opened"]) and (r["article"] is None or pair and pair["article"] == r["article"])
+                out.append([] if copy else mine)
             yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("path"), batch.column("digest"),
                                               pa.array(out, pa.list_(pa.int32()))], ["host", "path", "digest", "shared"])
 
-    shared = near.where("not main").mapInArrow(shared_of, "host string, path string, digest long, shared array<int>")
+    shared = near.mapInArrow(shared_of, "host string, path string, digest long, shared array<int>")
     shared = staged(shared.where(F.size("shared") > 0), "shared-lines")
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, places, lines, article, single = [], [], [], [], []
-            for source in batch.column("html").to_pylist():
-                text, at, own, alone, main = parts_of(source)
-                if main:
-                    text, at = [t for t, k in zip(text, at) if k < 0], [k for k in at if k < 0]
-                texts.append(text), places.append(at), article.append(own), single.append(alone)
-                lines.append([_hash(t) for t, k in zip(text, at) if k >= 0])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), batch.column("host"), batch.column("path"),
-                 pa.array(texts, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.int64())),
-                 pa.array(article, pa.int64()), pa.array(single, pa.bool_())],
-                ["page_id", "url", "host", "path", "texts", "at", "lines", "article", "single"])
+            for part in slices(batch, "html"):
+                texts, places, lines, opened, article = ([], [], [], [], [])
+                for source in part.column("html").to_pylist():
+                    for out, x in zip((texts, places, lines, opened, article), parts_of(source)):
+                        out.append(x)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("page_id"), part.column("url"), part.column("host"), part.column("path"),
+                     pa.array(texts, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.int64())),
+                     pa.array(opened, pa.list_(pa.int32())), pa.array(article, pa.int64())],
+                    ["page_id", "url", "host", "path", "texts", "at", "lines", "opened", "article"])
 
     texts = base.withColumns({"host": url_host(F.col("url")), "path": url_path(F.col("url"))}).mapInArrow(
         texts_of, f"page_id {kind}, url string, host string, path string, texts array<string>, at array<int>, lines array<long>,"
-                  " article long, single boolean")
-    texts = texts.select("page_id", "url", "host", "path", F.arrays_zip("texts", "at").alias("found"), "single", digest)
+                  " opened array<int>, article long")
+    texts = texts.select("page_id", "url", "host", "path", F.arrays_zip("texts", "at").alias("found"), digest)
     rest = F.filter("found", lambda x: ~F.array_contains(F.coalesce("shared", F.array().cast("array<int>")), x["at"]))
-    own, opened = F.filter(rest, lambda x: x["at"] < 0), F.filter(rest, lambda x: x["at"] >= 0)
-
-    def length(found: Column) -> Column:
-        return F.aggregate(found, F.lit(0).cast("long"), lambda n, x: n + F.char_length(x["texts"]))
-
-    kept = F.when(F.col("single") & (length(own) >= length(opened)), own).otherwise(rest)
-    text = F.array_join(F.transform(kept, lambda x: x["texts"]), "\n")
+    text = F.array_join(F.transform(rest, lambda x: x["texts"]), "\n")
     out = texts.join(shared, ["host", "path", "digest"], "left").withColumn("text", text)
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -162,3 +162,105 @@ def test_archive_offsets_are_running_lengths(spark):
         assert r.offset == files.get(r.file, 0)
         files[r.file] = r.offset + r.length
     assert len(files) > 4 and warc_fixity.archive(pages.limit(0)).count() == 0
+
+
+def brute_main_text(pages):
+    """{url: text} of pages of different paths: each page's lines outside articles against those of the nearest path."""
+    def alike(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    def lcs(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                t[i][j] = t[i + 1][j + 1] + 1 if a[i] == b[j] else max(t[i + 1][j], t[i][j + 1])
+        out, i, j = set(), 0, 0
+        while i < len(a) and j < len(b):
+            if a[i] == b[j]:
+                out.add(i)
+                i, j = i + 1, j + 1
+            elif t[i + 1][j] >= t[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        return out
+
+    out, hosts = {}, {}
+    for url, source in pages:
+        host, _, path = url.removeprefix("https://").partition("/")
+        hosts.setdefault(host, []).append(("/" + path, url, html_text.page_lines(source)))
+    for rows in hosts.values():
+        rows.sort()
+        framed = [r for r in rows if any(k != html_text.ARTICLE for _, k in r[2])]
+        for path, url, lines in rows:
+            frame = [i for i, (_, k) in enumerate(lines) if k != html_text.ARTICLE]
+            gone = {i for i in frame if lines[i][1] == html_text.BOILERPLATE}
+            if frame:
+                n = [r[1] for r in framed].index(url)
+                before, after = framed[n - 1] if n else None, framed[n + 1] if n + 1 < len(framed) else None
+                pair = max((p for p in (before, after) if p), key=lambda p: alike(path, p[0]), default=None)
+                if pair:
+                    shared = {frame[i] for i in lcs([lines[i][0] for i in frame], [t for t, k in pair[2] if k != html_text.ARTICLE])}
+                    opened = {i for i in frame if lines[i][1] == html_text.OPEN}
+                    article = [[t for t, k in x if k == html_text.ARTICLE] for x in (lines, pair[2])]
+                    if not (opened <= shared and (not article[0] or article[0] == article[1])):
+                        gone |= shared
+            out[url] = "\n".join(t for i, (t, _) in enumerate(lines) if i not in gone)
+    return out
+
+
+def test_open_lines_beside_a_longer_article_stay(spark):
+    def page(n):
+        return (f"https://h.example/news/{n}", f"<nav>menu</nav><p>Our site, since 1999</p><p>Opening words of story {n}.</p><article>"
+                + "".join(f"<p>Paragraph {k} of story {n}, which is long enough.</p>" for k in range(6))
+                + f"</article><p>Closing words of story {n}.</p><p>All rights kept</p><footer>f</footer>")
+
+    rows = [page(n) for n in range(3)] + [("https://h.example/alone", "<p>only open</p>"), ("https://other.example/x", page(7)[1])]
+    df = spark.createDataFrame([(n, u, h) for n, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.url: r.text for r in html_text.main_text(df).collect()}
+    assert got == brute_main_text(rows)
+    for n in range(3):
+        lines = got[f"https://h.example/news/{n}"].split("\n")
+        assert lines[0] == f"Opening words of story {n}." and lines[-1] == f"Closing words of story {n}." and len(lines) == 8
+
+
+def test_main_text_against_brute_force(spark):
+    import random
+    r = random.Random(12)
+    site = [f"site line {k}" for k in range(6)]
+    rows = []
+    for n in range(120):
+        host, body, used = f"h{n % 4}.example", [], set()  # a line occurs once in a page: the alignment is then unique
+        for k in range(r.randint(0, 9)):
+            kind = r.random()
+            text = r.choice(site) if kind < 0.5 else f"own line {n} {k}"
+            if text in used:
+                continue
+            used.add(text)
+            body.append({0: f"<p>{text}</p>", 1: f"<div>{text}</div>", 2: f"<nav>{text}</nav>", 3: f"<article><p>{text}</p></article>",
+                         4: f"<div class='ad'>{text}</div>"}[r.choice([0, 0, 0, 1, 2, 3, 3, 4])])
+        body.sort(key=lambda x: [i for i, s in enumerate(site) if s in x] or [3])  # the site's lines stand in the same order
+        rows.append((f"https://{host}/{r.choice(['a', 'ab', 'b/c'])}/{n}", "".join(body)))
+    df = spark.createDataFrame([(n, u, h) for n, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    want = brute_main_text(rows)
+    got = {x.url: x.text for x in html_text.main_text(df).collect()}
+    assert got == want
+    assert any(s in h and s not in want[u] for u, h in rows for s in site)
+
+
+def test_every_given_page_is_aligned_with_its_neighbour(spark):
+    """The lines outside articles of all given pages go through the alignment, and pages of a site do share some."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("url").collect()
+    frames = [html_text.parts_of(p.html)[2] for p in pages]
+    assert all(frames) and any(html_text.shared_lines(a, b) for a, b in zip(frames, frames[1:]))
+
+
+def test_very_long_pages(spark):
+    long = "<article>" + "".join(f"<p>line {k}</p>" for k in range(60_000)) + "</article><p>after</p>"
+    df = spark.createDataFrame([(1, "https://h.example/a", long), (2, "https://h.example/b", long.replace("after", "behind")), (3, None, None)],
+                               "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert got[1].endswith("line 59999\nafter") and got[2].endswith("\nbehind") and got[3] == "" and got[1].count("\n") == 60_000
