@@ -6,7 +6,8 @@ optimum tilts the rates exponentially: r = min(cap, exp(lambda * size / scale)).
 on the dual run as Spark aggregates over the (source, size) histogram, which holds all that
 the dual needs; a bracket per source keeps each step safe. Rates are then rounded
 to copies: the whole part, and one more copy for the documents whose fixed random number
-comes first until the source's words reach the target.
+comes first until the source's words reach the target. What is then missing or too much is made up for by
+single documents of the sizes that fit it best.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 #: Cells per refinement of the rounding cut: three rounds part random numbers 2 ** -30 apart.
 CELLS, ROUNDS = 1024, 3
+#: Documents per source that are moved to close the last gap, at most, and the rounds that may move too large a one.
+FILLS, OVERSHOOTS = 6, (2, 4)
 
 
 def count_words(text: Column) -> Column:
@@ -152,13 +155,46 @@ def _cuts(rated: DataFrame, state: DataFrame) -> DataFrame:
         width = cell_width
 
 
+def _extra(picks: Column) -> Column:
+    """A document's copies beyond the whole ones: 1 below the cut, changed by the moves that name it."""
+    moved = F.aggregate(F.filter(picks, lambda p: (p["size"] == F.col("size")) & (p["key"] == F.col("key"))), F.lit(0), lambda n, p: n + p["move"])
+    return F.coalesce((F.col("key") < F.col("cut")).cast("int") + moved, F.lit(0))
+
+
+def _filled(rated: DataFrame, cuts: DataFrame, targets: DataFrame) -> DataFrame:
+    """(sk, cut, picks): what single documents, one a round and source, get or give up to bring the source nearer to its target.
+
+    In each round the document whose size is nearest to what the source lacks gets one more copy; where the source
+    has too much, the one nearest to the excess loses its extra copy. Where every document is too large for that, the
+    smallest one moves, and the next round makes up for it (in the worst case by taking it back). ``picks`` are these moves, by size and key.
+    """
+    pick = "struct<size:bigint,key:double,move:int>"
+    state = cuts.withColumn("picks", F.array().cast(f"array<{pick}>"))
+    for i in range(FILLS):
+        now = rated.join(state, "sk").withColumn("extra", _extra(F.col("picks")))
+        given = now.groupBy("sk").agg(F.sum((F.col("whole") + F.col("extra")) * F.col("size")).alias("given"))
+        gaps = staged(targets.join(given, "sk").select("sk", "target", (F.col("target") - F.col("given")).alias("gap")), "mix-gap")
+        near = F.col("size") < 2 * F.abs("gap")
+        beyond = (F.abs("gap") > 0.001 * F.col("target")) & (F.abs("gap") >= 1) & F.lit(i in OVERSHOOTS)
+        fits = F.col("key").isNotNull() & (near | beyond) & (F.col("extra") == (F.col("gap") < 0).cast("int"))
+        off = F.when(near, F.abs(F.abs("gap") - F.col("size"))).otherwise(F.col("size") + F.lit(1e15))
+        # rows that share size and key would move together
+        best = now.join(gaps, "sk").where(fits).groupBy("sk", "gap", "target", "size", "key").agg(F.count(F.lit(1)).alias("n")).where("n = 1").groupBy("sk", "gap").agg(
+            F.min(F.struct(off.alias("off"), "key", "size")).alias("b"))
+        moves = best.select("sk", F.array(F.struct(F.col("b.size").cast("bigint").alias("size"), "b.key", F.signum("gap").cast("int").alias("move"))).alias("m"))
+        state = staged(state.join(moves, "sk", "left").select("sk", "cut", F.when(F.col("m").isNull(), F.col("picks")).otherwise(
+            F.concat("picks", F.col("m").cast(f"array<{pick}>"))).alias("picks")), "mix-cut")
+    return state
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies, taken.
 
     Null and empty texts have size 0 and take nothing, whatever their copies. A null source is
-    a source of its own, last in order. Null ids are allowed; rows that repeat an id share one
-    random number and so mostly get the same copies. An empty table gives an empty result.
+    a source of its own, last in order. Null ids are allowed; rows that repeat an id and a size share one
+    random number and get the same copies, so a source made up of such rows can miss its target by their words.
+    Texts of any length count whole. An empty table gives an empty result.
     Other columns are ignored. Reruns agree: the random number is a hash of id and size.
     """
     source = F.col(source_col).cast("string")
@@ -176,8 +212,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                          F.when((whole < cap) & (F.col("size") > 0), chance - (F.col("rate") - whole)).alias("key"))
     rated = staged(rated, "mix-rated")
     cuts = staged(_cuts(rated, multipliers.select("sk", "target")), "mix-cuts")
-    copies = F.when(F.col("size") == 0, 0).otherwise(
-        F.col("whole") + F.coalesce((F.col("key") < F.col("cut")).cast("int"), F.lit(0)))
+    cuts = _filled(rated, cuts, multipliers.select("sk", "target"))
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + F.coalesce(_extra(F.col("picks")), F.lit(0)))
     return rated.join(cuts, "sk", "left").join(targets, "sk").select(
         "doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", "rate",
         copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))

@@ -248,3 +248,33 @@ def test_fit_sample_is_bounded_and_repeatable(spark, monkeypatch):
     one, two = (sorted(x.text for x in decontaminate._fit_sample(d).collect()) for d in (df, df.repartition(5)))
     assert one == two and 0 < len(one) <= 20
     assert decontaminate._fit_sample(df.limit(0)).count() == 0
+
+
+def test_small_sources_come_within_a_word_or_two_of_their_target(spark, tables):
+    got = mixing.mix(tables["documents"]).collect()
+    per = {}
+    for r in got:
+        per.setdefault(r.source, []).append(r)
+    for rows in per.values():
+        target, taken = rows[0].target, sum(r.taken for r in rows)
+        assert abs(taken - target) <= max(3, 0.01 * target)
+        assert all(0 <= r.copies <= 3 for r in rows)
+
+
+def test_last_gap_against_every_choice_of_copies(spark):
+    """Sources of a few documents: no single further move would come nearer."""
+    rows = [(i, edge_cases.prose(i, 1 + (i * 37) % 60), f"s{i % 8}") for i in range(48)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for s in {r.source for r in got}:
+        mine = [r for r in got if r.source == s]
+        gap = mine[0].target - sum(r.taken for r in mine)
+        spare = [r.size for r in mine if r.copies <= r.rate and r.copies < 3 and r.rate < 3 - 1e-9]
+        given = [r.size for r in mine if r.copies > r.rate]
+        assert all(abs(gap - x) >= abs(gap) - 1e-6 for x in spare) or all(abs(gap + x) >= abs(gap) - 1e-6 for x in given) or abs(gap) <= 0.05 * mine[0].target
+
+
+def test_one_text_per_sampled_id(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(200)] + [(8, "other"), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 1), (None, 1)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, ["toxic"]).collect()
+    assert sorted((r.doc_id, r.text, r.y_toxic) for r in got) == [(7, "text 0", 1), (8, "other", 0)]
