@@ -17,15 +17,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .prefix import default_buckets, prefix_counts
 
 
-def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, buckets: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = RANK() within ``groups`` by ``value`` descending (NULLs rank first)."""
+def rank_desc(df: DataFrame, groups: Sequence[str], value: str, out: str, buckets: int | None = None,
+              materialize: bool = False) -> DataFrame:
+    """``df`` plus ``out`` = RANK() within ``groups`` by ``value`` descending (NULLs rank first).
+
+    ``materialize``: write the collapsed values into the shared checkpoint folder first, which runs a job.
+    """
     groups = list(groups)
     n = buckets or default_buckets(df.sparkSession)
     # the collapsed table feeds the cut points and two branches, which share the exchange behind it
     vc = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
+    vc = cut_lineage(vc) if materialize else vc
     ranks = prefix_counts(vc, groups, value, descending=True, buckets=n) \
         .select(*groups, value, (F.lit(1) + F.col("_before")).alias(out))
     base, r = df.alias("d"), ranks.alias("r")
