@@ -80,5 +80,5 @@ def test_mix_comes_near_its_targets(outputs):
 def test_registered_queries(spark):
     names = list(entry.queries())
     assert [n for n in names if re.match(r"op\d+_", n)] and "pipeline" in names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
     assert entry.queries()["pipeline"](spark, SF).count() > 0
