@@ -37,6 +37,18 @@ def test_band_self_pairs_brute_force(spark):
     assert got == want
 
 
+def test_band_self_pairs_few_values_use_all_partitions(spark):
+    df = spark.range(900).selectExpr("id", "concat('d', id % 9) as blk", "int(id % 23) as v", "if(id % 50 = 0, null, id) as own_id")
+    got = band_self_pairs(df, "own_id", ["blk"], "v", 7, [], own=["id"], where=lambda a, b: a("v") != b("v"),
+                          shared=lambda a, b: {"gap": F.abs(a("v") - b("v"))}).withColumn("task", F.spark_partition_id()).collect()
+    rows = [(i, i % 9, i % 23) for i in range(900) if i % 50]
+    want = {(a[0], b[0], a[0], b[0], abs(a[2] - b[2])) for a, b in itertools.combinations(rows, 2) if a[1] == b[1] and 0 < abs(a[2] - b[2]) <= 7}
+    assert len(got) == len(want) and {(r.own_id_a, r.own_id_b, r.id_a, r.id_b, r.gap) for r in got} == want
+    # the pairs are made by as many tasks as the session has shuffle partitions, however few bytes the rows have
+    plain = band_self_pairs(df, "id", ["blk"], "v", 7, [])
+    assert plain.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
 def test_floor_index_quantiles(spark):
     df = spark.createDataFrame([("u", 3.0), ("u", 1.0), ("u", 2.0), ("w", 5.0), ("z", None)], "k string, v double")
     got = {r["k"]: (r["p25"], r["p50"], r["p75"]) for r in
