@@ -247,3 +247,19 @@ def test_feature_return_window_edges(spark):
                                  "member_id long, feature string, ts timestamp_ntz, event_type string")
     got = {r["member_id"]: r["returned"] for r in E.feature_first_use(logs).collect()}
     assert got == {1: 0, 2: 1, 3: 0, 4: 0}
+
+
+def test_duplicate_accounts_pairs_of_equal_accounts_use_all_partitions(spark):
+    """Accounts of equal values meet as one row: their pairs still come from several tasks, each pair once."""
+    rows = spark.range(600).selectExpr("id as customer_id", "concat('Acme ', elt(int(id % 2) + 1, 'One', 'Two')) as company_name",
+                                       "concat('u', id, '@d', id % 3, '.com') as contact_email", "date'2024-01-01' + int(id % 40) as signup_date")
+    members = spark.range(600).selectExpr("id % 11 as member_id", "id as customer_id", "concat('s@h', id % 5, '.com') as email", "true as is_active")
+    for edits in (None, 3):
+        out = R.duplicate_accounts(rows, ordered=False, max_edits=edits)
+        pairs = [(r.cust_a_id, r.cust_b_id) for r in out.collect()]
+        want = {(a, b) for a in range(600) for b in range(a + 1, 600) if (a % 3 == b % 3) + 1 + (abs(a % 40 - b % 40) <= 7) >= 2}
+        assert len(pairs) == len(want) and set(pairs) == want
+        assert out.select(F.spark_partition_id()).distinct().count() > 3  # three joins, each by more than one task
+    evidence = R.duplicate_member_evidence(rows, members)
+    assert evidence.count() == len(want)
+    assert evidence.select(F.spark_partition_id()).distinct().count() > 3
