@@ -75,13 +75,20 @@ def fit_segments(df: DataFrame, features: Sequence[str] = SEGMENT_FEATURES, k: i
     The features are written once into the shared checkpoint folder: the fits read them many times, and a lost executor
     reads the files again. Labels follow the ascending, 2-decimal rounded mean MRR of the segments.
     """
-    feats = list(features)
-    base = df.fillna(0, subset=feats)
+    base = df.fillna(0, subset=list(features))
     base = cut_lineage(base) if checkpoint else base.persist(StorageLevel.MEMORY_AND_DISK)
+    return fit_written(base, features, k, seed, restarts, labels, parallelism)
+
+
+def fit_written(base: DataFrame, features: Sequence[str] = SEGMENT_FEATURES, k: int = K, seed: int = SEED, restarts: int = RESTARTS,
+                labels: Sequence[str] = SEGMENT_LABELS, parallelism: int | None = None) -> SegmentModel:
+    """``fit_segments`` on a frame that is cheap to read many times and misses no features."""
+    feats = list(features)
     assembler = VectorAssembler(inputCols=feats, outputCol="_x")
     scaler = StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=True)
     prep = Pipeline(stages=[assembler, scaler]).fit(base)
-    scaled = prep.transform(base).persist(StorageLevel.MEMORY_AND_DISK)
+    # the fits pass over the vectors some hundred times and read nothing else
+    scaled = prep.transform(base.select(*feats)).select("_z").persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(i):
         model = KMeans(k=k, seed=seed + i, featuresCol="_z", predictionCol="segment").fit(scaled)

@@ -263,3 +263,21 @@ def test_duplicate_accounts_pairs_of_equal_accounts_use_all_partitions(spark):
     evidence = R.duplicate_member_evidence(rows, members)
     assert evidence.count() == len(want)
     assert evidence.select(F.spark_partition_id()).distinct().count() > 3
+
+
+def test_the_call_that_fits_segments_reads_the_frame_it_wrote(spark, monkeypatch):
+    from lapse import queries as Q
+    from lapse.plans import segment as S
+
+    rows = spark.range(90).selectExpr("id as customer_id", "double(id % 3 * 1000 + id) as mrr_usd", "id % 3 * 7 as total_feature_clicks",
+                                      "if(id % 10 = 0, null, id % 5) as distinct_features_used", "double(id % 3) as total_session_sec",
+                                      "id % 4 as ticket_count", "double(id % 6) as months_since_signup", "id % 2 = 0 as is_churned")
+    monkeypatch.setattr(Q, "_MODELS", {})
+    monkeypatch.setattr(Q, "_merged", lambda d: rows)
+    df, model = Q._segments(spark, "no tables")
+    assert df.inputFiles() and df.count() == 90 and df.columns == rows.columns
+    again, same = Q._segments(spark, "no tables")
+    assert same is model and not again.inputFiles()  # fitted before: the files may be gone by now
+    a, b = (sorted(map(tuple, S.profile(model.assign(x)).collect())) for x in (df, again))
+    assert a == b and sum(r[2] for r in a) == 90
+    assert S.fit_segments(rows).labels == model.labels
