@@ -3,7 +3,7 @@
 1. Benchmark items are taken in blocks of bounded size; a block's words are its vocabulary.
    Document frequencies of these words are counted over all documents.
 2. Passages (windows of ``WINDOW`` words, every ``STRIDE``) are TF-IDF vectors over the vocabulary. Their
-   latent directions come from a randomised SVD of item passages and a bounded sample of corpus passages;
+   latent directions come from a randomised SVD of all item and all corpus passages;
    its products with the passage matrix run as Spark tasks that each return a partial sum.
 3. For every passage of every document the items that its words hold enough of are found from each word's list of items; the
    passage is projected, and where its cosine to a passage of such an item reaches ``min_cosine`` the two are candidates.
@@ -30,7 +30,7 @@ BLOCK_ITEMS, BLOCK_BYTES = 2_048, 1 << 20
 #: Entries of the (passage, item) table that passages are looked at in.
 TABLE = 1 << 21
 RANK, OVERSAMPLE, POWER = 96, 16, 2
-#: Corpus documents whose passages the SVD is fitted on, besides the item passages.
+#: Corpus documents whose passages the SVD is fitted on besides the item passages where a caller asks for a ``sampled`` fit.
 MAX_FIT_DOCS = 2_048
 MIN_COSINE = 0.1
 #: Share of an item's weight (of a window's length of it) that a candidate passage's words must hold.
@@ -154,25 +154,38 @@ def _frequencies(texts: DataFrame, block: Block) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
-def _gram_product(sample: DataFrame, block: Block, dense: np.ndarray) -> np.ndarray:
-    """(A'A) dense for the TF-IDF matrix A of the sample's and the items' passages.
+def _gram_product(texts: DataFrame, block: Block, dense: np.ndarray) -> np.ndarray:
+    """(A'A) dense for the TF-IDF matrix A of the texts' and the items' passages.
 
     Each task adds up its passages and returns one matrix in row blocks, which are summed per block;
-    the matrix has one row per vocabulary word, whatever the sample's size.
+    the matrix has one row per vocabulary word, whatever the number of texts. Passages overlap, so their rows
+    are differences of running sums over the words: a word is looked at once, not once for each passage.
     """
     vocabulary, idf, columns = block.vocabulary, block.idf, dense.shape[1]
-    height = 1 << 10
+    weighted = dense * idf[:, None]
+    height = 1 << 7
 
     def add(out: np.ndarray, words: Words) -> None:
         starts, stops = windows(words.first)
         place = lookup(vocabulary, words.hash)
         for k in range(0, len(starts), 2048):
-            row, word = _passage_matrix(place, starts[k:k + 2048], stops[k:k + 2048])
-            product = _times(row, word, idf, min(2048, len(starts) - k), dense)
+            start, stop = starts[k:k + 2048], stops[k:k + 2048]  # both ascend
+            known = start[0] + np.flatnonzero(place[start[0]:stop[-1]] >= 0)
+            word = place[known]
+            if not len(word):
+                continue
+            first, last = np.searchsorted(known, start), np.searchsorted(known, stop)
+            sums = np.zeros((len(word) + 1, columns))
+            np.cumsum(weighted[word], axis=0, out=sums[1:])
+            product = sums[last] - sums[first]
+            change = np.zeros((len(word) + 1, columns))
+            for at, sign in ((first, 1.0), (last, -1.0)):
+                new = np.flatnonzero(np.append(True, np.diff(at) != 0))
+                change[at[new]] += sign * np.add.reduceat(product, new)
+            covered = np.cumsum(change, axis=0)[:-1]  # of each word, the passages that hold it
             order = np.argsort(word, kind="stable")
-            at = np.flatnonzero(np.append(True, np.diff(word[order]) != 0))[:len(order)]
-            if len(at):
-                out[word[order][at]] += np.add.reduceat(product[row[order]], at) * idf[word[order][at]][:, None]
+            new = np.flatnonzero(np.append(True, np.diff(word[order]) != 0))
+            out[word[order][new]] += np.add.reduceat(covered[order], new) * idf[word[order][new]][:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((len(vocabulary), columns))
@@ -187,7 +200,7 @@ def _gram_product(sample: DataFrame, block: Block, dense: np.ndarray) -> np.ndar
         sums = [np.frombuffer(b) for b in table.column("sums").to_pylist()]
         return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([sum(sums[1:], sums[0]).tobytes()], pa.binary())})
 
-    parts = sample.select("text").mapInArrow(run, "part long, sums binary").groupBy("part").applyInArrow(total, "part long, sums binary")
+    parts = texts.select("text").mapInArrow(run, "part long, sums binary").groupBy("part").applyInArrow(total, "part long, sums binary")
     out = np.zeros((len(vocabulary), columns))
     for r in parts.collect():
         part = np.frombuffer(r["sums"]).reshape(-1, columns)
@@ -198,22 +211,23 @@ def _gram_product(sample: DataFrame, block: Block, dense: np.ndarray) -> np.ndar
     return out
 
 
-def latent_basis(sample: DataFrame, block: Block, rank: int = RANK, seed: int = 7) -> np.ndarray:
+def latent_basis(texts: DataFrame, block: Block, rank: int = RANK, seed: int = 7) -> np.ndarray:
     """(words x rank) right singular vectors of the passages by randomised subspace iteration."""
     n = len(block.vocabulary)
     width = min(rank + OVERSAMPLE, n)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((n, width)))[0]
     for _ in range(POWER):
-        product = _gram_product(sample, block, q)
+        product = _gram_product(texts, block, q)
         values, turn = np.linalg.eigh(q.T @ product)
         q = np.linalg.qr(product @ turn[:, ::-1])[0]
     return q[:, :min(rank, n)].astype(np.float32)
 
 
-def fit_block(texts: DataFrame, sample: DataFrame, block: Block, rank: int = RANK) -> Block:
+def fit_block(texts: DataFrame, block: Block, rank: int = RANK, fit_on: DataFrame | None = None) -> Block:
+    """The block with the statistics and latent space of all ``texts``; the space is fitted on ``fit_on`` alone where given."""
     held, documents = _frequencies(texts, block)
     block.idf = np.log((documents + 2.0) / (held + 1.0))
-    block.basis = latent_basis(sample, block, rank)
+    block.basis = latent_basis(texts if fit_on is None else fit_on, block, rank)
     own = np.concatenate(block.codes)
     first = np.append(0, np.cumsum([len(c) for c in block.codes]))
     start, stop = windows(first)
@@ -297,12 +311,14 @@ def candidates(words: Words, block: Block, min_cosine: float) -> tuple[np.ndarra
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text_col: str = "text", min_cosine: float = MIN_COSINE, min_lcs: float = MIN_LCS) -> DataFrame:
+               item_text_col: str = "text", min_cosine: float = MIN_COSINE, min_lcs: float = MIN_LCS,
+               sampled: bool = False) -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, lcs (share of the item's words), answer, cosine, word.
 
     ``word`` is the place of the first candidate passage. Texts are compared as lower-cased runs of
     letters and digits. Documents and items without such words match nothing. Null and repeated ids
     are allowed: rows that repeat an id and a text give one row. An empty table on either side gives an empty result.
+    The latent space is fitted on all documents; ``sampled`` fits it on MAX_FIT_DOCS of them, for a quick look.
     """
     kind = docs.select(F.col(id_col).alias("doc_id")).schema[0].dataType.simpleString()
     item_kind = items.select(F.col(item_col).alias("i")).schema[0].dataType.simpleString()
@@ -310,21 +326,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     spark = docs.sparkSession
     out = spark.createDataFrame([], f"doc_id {kind}, item_id {item_kind}, lcs double, answer double, cosine double, word long")
-    for block in _fitted_blocks(texts, items, item_col, item_text_col):
+    for block in _fitted_blocks(texts, items, item_col, item_text_col, sampled):
         names = spark.createDataFrame([(n, i) for n, i in enumerate(block.ids)], f"nth long, item_id {item_kind}")
         leaks = texts.mapInArrow(_searcher(block, min_cosine, min_lcs), schema).dropDuplicates()
         out = out.unionByName(leaks.join(F.broadcast(names), "nth").drop("nth").select(out.columns))
     return out
 
 
-def _fitted_blocks(texts: DataFrame, items: DataFrame, item_col: str, item_text_col: str) -> Iterator[Block]:
+def _fitted_blocks(texts: DataFrame, items: DataFrame, item_col: str, item_text_col: str, sampled: bool = False) -> Iterator[Block]:
     """The blocks of the items, each with its vocabulary's statistics and latent space over ``texts`` (doc_id, text)."""
     sample = None
     for block in item_blocks(items, item_col, item_text_col):
         if not block.ids:
             continue
-        sample = _fit_sample(texts) if sample is None else sample  # the same for every block
-        yield fit_block(texts, sample, block)
+        if sampled and sample is None:
+            sample = _fit_sample(texts)  # the same for every block
+        yield fit_block(texts, block, fit_on=sample)
 
 
 def _fit_sample(texts: DataFrame) -> DataFrame:

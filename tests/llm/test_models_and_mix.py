@@ -250,6 +250,28 @@ def test_fit_sample_is_bounded_and_repeatable(spark, monkeypatch):
     assert decontaminate._fit_sample(df.limit(0)).count() == 0
 
 
+def test_latent_space_is_fitted_on_every_document(spark, monkeypatch):
+    docs, items, want = leaky(spark)
+    texts = docs.selectExpr("doc_id", "coalesce(text, '') as text")
+    block = next(decontaminate.item_blocks(items, "item_id", "text"))
+    held, n = decontaminate._frequencies(texts, block)
+    block.idf = np.log((n + 2.0) / (held + 1.0))
+    dense = np.random.default_rng(5).standard_normal((len(block.vocabulary), 6))
+    own = np.zeros(len(block.vocabulary))
+    whole = np.zeros((len(own), len(own)))
+    codes = [decontaminate.tokens(pa.array([r.text], pa.string())).hash for r in texts.collect()] + block.codes
+    for code in codes:
+        place = decontaminate.lookup(block.vocabulary, code)
+        for a, b in zip(*decontaminate.windows(np.array([0, len(code)]))):
+            row = np.bincount(place[a:b][place[a:b] >= 0], minlength=len(own)) * block.idf
+            whole += np.outer(row, row)
+    assert np.allclose(decontaminate._gram_product(texts, block, dense), whole @ dense)
+    monkeypatch.setattr(decontaminate, "MAX_FIT_DOCS", 1)
+    monkeypatch.setattr(decontaminate, "_fit_sample", lambda texts: (_ for _ in ()).throw(AssertionError("the fit reads a sample")))
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()} == want
+    assert decontaminate.drop_leaks(docs, items).count() == docs.count() - len(want)
+
+
 def test_small_sources_come_within_a_word_or_two_of_their_target(spark, tables):
     got = mixing.mix(tables["documents"]).collect()
     per = {}
