@@ -1,10 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval and sequence checks.
 
 1. Benchmark items are taken in blocks of bounded size; a block's words are its vocabulary.
-   Document frequencies of these words are counted over all documents.
+   Document frequencies of these words are counted over all documents, in the pass of step 2.
 2. Passages (windows of ``WINDOW`` words, every ``STRIDE``) are TF-IDF vectors over the vocabulary. Their
-   latent directions come from a randomised SVD of all item and all corpus passages;
-   its products with the passage matrix run as Spark tasks that each return a partial sum.
+   latent directions come from a randomised SVD of all item and all corpus passages. How often
+   passages hold two words together is counted once, per pair of words; the SVD's products are taken from
+   these counts, by Spark tasks that each return a partial sum.
 3. For every passage of every document the items that its words hold enough of are found from each word's list of items; the
    passage is projected, and where its cosine to a passage of such an item reaches ``min_cosine`` the two are candidates.
 4. A candidate is confirmed on the words: the longest common subsequence of the item and the
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapse.llm.common import staged
+from lapse.llm.common import partitions, staged
 from lapse.llm.wordarrays import NOT_ALPHANUMERIC, Words, slices, split_words
 
 WINDOW, STRIDE = 24, 8
@@ -29,7 +30,13 @@ WINDOW, STRIDE = 24, 8
 BLOCK_ITEMS, BLOCK_BYTES = 2_048, 1 << 20
 #: Entries of the (passage, item) table that passages are looked at in.
 TABLE = 1 << 21
+#: Words of a block that are met in all items at once: those that most items hold.
+COMMON = 32
 RANK, OVERSAMPLE, POWER = 96, 16, 2
+#: Pairs of words that a task holds before it hands them on.
+PAIRS = 1 << 21
+#: Pairs of one row on their way to the task that adds them up, and words whose pairs one such task gets together.
+PIECE, PART_WORDS = 512, 32
 #: Corpus documents whose passages the SVD is fitted on besides the item passages where a caller asks for a ``sampled`` fit.
 MAX_FIT_DOCS = 2_048
 MIN_COSINE = 0.1
@@ -95,9 +102,18 @@ def _block(ids: list, texts: list[str]) -> Block:
 
 
 def lookup(vocabulary: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Place of each code in the vocabulary, or -1."""
-    at = np.minimum(np.searchsorted(vocabulary, code), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == code, at, -1)
+    """Place of each code in the (ascending) vocabulary, or -1; the first bits of a code lead to the words that share them."""
+    bits = min(len(vocabulary).bit_length() + 4, 22)
+    size = np.bincount((vocabulary >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    first = np.cumsum(size) - size
+    lead = (code >> np.uint64(64 - bits)).astype(np.int64)
+    at = np.minimum(first, len(vocabulary) - 1)[lead]
+    out = np.where(vocabulary[at] == code, at, -1)
+    several = np.flatnonzero((size > 1)[lead])
+    if len(several):
+        at = np.minimum(np.searchsorted(vocabulary, code[several]), len(vocabulary) - 1)
+        out[several] = np.where(vocabulary[at] == code[several], at, -1)
+    return out
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,69 +145,153 @@ def _times(row: np.ndarray, word: np.ndarray, weight: np.ndarray, n: int, dense:
 
 
 def _frequencies(texts: DataFrame, block: Block) -> tuple[np.ndarray, int]:
-    """(documents that hold each vocabulary word, documents), over all documents."""
-    vocabulary = block.vocabulary
+    """(documents that hold each vocabulary word, documents), over all documents; ``texts`` or their ``_pair_counts``."""
+    out = np.zeros(len(block.vocabulary) + 1, np.int64)
+    for r in _counted(texts, block).where("pair < 0").collect():
+        out[-1 - r["pair"]] = r["n"]
+    return out[:-1], int(out[-1])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = np.zeros(len(vocabulary) + 1, np.int64), 0
+
+def _pairs(words: Words, place: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, n): the pairs of vocabulary words that passages hold, ascending, and how often, summed over the passages.
+
+    A pair is the lesser word's place times the vocabulary's size plus the other's. The passages that hold two positions are those
+    that have begun at the first of them less those that have ended at the second, so positions are
+    looked at in pairs once, not once for each passage.
+    """
+    start, stop = windows(words.first)
+    known = np.flatnonzero(place >= 0)
+    word = place[known]
+    begun = np.cumsum(np.bincount(start, minlength=len(place) + 1), dtype=np.int32)[known]
+    ended = np.cumsum(np.bincount(stop, minlength=len(place) + 1), dtype=np.int32)[known]
+    high, low = word * (n_words << 8), word << 8
+    found = [np.zeros(0, np.int64)]
+    step = 1 << 14
+    for k in range(0, len(known), step):
+        for apart in range(min(WINDOW, len(known) - k)):
+            to = min(k + step, len(known) - apart)
+            one, other = slice(k, to), slice(k + apart, to + apart)
+            both = begun[one] - ended[other]
+            held = both > 0
+            times = both[held]
+            if not len(times):
+                break
+            if apart:
+                times <<= (word[one] == word[other])[held]  # the word meets itself from either position
+            # the lesser of both orders begins with the lesser word; a count is at most 2 * WINDOW, which 8 bits hold
+            found.append(np.minimum(high[one] + low[other], high[other] + low[one])[held] | times)
+    packed = np.concatenate(found)
+    packed.sort()
+    return _summed(packed >> 8, packed & 255)
+
+
+def _summed(pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of the ascending ``pair`` and their sums of ``n``."""
+    new = np.flatnonzero(np.append(len(pair) > 0, pair[1:] != pair[:-1]))
+    return pair[new], np.add.reduceat(n, new) if len(new) else n
+
+
+class Tally:
+    """Pairs and their counts; about ``spare`` entries more than twice the distinct pairs are held at most."""
+
+    def __init__(self, spare: int) -> None:
+        self.spare, self.held, self.size, self.distinct = spare, [], 0, 0
+
+    def add(self, pair: np.ndarray, n: np.ndarray) -> None:
+        self.held.append((pair, n))
+        self.size += len(pair)
+        if self.size >= self.spare + 2 * self.distinct:
+            self.held = [self.total()]
+            self.size = self.distinct = len(self.held[0][0])
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.held:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        pair, n = (np.concatenate(c) for c in zip(*self.held))
+        order = np.argsort(pair, kind="stable")
+        return _summed(pair[order], n[order])
+
+
+def _pair_counts(texts: DataFrame, block: Block) -> DataFrame:
+    """(pair, n) of ``_pairs`` over all texts, written once; pair -1 - w has the documents that hold word w, and -1 - the vocabulary's
+    size has all documents. These are whole numbers that depend on no weight: the weights and
+    every product of the fit are taken from them, and the texts are read for them once.
+
+    Tasks send their pairs in pieces of at most PIECE, by the lesser word; each range of words is added up by one task.
+    """
+    vocabulary, n_words = block.vocabulary, len(block.vocabulary)
+
+    def pieces(pair: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        part = pair // (n_words * PART_WORDS)
+        cuts = np.union1d(np.arange(0, len(pair), PIECE), np.flatnonzero(part[1:] != part[:-1]) + 1)
+        both = np.stack([pair, n], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([b.tobytes() for b in np.split(both, cuts[1:])], pa.binary())], ["part", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, tally = np.zeros(n_words + 1, np.int64), Tally(PAIRS)
         for batch in batches:
             for part in slices(batch, "text"):
                 words = tokens(part.column("text"))
                 place = lookup(vocabulary, words.hash)
                 known = np.flatnonzero(place >= 0)
-                text = np.searchsorted(words.first, known, side="right") - 1
-                pair = np.unique(text * len(vocabulary) + place[known])
-                held[:-1] += np.bincount(pair % len(vocabulary), minlength=len(vocabulary))
-                rows += part.num_rows
-        held[-1] = rows
-        used = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["word", "n"])
-
-    sums = texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(vocabulary) + 1, np.int64)
-    for r in sums:
-        out[r["word"]] = r["n"]
-    return out[:-1], int(out[-1])
+                pair = words.text_of()[known] * n_words + place[known]
+                pair.sort()
+                pair, _ = _summed(pair, pair)
+                held[:-1] += np.bincount(pair % n_words, minlength=n_words)
+                held[-1] += part.num_rows
+                tally.add(*_pairs(words, place, n_words))
+                if tally.distinct >= PAIRS:
+                    yield pieces(*tally.total())
+                    tally = Tally(PAIRS)
+        tally.add(-1 - np.flatnonzero(held), held[held > 0])
+        pair, n = tally.total()
+        if len(pair):
+            yield pieces(pair, n)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(PAIRS)
+        for batch in batches:
+            both = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int64).reshape(-1, 2)
+            tally.add(both[:, 0], both[:, 1])
+        pair, n = tally.total()
+        for k in range(0, len(pair), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(pair[k:k + (1 << 18)]), pa.array(n[k:k + (1 << 18)])], ["pair", "n"])
+
+    sent = texts.select("text").mapInArrow(count, "part long, counts binary").repartition(partitions(texts.sparkSession), "part")
+    return staged(sent.mapInArrow(add_up, "pair long, n long"), "leak-pairs")
+
+
+def _counted(texts: DataFrame, block: Block) -> DataFrame:
+    """The ``_pair_counts`` of texts, or what is given if it is these already."""
+    return texts if "pair" in texts.columns else _pair_counts(texts, block)
 
 
 def _gram_product(texts: DataFrame, block: Block, dense: np.ndarray) -> np.ndarray:
-    """(A'A) dense for the TF-IDF matrix A of the texts' and the items' passages.
+    """(A'A) dense for the TF-IDF matrix A of the texts' and the items' passages; ``texts`` or their ``_pair_counts``.
 
-    Each task adds up its passages and returns one matrix in row blocks, which are summed per block;
-    the matrix has one row per vocabulary word, whatever the number of texts. Passages overlap, so their rows
-    are differences of running sums over the words: a word is looked at once, not once for each passage.
+    Each task adds up its pairs and returns one matrix in row blocks, which are summed per block;
+    the matrix has one row per vocabulary word, whatever the number of texts.
     """
-    vocabulary, idf, columns = block.vocabulary, block.idf, dense.shape[1]
+    idf, columns, n_words = block.idf, dense.shape[1], len(block.vocabulary)
     weighted = dense * idf[:, None]
     height = 1 << 7
 
-    def add(out: np.ndarray, words: Words) -> None:
-        starts, stops = windows(words.first)
-        place = lookup(vocabulary, words.hash)
-        for k in range(0, len(starts), 2048):
-            start, stop = starts[k:k + 2048], stops[k:k + 2048]  # both ascend
-            known = start[0] + np.flatnonzero(place[start[0]:stop[-1]] >= 0)
-            word = place[known]
-            if not len(word):
-                continue
-            first, last = np.searchsorted(known, start), np.searchsorted(known, stop)
-            sums = np.zeros((len(word) + 1, columns))
-            np.cumsum(weighted[word], axis=0, out=sums[1:])
-            product = sums[last] - sums[first]
-            change = np.zeros((len(word) + 1, columns))
-            for at, sign in ((first, 1.0), (last, -1.0)):
-                new = np.flatnonzero(np.append(True, np.diff(at) != 0))
-                change[at[new]] += sign * np.add.reduceat(product, new)
-            covered = np.cumsum(change, axis=0)[:-1]  # of each word, the passages that hold it
-            order = np.argsort(word, kind="stable")
-            new = np.flatnonzero(np.append(True, np.diff(word[order]) != 0))
-            out[word[order][new]] += np.add.reduceat(covered[order], new) * idf[word[order][new]][:, None]
+    def add(out: np.ndarray, pair: np.ndarray, n: np.ndarray) -> None:
+        for k in range(0, len(pair), 1 << 14):
+            one, other = np.divmod(pair[k:k + (1 << 14)], n_words)
+            times = n[k:k + (1 << 14), None].astype(float)
+            for to, by, rows in ((one, other, slice(None)), (other, one, np.flatnonzero(one != other))):
+                to, by = to[rows], by[rows]
+                order = np.argsort(to, kind="stable")
+                to = to[order]
+                new = np.flatnonzero(np.append(len(to) > 0, to[1:] != to[:-1]))
+                if len(new):
+                    out[to[new]] += np.add.reduceat(weighted[by[order]] * times[rows][order], new) * idf[to[new]][:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((len(vocabulary), columns))
+        out = np.zeros((n_words, columns))
         for batch in batches:
-            for part in slices(batch, "text"):
-                add(out, tokens(part.column("text")))
+            add(out, batch.column("pair").to_numpy(), batch.column("n").to_numpy())
         cuts = range(0, len(out), height)
         yield pa.RecordBatch.from_arrays([pa.array([c // height for c in cuts], pa.int64()),
                                           pa.array([out[c:c + height].tobytes() for c in cuts], pa.binary())], ["part", "sums"])
@@ -200,14 +300,14 @@ def _gram_product(texts: DataFrame, block: Block, dense: np.ndarray) -> np.ndarr
         sums = [np.frombuffer(b) for b in table.column("sums").to_pylist()]
         return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([sum(sums[1:], sums[0]).tobytes()], pa.binary())})
 
-    parts = texts.select("text").mapInArrow(run, "part long, sums binary").groupBy("part").applyInArrow(total, "part long, sums binary")
-    out = np.zeros((len(vocabulary), columns))
+    parts = _counted(texts, block).where("pair >= 0").mapInArrow(run, "part long, sums binary").groupBy("part").applyInArrow(total, "part long, sums binary")
+    out = np.zeros((n_words, columns))
     for r in parts.collect():
         part = np.frombuffer(r["sums"]).reshape(-1, columns)
         out[r["part"] * height:r["part"] * height + len(part)] += part
     own = np.concatenate(block.codes)
     first = np.append(0, np.cumsum([len(c) for c in block.codes]))
-    add(out, Words(np.zeros(0, np.uint8), own, own, first, own))
+    add(out, *_pairs(Words(np.zeros(0, np.uint8), own, own, first, own), lookup(block.vocabulary, own), n_words))
     return out
 
 
@@ -215,9 +315,10 @@ def latent_basis(texts: DataFrame, block: Block, rank: int = RANK, seed: int = 7
     """(words x rank) right singular vectors of the passages by randomised subspace iteration."""
     n = len(block.vocabulary)
     width = min(rank + OVERSAMPLE, n)
+    counts = _counted(texts, block)
     q = np.linalg.qr(np.random.default_rng(seed).standard_normal((n, width)))[0]
     for _ in range(POWER):
-        product = _gram_product(texts, block, q)
+        product = _gram_product(counts, block, q)
         values, turn = np.linalg.eigh(q.T @ product)
         q = np.linalg.qr(product @ turn[:, ::-1])[0]
     return q[:, :min(rank, n)].astype(np.float32)
@@ -225,9 +326,10 @@ def latent_basis(texts: DataFrame, block: Block, rank: int = RANK, seed: int = 7
 
 def fit_block(texts: DataFrame, block: Block, rank: int = RANK, fit_on: DataFrame | None = None) -> Block:
     """The block with the statistics and latent space of all ``texts``; the space is fitted on ``fit_on`` alone where given."""
-    held, documents = _frequencies(texts, block)
+    counts = _pair_counts(texts, block)
+    held, documents = _frequencies(counts, block)
     block.idf = np.log((documents + 2.0) / (held + 1.0))
-    block.basis = latent_basis(texts if fit_on is None else fit_on, block, rank)
+    block.basis = latent_basis(counts if fit_on is None else fit_on, block, rank)
     own = np.concatenate(block.codes)
     first = np.append(0, np.cumsum([len(c) for c in block.codes]))
     start, stop = windows(first)
@@ -285,13 +387,24 @@ def candidates(words: Words, block: Block, min_cosine: float) -> tuple[np.ndarra
     part_of = np.append(0.0, np.cumsum(np.append(squares / lightest, 0.0)[place]))  # -1, the last, is a word outside the vocabulary
     near = np.flatnonzero(part_of[stop] - part_of[start] >= MIN_OVERLAP * (1 - 1e-6))
     own = np.searchsorted(block.owner, np.arange(items + 1))  # the passages of each item
-    height = max(1, TABLE // items)
+    # the words that most items hold are counted per passage and multiplied with their weights in all items; the others' lists are read
+    holding = np.diff(first_held)
+    common = np.argsort(-holding, kind="stable")[:COMMON]
+    nth_common = np.full(len(holding), -1)
+    nth_common[common] = np.arange(len(common))
+    shared = np.zeros((len(common), items))
+    shared[np.repeat(np.arange(len(common)), holding[common]), held[_ranges(first_held[common], holding[common])]] = np.repeat(squares[common], holding[common])
+    height = max(1, TABLE // max(items, COMMON))
     for k in range(0, len(near), height):
         part = near[k:k + height]
         row, word = _passage_matrix(place, start[part], stop[part])
-        size = first_held[word + 1] - first_held[word]
+        nth = nth_common[word]
+        counts = np.bincount((row * len(common) + nth)[nth >= 0], minlength=len(part) * len(common)).reshape(len(part), len(common))
+        row, word = row[nth < 0], word[nth < 0]
+        size = holding[word]
         overlap = np.bincount(np.repeat(row * items, size) + held[_ranges(first_held[word], size)], np.repeat(squares[word], size), len(part) * items)
-        i, n = np.nonzero(overlap.reshape(-1, items) >= MIN_OVERLAP * (1 - 1e-9) * mass)
+        overlap = overlap.reshape(-1, items) + counts.astype(float) @ shared
+        i, n = np.nonzero(overlap >= MIN_OVERLAP * (1 - 1e-9) * mass)
         if not len(i):
             continue
         few, of = np.unique(i, return_inverse=True)

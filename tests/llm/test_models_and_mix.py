@@ -272,6 +272,66 @@ def test_latent_space_is_fitted_on_every_document(spark, monkeypatch):
     assert decontaminate.drop_leaks(docs, items).count() == docs.count() - len(want)
 
 
+def test_fit_reads_the_texts_once(spark):
+    docs, items, _ = leaky(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    texts = docs.selectExpr("doc_id", "coalesce(text, '') as text").mapInArrow(seen, "doc_id long, text string")
+    block = decontaminate.fit_block(texts, next(decontaminate.item_blocks(items, "item_id", "text")))
+    assert read.value == docs.count() and block.basis.shape[0] == len(block.vocabulary)
+
+
+@pytest.mark.parametrize("most", [decontaminate.PAIRS, 50])  # 50: what tasks hold is handed on in many pieces
+def test_pair_counts_against_every_passage(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "PAIRS", most)
+    monkeypatch.setattr(decontaminate, "PIECE", 7 if most == 50 else decontaminate.PIECE)
+    rows = [(i, edge_cases.prose(i % 9, n)) for i, n in enumerate([0, 1, 2, 23, 24, 25, 31, 32, 33, 40, 41, 150, 700])] + [(None, "x"), (1, "x x x x")]
+    items = spark.createDataFrame([(1, edge_cases.prose(1, 60)), (2, "x is an answer"), (3, edge_cases.prose(5, 30))], "item_id long, text string")
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    block = next(decontaminate.item_blocks(items, "item_id", "text"))
+    size, want = len(block.vocabulary), {}
+    for _, text in rows:
+        code = decontaminate.tokens(pa.array([text], pa.string())).hash
+        place = decontaminate.lookup(block.vocabulary, code)
+        for w in {*place.tolist()} - {-1}:
+            want[-1 - w] = want.get(-1 - w, 0) + 1
+        for a, b in zip(*decontaminate.windows(np.array([0, len(code)]))):
+            held = np.bincount(place[a:b][place[a:b] >= 0], minlength=size)
+            for i in np.flatnonzero(held).tolist():
+                for j in np.flatnonzero(held[i:]).tolist():
+                    want[i * size + i + j] = want.get(i * size + i + j, 0) + int(held[i] * held[i + j])
+    want[-1 - size] = len(rows)
+    got = decontaminate._pair_counts(texts, block).collect()
+    assert {r.pair: r.n for r in got} == want and len(got) == len(want)
+
+
+def test_codes_that_share_their_first_bits_are_told_apart():
+    r = np.random.default_rng(4)
+    code = np.concatenate([r.integers(0, 2 ** 63, 300, dtype=np.uint64) * np.uint64(2), np.uint64(7) + np.arange(40, dtype=np.uint64), ~np.arange(40, dtype=np.uint64)])
+    vocabulary = np.unique(code[::3])
+    at = {c: i for i, c in enumerate(vocabulary.tolist())}
+    assert decontaminate.lookup(vocabulary, code).tolist() == [at.get(c, -1) for c in code.tolist()]
+
+
+def test_candidates_do_not_depend_on_how_words_are_met(spark, tables, monkeypatch):
+    items = tables["benchmark"].orderBy("item_id").limit(24)
+    docs = tables["documents"].orderBy("doc_id").limit(60)
+    block = decontaminate.fit_block(docs.selectExpr("doc_id", "coalesce(text, '') as text"), next(decontaminate.item_blocks(items, "item_id", "text")))
+    words = decontaminate.tokens(pa.array([r.text for r in docs.collect()] + [r.text for r in items.collect()], pa.string()))
+    found = []
+    for common in (0, 5, decontaminate.COMMON, 10 ** 6):
+        monkeypatch.setattr(decontaminate, "COMMON", common)
+        found.append(decontaminate.candidates(words, block, 0.1))
+    assert len(found[0][0]) >= 24
+    for other in found[1:]:
+        assert all(np.array_equal(a, b) for a, b in zip(found[0][:2], other[:2])) and np.allclose(found[0][2], other[2])
+
+
 def test_small_sources_come_within_a_word_or_two_of_their_target(spark, tables):
     got = mixing.mix(tables["documents"]).collect()
     per = {}
