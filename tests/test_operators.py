@@ -49,6 +49,17 @@ def test_band_self_pairs_few_values_use_all_partitions(spark):
     assert plain.select(F.spark_partition_id().alias("p")).distinct().count() > 1
 
 
+def test_band_self_pairs_lists_are_short_and_whole(spark):
+    from lapse.operators.pairs import LIST, listed
+    df = spark.range(1000).selectExpr("id", "if(id < 900, 'hot', concat('c', id % 40)) as blk")
+    lists = [(r.blk, r._rows) for r in listed(df, ["blk"], "id", F.col("id")).collect()]
+    assert sorted(i for _, rows in lists for i in rows) == list(range(1000))
+    # no longer than LIST, and as few as that allows, so that a class is not taken apart by the cells that it goes to
+    assert max(len(rows) for _, rows in lists) <= LIST and len(lists) == -(-900 // LIST) + 40
+    got = band_self_pairs(df.withColumn("v", F.lit(3)), "id", ["blk"], "v", 7, [], rows_per_task=100)
+    assert got.count() == got.distinct().count() == 900 * 899 // 2 + 20 * 1 + 20 * 3
+
+
 def test_floor_index_quantiles(spark):
     df = spark.createDataFrame([("u", 3.0), ("u", 1.0), ("u", 2.0), ("w", 5.0), ("z", None)], "k string, v double")
     got = {r["k"]: (r["p25"], r["p50"], r["p75"]) for r in
