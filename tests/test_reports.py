@@ -281,3 +281,19 @@ def test_the_call_that_fits_segments_reads_the_frame_it_wrote(spark, monkeypatch
     a, b = (sorted(map(tuple, S.profile(model.assign(x)).collect())) for x in (df, again))
     assert a == b and sum(r[2] for r in a) == 90
     assert S.fit_segments(rows).labels == model.labels
+
+
+def test_pair_joins_compare_names_once_and_score_by_class(spark):
+    rows = spark.range(300).selectExpr("id as customer_id", "concat('acme x', id % 4) as company_name",
+                                       "concat('a@d', id % 5, '.com') as contact_email", "date_add(date'2024-01-01', int(id % 20)) as signup_date")
+    out = R.duplicate_accounts(rows, ordered=False, max_edits=3)
+    # edit distances are taken by the conditions of the three joins, not again for columns whose value these settle
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("levenshtein(") == 3
+    got = {(r.cust_a_id, r.cust_b_id): (r.same_domain, r.similar_name, r.similar_signup, r.match_score) for r in out.collect()}
+    want = {}
+    for b in range(300):
+        for a in range(b):
+            rules = (int(a % 5 == b % 5), 1, int(abs(a % 20 - b % 20) <= 7))
+            if sum(rules) >= 2:
+                want[a, b] = (*rules, sum(rules))
+    assert got == want and out.count() == len(want)
