@@ -297,3 +297,20 @@ def test_pair_joins_compare_names_once_and_score_by_class(spark):
             if sum(rules) >= 2:
                 want[a, b] = (*rules, sum(rules))
     assert got == want and out.count() == len(want)
+
+
+def test_member_evidence_reads_the_members_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(m):
+        read.add(1)
+        return m
+
+    rows = spark.range(40).selectExpr("id as customer_id", "'acme' as company_name", "'a@d.com' as contact_email", "date'2024-01-01' as signup_date")
+    members = spark.range(40).select(F.col("id").alias("customer_id"), F.udf(seen, "long")(F.col("id") % 8).alias("member_id"),
+                                     F.concat(F.lit("s@d"), F.col("id") % 3).alias("email"), F.lit(True).alias("is_active"))
+    evidence = {(r.cust_a_id, r.cust_b_id): (r.shared_member_emails, r.shared_member_domains)
+                for r in R.duplicate_member_evidence(rows, members).collect()}
+    emails = {m: len({i % 3 for i in range(40) if i % 8 == m}) for m in range(8)}
+    assert evidence == {(a, b): (emails[a % 8], int(a % 3 == b % 3)) for b in range(40) for a in range(b)}
+    assert read.value == 40
